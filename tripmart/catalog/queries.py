@@ -139,7 +139,7 @@ def price_histogram(t):
 @_query
 def price_quantiles(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING)
-    found = prices.price_quantiles(trips, QUANTILES, WIDTH)
+    found = prices.price_quantiles(trips, price_histogram(t), QUANTILES, WIDTH)
     return found.withColumn("price", F.round("price", 6))
 
 

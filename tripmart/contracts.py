@@ -79,6 +79,7 @@ TRIP_FILE_PATTERN = r"^(\w+)_tripdata_(\d{4})-(\d{2})\.parquet$"
 GRID_ROW_BOUND = 2_000_000  # two bigint keys and an int: < 100 MB in a hash map
 ZONE_ROW_BOUND = 100_000
 WEATHER_ROW_BOUND = 1_000_000  # hours: more than a century
+QUANTILE_ROW_BOUND = 1_000_000  # (zone, year, bin) triples
 
 
 @dataclass(frozen=True)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.contracts import (
     MAX_PRICE_PER_KM,
     MIN_ZONE_TRIPS,
+    QUANTILE_ROW_BOUND,
     SAMPLE_FRACTION,
     SAMPLE_SEED,
     SAMPLE_YEARS,
@@ -100,57 +101,42 @@ def price_histogram(prices: DataFrame, width: float) -> DataFrame:
 
 
 def price_quantiles(
-    prices: DataFrame, quantiles: Sequence[float], width: float
+    prices: DataFrame,
+    histogram: DataFrame,
+    quantiles: Sequence[float],
+    width: float,
+    row_bound: int | None = QUANTILE_ROW_BOUND,
 ) -> DataFrame:
     """Exact interpolated quantiles per (zone, year), without gathering any group.
 
-    A histogram tells which bin holds each wanted rank; only prices of those bins
-    are counted and ranked, so a group's bulk never meets in one task.  ``width``
-    sets how much a bin holds.
+    ``histogram`` is ``price_histogram(prices, width)``, best read from its stored
+    table.  It tells which bin holds each wanted rank; only prices in those bins are
+    counted and ranked, so a group's bulk never meets in one task.
     """
     group = ["pickup_zone_id", "year"]
-    price_bin = F.floor(F.col("price_per_km") / F.lit(width))
-    upto = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*group)
-    bins = price_histogram(prices, width).select(
-        *group,
-        "bin",
-        (F.sum("nb_courses").over(upto) - F.col("nb_courses")).alias("before"),
-        F.sum("nb_courses").over(upto).alias("through"),
-        F.sum("nb_courses").over(whole).alias("n"),
-    )
-    # Ranks are counted from 0; position q*(n-1) lies between two of them.
-    wanted = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
-    position = F.col("quantile") * (F.col("n") - 1)
-    targets = (
-        bins.select("*", wanted)
-        .select("*", F.floor(position).alias("low"), F.ceil(position).alias("high"),
-                (position - F.floor(position)).alias("part"))
-        .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("through")))
-    )
-    needed = targets.select(*group, "bin", "before").distinct()
+    targets = _rank_bins(histogram, group, quantiles)
+    needed = broadcast_within(targets.select(*group, "bin").distinct(), row_bound)
     counted = (
-        prices.select(*group, "price_per_km", price_bin.alias("bin"))
+        prices.select(
+            *group, "price_per_km", F.floor(F.col("price_per_km") / F.lit(width)).alias("bin")
+        )
+        .join(needed, [*group, "bin"], "left_semi")
         .groupBy(*group, "bin", "price_per_km")
         .agg(F.count("*").alias("k"))
-        .join(needed, [*group, "bin"])
     )
-    within = (
+    upto = (
         Window.partitionBy(*group, "bin").orderBy("price_per_km")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = counted.select(
-        *group,
-        "bin",
-        "price_per_km",
-        (F.col("before") + F.sum("k").over(within) - F.col("k")).alias("from_rank"),
-        (F.col("before") + F.sum("k").over(within) - 1).alias("to_rank"),
-    )
-    asked = targets.select(*group, "bin", "quantile", "low", "high", "part")
-    hits = ranked.join(asked, [*group, "bin"])
-    at = lambda rank: F.max(
-        F.when(F.col(rank).between(F.col("from_rank"), F.col("to_rank")), F.col("price_per_km"))
-    )
+    ranked = counted.withColumn("through", F.sum("k").over(upto))
+    # Ranks inside a bin, from 0, that each distinct price stands for.
+    first, last = F.col("through") - F.col("k"), F.col("through") - 1
+    hits = ranked.join(targets, [*group, "bin"])
+
+    def at(rank: str) -> Column:
+        inside = (F.col(rank) - F.col("before")).between(first, last)
+        return F.max(F.when(inside, F.col("price_per_km")))
+
     return (
         hits.groupBy(*group, "quantile")
         .agg(at("low").alias("lower"), at("high").alias("upper"), F.max("part").alias("part"))
@@ -160,3 +146,37 @@ def price_quantiles(
             (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("part")).alias("price"),
         )
     )
+
+
+def _rank_bins(
+    histogram: DataFrame, group: Sequence[str], quantiles: Sequence[float]
+) -> DataFrame:
+    """Bins that hold the two ranks around each quantile: one or two per quantile.
+
+    Ranks count from 0; position q*(n-1) lies between ``low`` and ``high``, ``part``
+    of the way.  ``before`` is the number of prices in lower bins.
+    """
+    upto = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = histogram.select(
+        *group,
+        "bin",
+        (F.sum("nb_courses").over(upto) - F.col("nb_courses")).alias("before"),
+        F.sum("nb_courses").over(upto).alias("upto"),
+        F.sum("nb_courses").over(Window.partitionBy(*group)).alias("n"),
+    )
+    position = F.col("quantile") * (F.col("n") - 1)
+    return (
+        bins.select("*", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile"))
+        .select(
+            *group,
+            "bin",
+            "quantile",
+            "before",
+            "upto",
+            F.floor(position).alias("low"),
+            F.ceil(position).alias("high"),
+            (position - F.floor(position)).alias("part"),
+        )
+        .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("upto")))
+        .drop("upto")
+    )
