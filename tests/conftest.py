@@ -1,0 +1,45 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def zoned(spark):
+    """Set the session time zone for one test."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    yield lambda zone: spark.conf.set(key, zone)
+    spark.conf.set(key, before)
+
+
+@pytest.fixture
+def path(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+def rows(df):
+    """Rows as plain tuples in a stable order."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
