@@ -1,7 +1,10 @@
-"""Broadcasting behind a size check."""
+"""Broadcasting behind a size check, and joins on keys that may be NULL."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +20,14 @@ def broadcast_within(df: DataFrame, row_bound: int | None) -> DataFrame:
     if row_bound is None:
         return df
     return F.broadcast(df) if df.count() <= row_bound else df
+
+
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join in which NULL keys match each other, as they do in a grouping."""
+    named = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    )
+    return left.join(named, same, how).drop(*[f"__{k}" for k in keys])

@@ -17,7 +17,7 @@ from tripmart.contracts import (
     ZONE_ROW_BOUND,
 )
 from tripmart.functions import valid_price
-from tripmart.operators.joins import broadcast_within
+from tripmart.operators.joins import broadcast_within, join_null_safe
 from tripmart.operators.sampling import keyed_sample_by, random_sample_by_year
 
 ROW_KEY = ("source_file", "source_row")
@@ -116,11 +116,11 @@ def price_quantiles(
     group = ["pickup_zone_id", "year"]
     targets = _rank_bins(histogram, group, quantiles)
     needed = broadcast_within(targets.select(*group, "bin").distinct(), row_bound)
+    binned = prices.select(
+        *group, "price_per_km", F.floor(F.col("price_per_km") / F.lit(width)).alias("bin")
+    )
     counted = (
-        prices.select(
-            *group, "price_per_km", F.floor(F.col("price_per_km") / F.lit(width)).alias("bin")
-        )
-        .join(needed, [*group, "bin"], "left_semi")
+        join_null_safe(binned, needed, [*group, "bin"], "left_semi")
         .groupBy(*group, "bin", "price_per_km")
         .agg(F.count("*").alias("k"))
     )
@@ -131,7 +131,7 @@ def price_quantiles(
     ranked = counted.withColumn("through", F.sum("k").over(upto))
     # Ranks inside a bin, from 0, that each distinct price stands for.
     first, last = F.col("through") - F.col("k"), F.col("through") - 1
-    hits = ranked.join(targets, [*group, "bin"])
+    hits = join_null_safe(ranked, targets, [*group, "bin"])
 
     def at(rank: str) -> Column:
         inside = (F.col(rank) - F.col("before")).between(first, last)
