@@ -92,6 +92,11 @@ def test_union_of_bigint_and_double_ids_stays_int(spark):
     assert sorted(r.pu_location_id for r in trips.collect()) == [3, 4]
 
 
+def test_unknown_vehicle_type_fails(spark):
+    with pytest.raises(ValueError):
+        harmonize(spark.range(1), "bus")
+
+
 def test_union_of_nothing_fails(spark):
     with pytest.raises(ValueError):
         union_trips([])

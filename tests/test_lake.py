@@ -7,10 +7,10 @@ import lake
 from conftest import rows
 from tripmart.contracts import PARTITION_KEYS, SURCHARGES, flag_of
 from tripmart.operators import ingest
-from tripmart.plans import landing, rides, silver, surcharges, weather_prices
+from tripmart.plans import gold, landing, rides, silver, surcharges, weather_prices
 from tripmart.sources.bronze import eras
 from tripmart.sources.listing import list_month_files, list_partition_files, rows_per_file
-from tripmart.sources.tables import read_table
+from tripmart.sources.tables import gather, read_table
 from tripmart.sources.weather import read_bronze_weather
 
 SCOPE = {"years": (2016, 2019), "months": (1, 2)}
@@ -41,7 +41,8 @@ def full(spark, tmp_path_factory):
     it = Lake(spark, root)
     it.outcome = it.ingest()
     lake.weather(f"{root}/json")
-    landing.ingest_weather(spark, f"{root}/json", f"{root}/bronze/weather", f"{root}/wm")
+    it.weather_outcome = landing.ingest_weather(
+        spark, f"{root}/json", f"{root}/bronze/weather", f"{root}/wm")
     it.weather = silver.build_silver_weather(spark, f"{root}/bronze/weather", f"{root}/silver/w")
     it.grid = spark.createDataFrame(
         [(-73995, 40705, 161), (-73995, 40705, 170)],
@@ -172,10 +173,35 @@ def test_weather_bronze_has_all_variables(full, spark):
 def test_weather_lands_once(full, spark):
     again = landing.ingest_weather(
         spark, f"{full.root}/json", f"{full.root}/bronze/weather", f"{full.root}/wm")
-    assert again.count() == 0
+    assert rows(full.weather_outcome) == [("ingested", 3)]
+    assert rows(again) == [("skipped", 3)]
     marks = landing.open_manifest(spark, f"{full.root}/wm", landing.WEATHER_MANIFEST_SCHEMA)
-    assert rows(marks.select("year", "month", "row_count")) == [
-        (2016, 1, 2), (2019, 1, 3), (2019, 2, 1)]
+    assert rows(marks.select("year", "month", "row_count", "source")) == [
+        (2016, 1, 2, "weather_2016-01.json"), (2019, 1, 3, "weather_2019-01.json"),
+        (2019, 2, 1, "weather_2019-02.json")]
+
+
+def test_weather_scope_limit_and_force(spark, path):
+    lake.weather(path("json"))
+    scope = ingest.calendar_months(spark, (2019, 2016), (1, 3))
+
+    def run(**options):
+        return dict(rows(landing.ingest_weather(
+            spark, path("json"), path("bronze"), path("marks"), scope, **options)))
+
+    assert run(limit=2) == {"ingested": 2}  # 2019-01 and 2019-02
+    assert run(limit=4) == {"skipped": 2, "not_published": 1, "ingested": 1}
+    assert run() == {"skipped": 3, "not_published": 3}
+    assert run(force=True) == {"ingested": 3, "not_published": 3}
+    assert read_bronze_weather(spark, path("bronze")).count() == 6
+
+
+def test_missing_source_folder_means_nothing_published(spark, path):
+    nowhere = list_month_files(spark, path("nowhere"))
+    assert nowhere.isEmpty()
+    got = landing.ingest_trips(
+        spark, nowhere, None, path("bronze"), path("manifest"), years=(2016,), months=(1, 1))
+    assert rows(got) == [("not_published", 3)]
 
 
 def test_reports_from_silver(full):
@@ -191,6 +217,40 @@ def test_reports_from_silver(full):
         "neige", "vent_fort", "pluie_legere", "normal"}
 
 
+def test_stored_reports(full, spark, path):
+    zones = spark.createDataFrame(
+        [(z, "A" if z < 50 else "B") for z in (10, 11, 12, 20, 40, 50, 51, 161)],
+        "LocationID int, Borough string")
+    got = gold.build_surcharges(spark, full.trips, path("s"))
+    assert rows(got) == rows(surcharges.surcharge_evolution(full.trips).select(*got.columns))
+    by_zone, by_borough = gold.build_flows(spark, full.trips, zones, path("fz"), path("fb"))
+    both = full.trips.filter("pickup_zone_id is not null and dropoff_zone_id is not null")
+    for table in (by_zone, by_borough):
+        assert table.agg(F.sum("nb_courses")).first()[0] == both.count()
+    sample, size = gold.build_price_sample(
+        spark, full.trips, path("p"), minimum=2, fraction=1.0, years=(2016, 2019))
+    assert size == sample.count() == full.trips.filter(
+        "price_per_km > 0 and price_per_km < 50 and pickup_zone_id in (161, 50, 30, 10)"
+    ).groupBy("pickup_zone_id").count().filter("count >= 2").agg(F.sum("count")).first()[0]
+    heat = gold.build_rides(spark, full.trips, path("h"))
+    assert heat.agg(F.sum("nb_courses")).first()[0] == 16
+    gap = gold.build_price_by_weather(spark, full.trips, path("w"))
+    assert gap.count() == weather_prices.price_by_weather(full.trips).count() > 0
+
+
+def test_only_strays_are_shuffled_for_the_silver_write(full, spark):
+    assert full.trips.filter(silver.in_file_month()).count() == 15
+    strays = full.trips.filter(~F.coalesce(silver.in_file_month(), F.lit(False)))
+    assert rows(strays.select("year", "month")) == [(2015, 12), (None, None)]
+    sources = silver.bronze_sources(spark, full.bronze, full.manifest())
+    trips = silver.silver_trips(sources, full.grid, full.weather)
+    both = gather(trips, PARTITION_KEYS, silver.in_file_month())
+    assert both.count() == trips.count()
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") == 1
+    assert len({(r.source_file, r.source_row) for r in both.collect()}) == 17
+
+
 def test_inventory_without_a_manifest(full, spark):
     """A bronze table laid out by others gives the same silver."""
     manifest = landing.manifest_of_existing(spark, full.bronze)

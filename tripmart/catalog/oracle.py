@@ -85,7 +85,7 @@ VIEW_WEATHER = """
 EVENT_WEATHER = f"""
     SELECT event_id, event_type AS vehicle_type, ts AS pickup_datetime,
            CAST(year(ts) AS INTEGER) AS year, date_trunc('hour', ts) AS pickup_hour_ts,
-           CAST(value AS DECIMAL(18,2)) AS price_per_km, w.* EXCLUDE (h)
+           value AS price_per_km, w.* EXCLUDE (h)
     FROM events LEFT JOIN ({VIEW_WEATHER}) w ON date_trunc('hour', ts) = w.h"""
 
 PRICED = f"""
@@ -312,7 +312,8 @@ def oracle_sql() -> dict[str, str]:
     GROUP BY 1, 2""",
         "price_by_weather": f"""
     WITH base AS (
-      SELECT *, CASE WHEN snowfall > 0 THEN 'neige' WHEN precipitation > 2 THEN 'pluie_forte'
+      SELECT * REPLACE (CAST(price_per_km AS DECIMAL(18,2)) AS price_per_km),
+             CASE WHEN snowfall > 0 THEN 'neige' WHEN precipitation > 2 THEN 'pluie_forte'
                      WHEN precipitation > 0 THEN 'pluie_legere'
                      WHEN windspeed_10m > 40 THEN 'vent_fort' ELSE 'normal' END AS weather_bucket
       FROM ({EVENT_WEATHER})

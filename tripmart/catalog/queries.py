@@ -88,7 +88,9 @@ def surcharge_availability(t):
 
 @_query
 def price_by_weather(t):
-    return weather_prices.price_by_weather(weather_join(t))
+    # Decimal prices make the sums exact, so they can be compared bit by bit.
+    exact = F.col("price_per_km").cast(MONEY)
+    return weather_prices.price_by_weather(weather_join(t).withColumn("price_per_km", exact))
 
 
 @_query

@@ -37,7 +37,7 @@ def event_trips(t: Tables) -> DataFrame:
         ts.alias("pickup_datetime"),
         F.year(ts).alias("year"),
         hour_of(ts).alias("pickup_hour_ts"),
-        F.col("value").cast(MONEY).alias("price_per_km"),
+        F.col("value").alias("price_per_km"),
     )
 
 

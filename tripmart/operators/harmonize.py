@@ -42,6 +42,8 @@ def harmonize(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Canonical trip columns, surcharges with flags, and the vehicle type."""
+    if not any(vehicle_type in f.names for f in fields):
+        raise ValueError(f"no source names for vehicle type {vehicle_type!r}")
     core = [
         _typed(df, f.names.get(vehicle_type, ()), f.type).alias(f.name) for f in fields
     ]

@@ -70,6 +70,19 @@ def candidate_months(
     return not_before_service(grid).drop("start_year", "start_month")
 
 
+def calendar_months(
+    spark: SparkSession,
+    years: Sequence[int] = DEFAULT_YEARS,
+    months: tuple[int, int] = DEFAULT_MONTHS,
+) -> DataFrame:
+    """(year_ordinal, year, month) of every month in scope, for data without types."""
+    return (
+        spark.range(1)
+        .select(F.posexplode(F.array(*[F.lit(y) for y in years])).alias("year_ordinal", "year"))
+        .select("*", F.explode(F.sequence(F.lit(months[0]), F.lit(months[1]))).alias("month"))
+    )
+
+
 def not_before_service(months: DataFrame) -> DataFrame:
     """Drop months before (start_year, start_month) of their row."""
     at = F.col("year") * 12 + F.col("month")
@@ -77,10 +90,11 @@ def not_before_service(months: DataFrame) -> DataFrame:
 
 
 def first_months(plan: DataFrame, limit: int | None) -> DataFrame:
-    """The first ``limit`` months in processing order: type, then year, then month."""
+    """The first ``limit`` months in processing order: type, then year as given, then month."""
     if limit is None:
         return plan
-    return plan.orderBy("type_ordinal", "year_ordinal", "month").limit(limit)
+    order = [c for c in ("type_ordinal", "year_ordinal", "year", "month") if c in plan.columns]
+    return plan.orderBy(*order).limit(limit)
 
 
 def not_yet_ingested(

@@ -27,6 +27,7 @@ from tripmart.operators.ingest import (
     status_summary,
 )
 from tripmart.sources.listing import list_partition_files, with_footers
+from tripmart.sources.tables import write_partitioned
 from tripmart.sources.weather import hourly_rows, read_weather_json
 
 
@@ -80,7 +81,7 @@ def plan_months(
 def ingest_trips(
     spark: SparkSession,
     primary: DataFrame,
-    fallback: DataFrame,
+    fallback: DataFrame | None,
     bronze_path: str,
     manifest_path: str,
     force: bool = False,
@@ -93,7 +94,7 @@ def ingest_trips(
     """
     manifest = open_manifest(spark, manifest_path)
     scope, pending = plan_months(spark, manifest, force=force, **scope_options)
-    resolved = resolve_sources(pending, primary, fallback)
+    resolved = resolve_sources(pending, primary, primary if fallback is None else fallback)
     found = resolved.filter(F.col("path").isNotNull())
     files = with_footers(found.select(*PARTITION_KEYS, "path", "origin"))
 
@@ -104,14 +105,16 @@ def ingest_trips(
 
     # One row per month and three summary rows: fixed now, before the manifest changes.
     outcome = spark.createDataFrame(summary.collect(), summary.schema)
-    landed = spark.createDataFrame(files.collect(), files.schema)
-    land_files(spark, landed, bronze_path)
-    append_manifest(landed, manifest_path)
+    months = files.collect()
+    if months:
+        landed = spark.createDataFrame(months, files.schema)
+        land_files(spark, landed, bronze_path)
+        append_manifest(landed, manifest_path)
     return outcome
 
 
 def append_manifest(files: DataFrame, manifest_path: str) -> None:
-    """Mark months as ingested; does nothing for an empty list."""
+    """Mark months as ingested, after their data has landed."""
     entries = files.select(
         *PARTITION_KEYS,
         F.concat_ws(":", "origin", "path").alias("source"),
@@ -156,30 +159,41 @@ def ingest_weather(
     json_path: str,
     bronze_path: str,
     manifest_path: str,
+    scope: DataFrame | None = None,
+    limit: int | None = None,
     force: bool = False,
 ) -> DataFrame:
-    """Land the hours of months not yet in the weather manifest; return its new rows."""
+    """Land the hours of every pending month; return (status, months).
+
+    ``scope`` names the months to consider, see ``calendar_months`` and
+    ``whole_history``; without it, all months found in the answers.
+    """
     keys = ["year", "month"]
     manifest = open_manifest(spark, manifest_path, WEATHER_MANIFEST_SCHEMA)
-    hours = hourly_rows(read_weather_json(spark, json_path), keep=("source",))
-    dated = hours.withColumns({
+    hours = hourly_rows(read_weather_json(spark, json_path), keep=("source",)).withColumns({
         "year": F.year("datetime_local"), "month": F.month("datetime_local"),
     })
-    fresh = not_yet_ingested(dated, manifest, keys, force)
-    marks = fresh.groupBy(*keys).agg(
-        F.min("source").alias("source"), F.count("*").alias("row_count")
+    answers = hours.groupBy(*keys).agg(
+        F.min("source").alias("path"), F.count("*").alias("row_count")
     )
-    landed = marks.collect()  # one row per month
-    rows = spark.createDataFrame(landed, marks.schema)
-    if landed:
-        (
-            fresh.drop("source")
-            .hint("rebalance", *keys)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(bronze_path)
+    asked = first_months(answers if scope is None else scope, limit).select(*keys)
+    summary = status_summary(month_status(asked, manifest, answers, keys, force))
+    pending = not_yet_ingested(asked, manifest, keys, force)
+    fresh = answers.join(pending, keys, "left_semi")
+
+    # One row per month and three summary rows: fixed now, before the manifest changes.
+    outcome = spark.createDataFrame(summary.collect(), summary.schema)
+    months = fresh.collect()
+    if months:
+        landed = spark.createDataFrame(months, fresh.schema)
+        write_partitioned(
+            hours.join(landed, keys, "left_semi").drop("source"), bronze_path, keys, "partitions"
+        )
+        entries = landed.select(
+            *keys,
+            F.col("path").alias("source"),
+            "row_count",
+            F.current_timestamp().alias("ingested_at"),
         )
-        entries = rows.withColumn("ingested_at", F.current_timestamp())
         entries.coalesce(1).write.mode("append").parquet(manifest_path)
-    return rows
+    return outcome

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import GRID_RESOLUTION, PARTITION_KEYS
+from tripmart.contracts import GRID_RESOLUTION, PARTITION_KEYS, VEHICLE_TYPES
 from tripmart.operators.harmonize import has_coordinates, harmonize, union_trips
 from tripmart.operators.ingest import latest_entries
 from tripmart.operators.metrics import add_trip_metrics
@@ -55,10 +55,22 @@ def bronze_sources(
     spark: SparkSession, root: str, manifest: DataFrame
 ) -> list[tuple[str, DataFrame]]:
     """One scan per era over the months the manifest holds."""
-    inventory = latest_entries(manifest).filter(F.col("row_count") > 0)
+    inventory = latest_entries(manifest).filter(
+        F.col("vehicle_type").isin(*VEHICLE_TYPES) & (F.col("row_count") > 0)
+    )
     return [(era.vehicle_type, scan_era(spark, root, era)) for era in eras(inventory)]
 
 
+def in_file_month() -> Column:
+    """Whether a trip began in the month of the file that holds it.
+
+    Nearly all do.  Their scan task holds one silver partition and can write it
+    without a shuffle; NULL or stray pickup times are false or NULL.
+    """
+    folder = F.concat("vehicle_type", F.lit("/"), "year", F.lit("/"), "month", F.lit("/"))
+    return F.startswith("source_file", folder)
+
+
 def build_silver_weather(spark: SparkSession, bronze_path: str, silver_path: str) -> DataFrame:
     weather = silver_weather(read_bronze_weather(spark, bronze_path))
     write_partitioned(weather, silver_path, ("year", "month"))
@@ -82,5 +94,5 @@ def build_silver_trips(
     """
     sources = bronze_sources(spark, bronze_path, manifest)
     trips = silver_trips(sources, grid, weather)
-    write_partitioned(trips, silver_path, PARTITION_KEYS, replace)
+    write_partitioned(trips, silver_path, PARTITION_KEYS, replace, settled=in_file_month())
     return read_table(spark, silver_path)

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +14,22 @@ from tripmart.contracts import TRIP_FILE_PATTERN
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per file below ``root``: (path, length).
+    """One row per file below ``root``: (path, length); none if there is no such folder.
 
     The binary source lists in parallel and opens no file, since its content
     column is not selected.
     """
-    return (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path", "length")
     )
+    try:
+        return reader.load(root).select("path", "length")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint")
 
 
 def list_month_files(spark: SparkSession, root: str) -> DataFrame:

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def gather(df: DataFrame, keys: Sequence[str], settled: Column | None = None) -> DataFrame:
+    """Bring the rows of each partition together before a partitioned write.
+
+    Adaptive execution splits a partition that is too large for one task and merges
+    small ones.  Rows for which ``settled`` holds already lie with their like in the
+    scan: they stay in the task that read them, and only the rest is shuffled.
+    """
+    if settled is None:
+        return df.hint("rebalance", *keys)
+    stays = F.coalesce(settled, F.lit(False))
+    return df.filter(stays).unionByName(df.filter(~stays).hint("rebalance", *keys))
 
 
 def write_partitioned(
@@ -12,17 +26,16 @@ def write_partitioned(
     path: str,
     keys: Sequence[str],
     replace: str = "table",
+    settled: Column | None = None,
 ) -> None:
     """Overwrite a partitioned Parquet table.
 
     ``replace="table"`` drops everything that was there; ``"partitions"`` only the
-    partitions that ``df`` holds.  The rebalance hint gathers each partition's rows
-    into few files, and lets adaptive execution split a partition that is too large
-    for one task and merge those that are small.
+    partitions that ``df`` holds.  See ``gather`` for ``settled``.
     """
     mode = {"table": "static", "partitions": "dynamic"}[replace]
     (
-        df.hint("rebalance", *keys)
+        gather(df, keys, settled)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*keys)
