@@ -253,7 +253,7 @@ def test_only_strays_are_shuffled_for_the_silver_write(full, spark):
 
 def test_inventory_without_a_manifest(full, spark):
     """A bronze table laid out by others gives the same silver."""
-    manifest = landing.manifest_of_existing(spark, full.bronze)
+    manifest = landing.manifest_of_existing(spark, full.bronze, marked_only=False)
     assert {tuple(r[:3]): r.row_count for r in manifest.select(
         *PARTITION_KEYS, "row_count").collect()} == full.counts
     sources = silver.bronze_sources(spark, full.bronze, manifest)
@@ -261,6 +261,35 @@ def test_inventory_without_a_manifest(full, spark):
     assert silver.silver_trips(sources, full.grid, full.weather).count() == 17
 
 
+def test_inventory_from_markers(spark, path):
+    """Padded folders, one file and one marker per month; unmarked months do not count."""
+    root = path("bronze")
+    for month, marked in ((1, True), (2, False), (3, True)):
+        folder = f"{root}/vehicle_type=green/year=2019/month={month:02d}"
+        lake.write(folder, "green", 2019, month,
+                   lake.green([f"2019-{month:02d}-05 08:00:00"] * month), nested=False)
+        if marked:
+            with open(f"{folder}/_SUCCESS", "w") as handle:
+                handle.write('{"source": "local:x", "row_count": 9, '
+                             '"ingested_at": "2025-01-02T03:04:05.000006+00:00"}')
+    manifest = landing.manifest_of_existing(spark, root)
+    assert rows(manifest.select("month", "source", "row_count", "location")) == [
+        (1, "local:x", 1, "vehicle_type=green/year=2019/month=01"),
+        (3, "local:x", 3, "vehicle_type=green/year=2019/month=03")]
+    assert str(manifest.select(F.date_format("ingested_at", "yyyy-MM-dd HH:mm")).first()[0]) == (
+        "2025-01-02 03:04")
+    ((kind, frame),) = silver.bronze_sources(spark, root, manifest)
+    assert (kind, frame.count()) == ("green", 4)
+
+
+def test_weather_inventory_from_markers(full, spark, path):
+    every = landing.weather_manifest_of_existing(
+        spark, f"{full.root}/bronze/weather", marked_only=False)
+    assert rows(every.select("year", "month", "row_count", "source")) == [
+        (2016, 1, 2, "existing"), (2019, 1, 3, "existing"), (2019, 2, 1, "existing")]
+    assert landing.weather_manifest_of_existing(spark, f"{full.root}/bronze/weather").isEmpty()
+
+
 def test_month_with_two_schemas_is_scanned_by_file(spark, path):
     root = path("bronze")
     base = f"{root}/vehicle_type=yellow/year=2019/month=01"
@@ -269,7 +298,7 @@ def test_month_with_two_schemas_is_scanned_by_file(spark, path):
         lake.write(f"{base}-{name}", "yellow", 2019, 1, columns, nested=False)
         spark.read.parquet(f"{base}-{name}").write.mode("append").parquet(base)
     # Only the padded folder itself is a partition; the scratch folders are not.
-    manifest = landing.manifest_of_existing(spark, root)
+    manifest = landing.manifest_of_existing(spark, root, marked_only=False)
     assert manifest.count() == 2
     found = silver.bronze_sources(spark, root, manifest)
     trips = silver.union_trips([silver.harmonize(f, k) for k, f in found])

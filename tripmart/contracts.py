@@ -161,9 +161,7 @@ LOCATION_COLUMNS = (
 )
 PARTITION_KEYS = ("vehicle_type", "year", "month")
 
-ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 RING_SCHEMA = "LocationID int, ring array<struct<x:double,y:double>>"
-GRID_SCHEMA = "grid_lon_idx bigint, grid_lat_idx bigint, LocationID int"
 MANIFEST_SCHEMA = (
     "vehicle_type string, year int, month int, source string, row_count bigint, "
     "ingested_at timestamp, columns array<string>, location string"

@@ -26,7 +26,7 @@ from tripmart.operators.ingest import (
     service_types,
     status_summary,
 )
-from tripmart.sources.listing import list_partition_files, with_footers
+from tripmart.sources.listing import list_partition_files, with_footers, with_markers
 from tripmart.sources.tables import write_partitioned
 from tripmart.sources.weather import hourly_rows, read_weather_json
 
@@ -126,34 +126,64 @@ def append_manifest(files: DataFrame, manifest_path: str) -> None:
     entries.coalesce(1).write.mode("append").parquet(manifest_path)
 
 
-def manifest_of_existing(spark: SparkSession, bronze_path: str) -> DataFrame:
+def manifest_of_existing(
+    spark: SparkSession, bronze_path: str, marked_only: bool = True
+) -> DataFrame:
     """Manifest rows for a bronze table that something else has laid out.
 
+    Months count as ingested if their folder holds a ``_SUCCESS`` marker, whose
+    source and time are taken over; with ``marked_only=False`` every month counts.
     Months whose files differ in columns get one row per file, so that each can be
     scanned with files like itself.
     """
-    files = with_footers(list_partition_files(spark, bronze_path))
-    mixed = files.groupBy(*PARTITION_KEYS).agg(
-        F.count_distinct("columns").alias("__variants")
-    )
+    files = list_partition_files(spark, bronze_path)
+    months = with_markers(files.select(*PARTITION_KEYS, "folder").distinct())
+    if marked_only:
+        months = months.filter(F.col("marker").isNotNull())
+    mark = F.from_json("marker", "source string, ingested_at timestamp")
+    marks = months.select(*PARTITION_KEYS, "folder", mark.alias("mark"))
+
+    described = with_footers(files.join(marks.select("folder"), "folder", "left_semi"))
+    mixed = described.groupBy("folder").agg(F.count_distinct("columns").alias("variants"))
     own = F.concat_ws("/", "location", F.element_at(F.split("path", "/"), -1))
-    placed = files.join(mixed, list(PARTITION_KEYS)).withColumn(
-        "location", F.when(F.col("__variants") == 1, F.col("location")).otherwise(own)
+    placed = described.join(mixed, "folder").withColumn(
+        "location", F.when(F.col("variants") == 1, F.col("location")).otherwise(own)
     )
     return (
-        placed.groupBy(*PARTITION_KEYS, "columns", "location")
+        placed.groupBy("folder", "columns", "location")
         .agg(F.sum("row_count").alias("row_count"))
+        .join(marks, "folder")
         .select(
             *PARTITION_KEYS,
-            F.lit("existing").alias("source"),
+            F.coalesce("mark.source", F.lit("existing")).alias("source"),
             "row_count",
-            F.current_timestamp().alias("ingested_at"),
+            F.coalesce("mark.ingested_at", F.current_timestamp()).alias("ingested_at"),
             "columns",
             "location",
         )
     )
 
 
+def weather_manifest_of_existing(
+    spark: SparkSession, bronze_path: str, marked_only: bool = True
+) -> DataFrame:
+    """The same for hourly weather, in folders by year and month."""
+    keys = ["year", "month"]
+    files = with_footers(list_partition_files(spark, bronze_path, keys))
+    months = with_markers(
+        files.groupBy(*keys, "folder").agg(F.sum("row_count").alias("row_count"))
+    )
+    if marked_only:
+        months = months.filter(F.col("marker").isNotNull())
+    mark = F.from_json("marker", "source_url string, ingested_at timestamp")
+    return months.select(
+        *keys,
+        F.coalesce(mark["source_url"], F.lit("existing")).alias("source"),
+        "row_count",
+        F.coalesce(mark["ingested_at"], F.current_timestamp()).alias("ingested_at"),
+    )
+
+
 def ingest_weather(
     spark: SparkSession,
     json_path: str,

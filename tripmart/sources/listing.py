@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import TRIP_FILE_PATTERN
+from tripmart.contracts import PARTITION_KEYS, TRIP_FILE_PATTERN
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
@@ -54,27 +54,49 @@ def list_month_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def list_partition_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of a partitioned trip table: (vehicle_type, year, month, path, location).
+def list_partition_files(
+    spark: SparkSession, root: str, keys: Sequence[str] = PARTITION_KEYS
+) -> DataFrame:
+    """Files of a partitioned table: (keys, path, folder, location).
 
     ``location`` is the partition folder relative to ``root``; zero-padded and
     plain month folders are both understood.
     """
-    pattern = r"(vehicle_type=([^/]+)/year=(\d+)/month=(\d+))/[^/]+$"
-    part = [F.regexp_extract("path", pattern, i) for i in (1, 2, 3, 4)]
+    values = {"vehicle_type": "([^/]+)", "year": r"(\d+)", "month": r"(\d+)"}
+    pattern = "/(" + "/".join(f"{k}={values[k]}" for k in keys) + ")/[^/]+$"
+    part = [F.regexp_extract("path", pattern, i) for i in range(1, len(keys) + 2)]
+    kinds = ["string" if k == "vehicle_type" else "int" for k in keys]
     return (
         list_files(spark, root)
         .filter(F.col("path").rlike(pattern))
         .select(
-            part[1].alias("vehicle_type"),
-            part[2].cast("int").alias("year"),
-            part[3].cast("int").alias("month"),
+            *[p.cast(kind).alias(k) for p, kind, k in zip(part[1:], kinds, keys)],
             "path",
+            F.regexp_replace("path", "/[^/]+$", "").alias("folder"),
             part[0].alias("location"),
         )
     )
 
 
+def _opener() -> Callable:
+    """A file opener for use inside tasks, on any storage that pyarrow knows."""
+
+    # Nested, so that it travels with the task and workers need no copy of this package.
+    def open_file(path: str):
+        from pyarrow import fs
+
+        # Local files are listed as "file:/x"; a URI parser wants "file:///x".
+        uri = re.sub("^file:/(?!/)", "file:///", path)
+        system, inner = fs.FileSystem.from_uri(uri)
+        return system.open_input_file(inner)
+
+    return open_file
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def with_footers(files: DataFrame) -> DataFrame:
     """Add what each file's footer says: ``columns`` and ``row_count``.
 
@@ -82,31 +104,47 @@ def with_footers(files: DataFrame) -> DataFrame:
     scanned together, and whether a month has a column is taken from here and from
     nowhere else.  Tasks read footers only, never data.
     """
+    open_file = _opener()
 
-    # Nested, so that workers need no copy of this package.
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         for batch in batches:
             columns, rows = [], []
             for path in batch["path"]:
-                # Local files are listed as "file:/x"; a URI parser wants "file:///x".
-                uri = re.sub("^file:/(?!/)", "file:///", path)
-                system, inner = fs.FileSystem.from_uri(uri)
-                with system.open_input_file(inner) as handle:
+                with open_file(path) as handle:
                     footer = pq.read_metadata(handle)
                 schema = footer.schema.to_arrow_schema()
                 columns.append(sorted(f"{c.name} {c.type}" for c in schema))
                 rows.append(footer.num_rows)
             yield batch.assign(columns=columns, row_count=rows)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
     return files.repartition("path").mapInPandas(
-        read, f"{schema}, columns array<string>, row_count bigint"
+        read, f"{_ddl(files)}, columns array<string>, row_count bigint"
     )
 
 
+def with_markers(folders: DataFrame, name: str = "_SUCCESS") -> DataFrame:
+    """Add ``marker``: the text of the marker file in each ``folder``, NULL without one.
+
+    Spark's own readers pass over files whose name starts with an underscore.
+    """
+    open_file = _opener()
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = []
+            for folder in batch["folder"]:
+                try:
+                    with open_file(f"{folder}/{name}") as handle:
+                        texts.append(handle.read().decode("utf-8"))
+                except FileNotFoundError:
+                    texts.append(None)
+            yield batch.assign(marker=texts)
+
+    return folders.repartition("folder").mapInPandas(read, f"{_ddl(folders)}, marker string")
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count of every file behind ``df``; no data column is read."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import GRID_SCHEMA, RING_SCHEMA
+from tripmart.contracts import RING_SCHEMA
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -29,14 +29,9 @@ def read_rings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
+    """Grid lookup with its contract types, whatever integers the file holds."""
     return spark.read.parquet(path).select(
         F.col("grid_lon_idx").cast("bigint"),
         F.col("grid_lat_idx").cast("bigint"),
         F.col("LocationID").try_cast("int"),
-    ).to(_schema(spark, GRID_SCHEMA))
-
-
-def _schema(spark: SparkSession, ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
+    )
