@@ -338,16 +338,14 @@ def test_crash_before_marking_is_repaired_by_the_next_run(spark, path, monkeypat
     assert rows_per_file(spark.read.parquet(it.bronze)).agg(F.sum("row_count")).first()[0] == total
 
 
-def test_rebuild_of_some_months_leaves_the_others(full, spark, path):
-    target = path("silver")
-    manifest = full.manifest()
-    silver.build_silver_trips(spark, full.bronze, manifest, full.grid, full.weather, target)
-    some = manifest.filter("vehicle_type = 'green'")
-    silver.build_silver_trips(
-        spark, full.bronze, some, full.grid, full.weather, target, replace="partitions")
-    assert read_table(spark, target, refresh=True).count() == 17
-    silver.build_silver_trips(spark, full.bronze, some, full.grid, full.weather, target)
-    assert read_table(spark, target, refresh=True).count() == 2
+def test_rebuild_of_some_types_leaves_the_others(full, spark, path):
+    def build(manifest, **options):
+        return silver.build_silver_trips(
+            spark, full.bronze, manifest, full.grid, full.weather, path("silver"), **options)
+
+    assert build(full.manifest()).count() == 17
+    assert build(full.manifest(), types=["green", "fhv"]).count() == 17
+    assert build(full.manifest().filter("vehicle_type = 'green'")).count() == 2
 
 
 def test_empty_manifest_fails(full, spark):

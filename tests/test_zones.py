@@ -1,8 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from conftest import rows
 from tripmart.operators.grid_fill import GridSpec, build_zone_grid, nodes_within_zones
 from tripmart.operators.zones import one_zone_per_cell, resolve_zones, zone_cells

@@ -165,8 +165,9 @@ def _rank_bins(
         F.sum("nb_courses").over(Window.partitionBy(*group)).alias("n"),
     )
     position = F.col("quantile") * (F.col("n") - 1)
+    asked = F.array(*[F.lit(float(q)) for q in quantiles])
     return (
-        bins.select("*", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile"))
+        bins.select("*", F.explode(asked).alias("quantile"))
         .select(
             *group,
             "bin",

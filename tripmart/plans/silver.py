@@ -84,15 +84,21 @@ def build_silver_trips(
     grid: DataFrame,
     weather: DataFrame,
     silver_path: str,
-    replace: str = "table",
+    types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Write silver trips and read them back.
+    """Write silver trips and read them back; raises when there is nothing to read.
 
-    Raises when the manifest is empty.  ``replace="partitions"`` suits a manifest
-    narrowed to some months: other partitions stay.  Partitions follow the pickup
-    time, so a month narrowed this way must bring all files that reach into it.
+    With ``types`` only those vehicle types are rebuilt and the others stay.  Whole
+    types, because a file may hold trips of any month; partitions of a rebuilt type
+    that get no trips any more go away with the next full build.
     """
-    sources = bronze_sources(spark, bronze_path, manifest)
-    trips = silver_trips(sources, grid, weather)
-    write_partitioned(trips, silver_path, PARTITION_KEYS, replace, settled=in_file_month())
-    return read_table(spark, silver_path)
+    scope = manifest if types is None else manifest.filter(F.col("vehicle_type").isin(*types))
+    trips = silver_trips(bronze_sources(spark, bronze_path, scope), grid, weather)
+    write_partitioned(
+        trips,
+        silver_path,
+        PARTITION_KEYS,
+        replace="table" if types is None else "partitions",
+        settled=in_file_month(),
+    )
+    return read_table(spark, silver_path, refresh=True)
