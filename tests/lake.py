@@ -24,6 +24,11 @@ def write(root, vehicle_type, year, month, columns, nested=True):
     return table.num_rows
 
 
+def put_table(path, arrays):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    pq.write_table(pa.table(arrays), path)
+
+
 def yellow_gps(pickups):
     n = len(pickups)
     inside = (-73.995, 40.705)

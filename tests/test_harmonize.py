@@ -7,7 +7,7 @@ from tripmart.operators.harmonize import (
     harmonize,
     has_coordinates,
     surcharge_states,
-    union_trips,
+    union_eras,
 )
 
 
@@ -66,7 +66,7 @@ def test_unreadable_values_become_null_not_errors(spark):
 def test_absent_missing_zero_stay_apart_through_the_union(spark):
     without = spark.range(2).select(F.lit(1.0).alias("fare_amount"))
     having = spark.createDataFrame([(0.0,), (None,), (2.5,), (2.5,)], "Airport_fee double")
-    trips = union_trips([harmonize(without, "yellow"), harmonize(having, "yellow")])
+    trips = union_eras([harmonize(without, "yellow"), harmonize(having, "yellow")])
     got = trips.select("airport_fee", flag_of("airport_fee"))
     assert rows(got) == [
         (0.0, True), (2.5, True), (2.5, True), (None, False), (None, False), (None, True),
@@ -87,7 +87,7 @@ def test_alternate_surcharge_name(spark):
 def test_union_of_bigint_and_double_ids_stays_int(spark):
     a = spark.range(1).select(F.lit(3).cast("bigint").alias("PULocationID"))
     b = spark.range(1).select(F.lit(4.0).alias("PULocationID"))
-    trips = union_trips([harmonize(a, "yellow"), harmonize(b, "green")])
+    trips = union_eras([harmonize(a, "yellow"), harmonize(b, "green")])
     assert dict(trips.dtypes)["pu_location_id"] == "int"
     assert sorted(r.pu_location_id for r in trips.collect()) == [3, 4]
 
@@ -99,7 +99,7 @@ def test_unknown_vehicle_type_fails(spark):
 
 def test_union_of_nothing_fails(spark):
     with pytest.raises(ValueError):
-        union_trips([])
+        union_eras([])
 
 
 def test_coordinate_detection(spark):

@@ -1,5 +1,6 @@
 """Source files to silver and the reports, on files with drifting schemas."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,6 @@ from tripmart.plans import gold, landing, rides, silver, surcharges, weather_pri
 from tripmart.sources.bronze import eras
 from tripmart.sources.listing import list_month_files, list_partition_files, rows_per_file
 from tripmart.sources.tables import gather, read_table
-from tripmart.sources.weather import read_bronze_weather
 
 SCOPE = {"years": (2016, 2019), "months": (1, 2)}
 
@@ -165,7 +165,7 @@ def test_silver_weather_once_per_hour(full):
 
 
 def test_weather_bronze_has_all_variables(full, spark):
-    bronze = read_bronze_weather(spark, f"{full.root}/bronze/weather")
+    bronze = silver.bronze_weather(spark, f"{full.root}/bronze/weather")
     assert bronze.columns[0] == "datetime_local" and len(bronze.columns) == 8
     assert bronze.filter("relativehumidity_2m = 50.0").count() == 6
 
@@ -181,6 +181,21 @@ def test_weather_lands_once(full, spark):
         (2019, 2, 1, "weather_2019-02.json")]
 
 
+def test_weather_months_with_other_types(spark, path):
+    """Codes with a gap are doubles in their month; a variable may lack altogether."""
+    for month, code, more in ((1, pa.array([61, 3]), {}),
+                              (2, pa.array([61.0, None]), {"rain": pa.array([0.5, 1.0])})):
+        hours = [lake.at(f"2019-{month:02d}-01 0{h}:00:00") for h in (0, 1)]
+        lake.put_table(f"{path('b')}/year=2019/month={month:02d}/weather.parquet", {
+            "datetime_local": pa.array(hours, lake.TIME), "weathercode": code, **more})
+    got = silver.bronze_weather(spark, path("b"))
+    assert dict(got.dtypes)["weathercode"] == "bigint" and len(got.columns) == 8
+    assert rows(got.select("weathercode", "rain")) == [
+        (3, None), (61, 0.5), (61, None), (None, 1.0)]
+    with pytest.raises(ValueError):
+        silver.bronze_weather(spark, path("nowhere"))
+
+
 def test_weather_scope_limit_and_force(spark, path):
     lake.weather(path("json"))
     scope = ingest.calendar_months(spark, (2019, 2016), (1, 3))
@@ -193,7 +208,7 @@ def test_weather_scope_limit_and_force(spark, path):
     assert run(limit=4) == {"skipped": 2, "not_published": 1, "ingested": 1}
     assert run() == {"skipped": 3, "not_published": 3}
     assert run(force=True) == {"ingested": 3, "not_published": 3}
-    assert read_bronze_weather(spark, path("bronze")).count() == 6
+    assert silver.bronze_weather(spark, path("bronze")).count() == 6
 
 
 def test_missing_source_folder_means_nothing_published(spark, path):
@@ -301,7 +316,7 @@ def test_month_with_two_schemas_is_scanned_by_file(spark, path):
     manifest = landing.manifest_of_existing(spark, root, marked_only=False)
     assert manifest.count() == 2
     found = silver.bronze_sources(spark, root, manifest)
-    trips = silver.union_trips([silver.harmonize(f, k) for k, f in found])
+    trips = silver.union_eras([silver.harmonize(f, k) for k, f in found])
     assert rows(trips.select("pu_location_id", "airport_fee_disponible")) == [
         (10, True), (None, False)]
 

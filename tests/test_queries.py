@@ -40,6 +40,13 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_pairs_no_rows_and_stays_in_the_jvm(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    for word in ("Cartesian", "NestedLoop", "Python", "InPandas", "Arrow"):
+        assert word not in plan
+
+
 def test_rows_only_query_runs(spark):
     for name in ROWS_ONLY:
         assert QUERIES[name](spark, DATA).count() >= 0

@@ -286,7 +286,7 @@ def oracle_sql() -> dict[str, str]:
     recorded = "CASE WHEN l_linestatus = 'F' THEN {} END"
     return {
         "rides_by_dow_hour": RIDES,
-        "heatmap_by_year": f"""
+        "heatmap_pivot": f"""
     SELECT day_of_week, {', '.join(
         f"CAST(coalesce(sum(nb_courses) FILTER (hour_of_day = {h}), 0) AS BIGINT) AS h{h}"
         for h in range(24))}
@@ -348,7 +348,7 @@ def oracle_sql() -> dict[str, str]:
            round(quantile_cont(price_per_km, {q}), 6) AS price
     FROM ({PRICED}) GROUP BY 1, 2""" for q in QUANTILES),
         "harmonized_trips": HARMONIZED,
-        "absent_missing_zero": _states(),
+        "absent_vs_null_vs_zero": _states(),
         "grid_resolve": _located("lineitem", COORDINATES, "NULL", "NULL", KEY),
         "zone_coalesce": _located(
             "lineitem", COORDINATES, recorded.format("l_suppkey"),

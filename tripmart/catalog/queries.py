@@ -12,7 +12,7 @@ from tripmart.catalog.roles import LINE_KEY, MONEY, Tables
 from tripmart.contracts import ZONE_ROW_BOUND
 from tripmart.operators import ingest
 from tripmart.operators.grid_fill import GridSpec, build_zone_grid, nodes_within_zones
-from tripmart.operators.harmonize import harmonize, surcharge_states, union_trips
+from tripmart.operators.harmonize import harmonize, surcharge_states, union_eras
 from tripmart.operators.metrics import add_trip_metrics
 from tripmart.operators.sampling import keyed_sample
 from tripmart.operators.weather_join import join_weather
@@ -57,7 +57,7 @@ def rides_by_dow_hour(t):
 
 
 @_query
-def heatmap_by_year(t):
+def heatmap_pivot(t):
     return rides.heatmap(rides_by_dow_hour(t), HEATMAP_YEAR)
 
 
@@ -150,13 +150,13 @@ def price_quantiles(t):
 
 @_query
 def harmonized_trips(t):
-    return union_trips(
+    return union_eras(
         [harmonize(frame, kind, keep=LINE_KEY) for kind, frame in roles.bronze_sources(t)]
     )
 
 
 @_query
-def absent_missing_zero(t):
+def absent_vs_null_vs_zero(t):
     return surcharge_states(harmonized_trips(t), ["vehicle_type"])
 
 
@@ -223,7 +223,8 @@ def zone_grid_build(t):
 @_query
 def file_row_counts(t):
     # No column is read, so files of different tables can share one scan.
-    scan = t.spark.read.option("recursiveFileLookup", True).parquet(t.folder)
+    reader = t.spark.read.option("recursiveFileLookup", True)
+    scan = reader.option("pathGlobFilter", "*.parquet").parquet(t.folder)
     table = F.regexp_extract("file_path", r"/([^/]+)\.parquet(/|$)", 1)
     return (
         rows_per_file(scan).groupBy(table.alias("table_name"))

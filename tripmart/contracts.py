@@ -182,9 +182,6 @@ WEATHER_JSON_SCHEMA = T.StructType([
         ]
     ))
 ])
-WEATHER_SCHEMA = "datetime_local timestamp_ntz, " + ", ".join(
-    f"{name} {kind}" for name, kind in WEATHER_VARIABLES.items()
-)
 
 
 def flag_of(surcharge: str) -> str:

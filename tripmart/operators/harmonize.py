@@ -14,7 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.contracts import SURCHARGES, TRIP_FIELDS, TripField, flag_of
+from tripmart.contracts import (
+    SURCHARGES,
+    TRIP_FIELDS,
+    WEATHER_VARIABLES,
+    TripField,
+    flag_of,
+)
 
 
 def _resolve(columns: Iterable[str], candidates: Iterable[str]) -> str | None:
@@ -60,6 +66,12 @@ def harmonize(
     )
 
 
+def typed_weather(df: DataFrame) -> DataFrame:
+    """Hourly weather with its contract types; a variable the months lack is NULL."""
+    kinds = {"datetime_local": "timestamp_ntz", **WEATHER_VARIABLES}
+    return df.select(*[_typed(df, (name,), kind).alias(name) for name, kind in kinds.items()])
+
+
 def has_coordinates(df: DataFrame, vehicle_type: str) -> bool:
     """Whether a source frame carries any pickup or dropoff coordinate."""
     return any(
@@ -69,10 +81,10 @@ def has_coordinates(df: DataFrame, vehicle_type: str) -> bool:
     )
 
 
-def union_trips(frames: Sequence[DataFrame]) -> DataFrame:
+def union_eras(frames: Sequence[DataFrame]) -> DataFrame:
     """All eras under each other, by name; a column missing in one is NULL there."""
     if not frames:
-        raise ValueError("no bronze trips: run the landing step first")
+        raise ValueError("nothing in bronze: run the landing step first")
     return reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True), frames
     )

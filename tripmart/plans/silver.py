@@ -8,14 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import GRID_RESOLUTION, PARTITION_KEYS, VEHICLE_TYPES
-from tripmart.operators.harmonize import has_coordinates, harmonize, union_trips
+from tripmart.operators.harmonize import (
+    has_coordinates,
+    harmonize,
+    typed_weather,
+    union_eras,
+)
 from tripmart.operators.ingest import latest_entries
 from tripmart.operators.metrics import add_trip_metrics
 from tripmart.operators.weather_join import join_weather
 from tripmart.operators.zones import resolve_zones, zone_cells
 from tripmart.sources.bronze import eras, scan_era
 from tripmart.sources.tables import read_table, write_partitioned
-from tripmart.sources.weather import read_bronze_weather
+from tripmart.sources.weather import scan_bronze_weather
 
 IDENTITY = ("source_file", "source_row")
 
@@ -48,7 +53,7 @@ def silver_trips(
         )
         for (vehicle_type, frame), has in zip(sources, gps)
     ]
-    return join_weather(add_trip_metrics(union_trips(located)), weather)
+    return join_weather(add_trip_metrics(union_eras(located)), weather)
 
 
 def bronze_sources(
@@ -71,10 +76,16 @@ def in_file_month() -> Column:
     return F.startswith("source_file", folder)
 
 
+def bronze_weather(spark: SparkSession, root: str) -> DataFrame:
+    """All landed hours with their contract types."""
+    return union_eras([typed_weather(frame) for frame in scan_bronze_weather(spark, root)])
+
+
 def build_silver_weather(spark: SparkSession, bronze_path: str, silver_path: str) -> DataFrame:
-    weather = silver_weather(read_bronze_weather(spark, bronze_path))
-    write_partitioned(weather, silver_path, ("year", "month"))
-    return read_table(spark, silver_path)
+    write_partitioned(
+        silver_weather(bronze_weather(spark, bronze_path)), silver_path, ("year", "month")
+    )
+    return read_table(spark, silver_path, refresh=True)
 
 
 def build_silver_trips(

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import (
-    WEATHER_JSON_SCHEMA,
-    WEATHER_SCHEMA,
-    WEATHER_VARIABLES,
-)
+from tripmart.contracts import WEATHER_JSON_SCHEMA, WEATHER_VARIABLES
+from tripmart.sources.listing import list_partition_files, with_footers
 
 
 def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
@@ -45,8 +42,13 @@ def hourly_rows(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def read_bronze_weather(spark: SparkSession, root: str) -> DataFrame:
-    """All landed months; the partition folders add nothing and are left out."""
-    return spark.read.schema(f"{WEATHER_SCHEMA}, year int, month int").parquet(root).drop(
-        "year", "month"
-    )
+def scan_bronze_weather(spark: SparkSession, root: str) -> list[DataFrame]:
+    """Landed months, one frame per set of equal columns.
+
+    A month whose codes have gaps may hold them as doubles where others hold
+    integers; reading both with one schema would fail.
+    """
+    files = with_footers(list_partition_files(spark, root, ("year", "month")))
+    groups = files.groupBy("columns").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+    # Only file names reach the driver, a few per month, to name each scan.
+    return [spark.read.parquet(*group.paths) for group in groups.collect()]
