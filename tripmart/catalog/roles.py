@@ -17,13 +17,15 @@ MONEY = "decimal(18,2)"  # sums are exact, so they agree at any parallelism
 
 
 class Tables:
-    """Lazy readers for one data folder."""
+    """Tables of one data folder, opened when first named."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 # --- events as trips -------------------------------------------------------

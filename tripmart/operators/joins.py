@@ -13,13 +13,14 @@ def broadcast_within(df: DataFrame, row_bound: int | None) -> DataFrame:
     """Hint ``df`` for broadcasting if it has at most ``row_bound`` rows.
 
     The count prunes to the grouping columns of ``df``, and on a plain stored table
-    to its footers.  Beyond the bound, or with ``None``, the frame comes back
-    without a hint: the join then shuffles and adaptive execution splits hot keys
-    of its left side.
+    to its footers.  Beyond the bound, or with ``None``, the join shuffles, and
+    adaptive execution splits hot keys of its left side.  It does so only if both
+    sides are shuffled for the join itself; an aggregate already grouped by the join
+    keys would be joined as it lies, hence the rebalance.
     """
-    if row_bound is None:
-        return df
-    return F.broadcast(df) if df.count() <= row_bound else df
+    if row_bound is not None and df.count() <= row_bound:
+        return F.broadcast(df)
+    return df.hint("rebalance")
 
 
 def join_null_safe(
