@@ -24,6 +24,7 @@ from tripmart.sources.weather import hourly_rows, parse_weather_text
 # Thresholds scaled to the price per quantity of these tables.
 CEILING, MINIMUM = 2000, 1000
 WIDTH = 25.0
+RANK_WIDTH = 1.0  # narrow bins: few distinct prices have to be ranked together
 RATE = 0.1
 PRICE_YEARS = tuple(range(1995, 2002))
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -141,7 +142,8 @@ def price_histogram(t):
 @_query
 def price_quantiles(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING)
-    found = prices.price_quantiles(trips, price_histogram(t), QUANTILES, WIDTH)
+    histogram = prices.price_histogram(trips, RANK_WIDTH)
+    found = prices.price_quantiles(trips, histogram, QUANTILES, RANK_WIDTH)
     return found.withColumn("price", F.round("price", 6))
 
 

@@ -9,17 +9,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_within(df: DataFrame, row_bound: int | None) -> DataFrame:
+def broadcast_within(
+    df: DataFrame, row_bound: int | None, at_most: int | None = None
+) -> DataFrame:
     """Hint ``df`` for broadcasting if it has at most ``row_bound`` rows.
 
-    The count prunes to the grouping columns of ``df``, and on a plain stored table
-    to its footers.  Beyond the bound, or with ``None``, the join shuffles, and
-    adaptive execution splits hot keys of its left side.  It does so only if both
-    sides are shuffled for the join itself; an aggregate already grouped by the join
-    keys would be joined as it lies, hence the rebalance.
+    ``at_most`` is a number of rows that ``df`` cannot exceed, if the caller knows
+    one; otherwise ``df`` is counted, which prunes to its grouping columns, and on a
+    plain stored table to its footers.
+
+    Beyond the bound, or with ``None``, the join shuffles, and adaptive execution
+    splits hot keys of its left side.  It does so only if both sides are shuffled for
+    the join itself; an aggregate already grouped by the join keys would be joined as
+    it lies, hence the rebalance.
     """
-    if row_bound is not None and df.count() <= row_bound:
-        return F.broadcast(df)
+    if row_bound is not None:
+        if (df.count() if at_most is None else at_most) <= row_bound:
+            return F.broadcast(df)
     return df.hint("rebalance")
 
 

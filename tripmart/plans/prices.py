@@ -115,7 +115,9 @@ def price_quantiles(
     """
     group = ["pickup_zone_id", "year"]
     targets = _rank_bins(histogram, group, quantiles)
-    needed = broadcast_within(targets.select(*group, "bin").distinct(), row_bound)
+    # Two ranks per quantile and group at most: counting groups is enough, and cheap.
+    ranks = 2 * len(quantiles) * prices.select(*group).distinct().count()
+    needed = broadcast_within(targets.select(*group, "bin").distinct(), row_bound, ranks)
     binned = prices.select(
         *group, "price_per_km", F.floor(F.col("price_per_km") / F.lit(width)).alias("bin")
     )
@@ -164,20 +166,22 @@ def _rank_bins(
         F.sum("nb_courses").over(upto).alias("upto"),
         F.sum("nb_courses").over(Window.partitionBy(*group)).alias("n"),
     )
-    position = F.col("quantile") * (F.col("n") - 1)
-    asked = F.array(*[F.lit(float(q)) for q in quantiles])
-    return (
-        bins.select("*", F.explode(asked).alias("quantile"))
-        .select(
-            *group,
-            "bin",
-            "quantile",
-            "before",
-            "upto",
-            F.floor(position).alias("low"),
-            F.ceil(position).alias("high"),
-            (position - F.floor(position)).alias("part"),
-        )
-        .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("upto")))
-        .drop("upto")
+
+    def position(q: Column) -> Column:
+        return q * (F.col("n") - 1)
+
+    def held(q: Column) -> Column:
+        return (F.ceil(position(q)) >= F.col("before")) & (F.floor(position(q)) < F.col("upto"))
+
+    # Most bins hold no wanted rank: they go before quantiles become rows.
+    asked = F.filter(F.array(*[F.lit(float(q)) for q in quantiles]), held)
+    at = position(F.col("quantile"))
+    return bins.select(*group, "bin", "before", "n", F.explode(asked).alias("quantile")).select(
+        *group,
+        "bin",
+        "quantile",
+        "before",
+        F.floor(at).alias("low"),
+        F.ceil(at).alias("high"),
+        (at - F.floor(at)).alias("part"),
     )
