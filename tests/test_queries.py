@@ -5,12 +5,13 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DATA
+from tripmart.catalog import oracle, queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 ROWS_ONLY = {"price_sample_random"}
 
 
@@ -52,5 +53,9 @@ def test_rows_only_query_runs(spark):
         assert QUERIES[name](spark, DATA).count() >= 0
 
 
+def test_entry_registers_them(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
