@@ -35,6 +35,37 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+_OP9 = r"""
+WITH item AS (
+  SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(size AS VARCHAR)) AS lot
+  FROM (SELECT doc_id, source,
+          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+        FROM documents)
+), src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+      WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight
+  FROM item GROUP BY source
+), filled AS (
+  SELECT *, coalesce(sum(2 * source_size) OVER w, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS open,
+    1.5 * sum(source_size) OVER () AS owed
+  FROM src WINDOW w AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT arg_min((CAST(owed AS DOUBLE) - CAST(capped AS DOUBLE)) / open, 2 * source_size / weight) AS level FROM filled
+  WHERE 2 * source_size >= weight * ((CAST(owed AS DOUBLE) - CAST(capped AS DOUBLE)) / open)
+), goal AS (
+  SELECT source, source_size, least(CAST(2 * source_size AS DOUBLE), weight * level) AS target FROM src, level
+), laid AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY lot, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM item
+)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - start))
+    + greatest(0, least(size, CAST(round(target) AS BIGINT) - source_size - start)) AS BIGINT) AS taken
+FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_suffix_decontam": _OP8}
+    return {"op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}

@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import suffix_decontam
+from tripmart.llm import curriculum, ring_sharding, suffix_decontam
 from tripmart.llm.common import read
 
 
+def op6_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return ring_sharding.shard(read(spark, folder, "documents"))
+
+
 def op8_suffix_decontam(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     found = suffix_decontam.find_matches(documents, read(spark, folder, "benchmark"))
     return suffix_decontam.digest(found)
 
 
+def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    return curriculum.digest(curriculum.mix(read(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op8_suffix_decontam,)}
+    return {q.__name__: q for q in (op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
