@@ -66,6 +66,61 @@ SELECT doc_id, size, source_size, target,
 FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
 """
 
+_OP5 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), spans AS (
+  SELECT id, i, array_to_string(w[i:i + 4], ' ') AS span FROM doc, unnest(range(1, len(w) - 3)) AS x(i)
+), again AS (
+  SELECT id, count(DISTINCT i + k) AS n FROM (
+    SELECT id, i FROM spans QUALIFY count(*) OVER (PARTITION BY id, span) > 1), unnest(range(0, 5)) AS x(k) GROUP BY id
+), counted AS (
+  SELECT id, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
+    length(t) - length(regexp_replace(t, '[A-Z!]', '', 'g')) AS n_loud
+  FROM doc LEFT JOIN again USING (id)
+), pairs AS (
+  SELECT id, lang, source, m[1] AS measure, m[2] AS value, m[3] AS floor, m[4] AS two FROM (
+    SELECT id, lang, source, unnest([
+      [0, n_symbols * 1000 // n_words, 100, 0], [1, n_loud * 1000 // n_words, 500, 0],
+      [2, n_dup_lines * 1000 // greatest(n_lines, 1), 134, 0], [3, n_repeat_words * 1000 // n_words, 67, 0],
+      [4, word_chars * 1000 // n_words, 1000, 1]]) AS m
+    FROM counted WHERE n_words > 0)
+), hist AS (
+  SELECT lang, source, measure, floor, two, u * (value // u) AS bucket, count(*) AS n,
+    grouping(source) AS no_source, grouping(lang) AS no_lang
+  FROM (SELECT *, CAST(rpad('1', greatest(length(CAST(value AS VARCHAR)) - 2, 1), '0') AS BIGINT) AS u FROM pairs)
+  GROUP BY GROUPING SETS ((lang, source, measure, floor, two, u * (value // u)),
+    (lang, measure, floor, two, u * (value // u)), (measure, floor, two, u * (value // u)))
+), ranked AS (
+  SELECT *, sum(n) OVER (g ORDER BY bucket) AS upto, sum(n) OVER g AS total
+  FROM hist WINDOW g AS (PARTITION BY no_source, no_lang, lang, source, measure)
+), bounds AS (
+  SELECT no_source, no_lang, lang, source, measure, total, CASE WHEN two = 1 THEN q1 - width END AS low, q3 + width AS high
+  FROM (SELECT *, 3 * greatest(q3 - q1, floor) AS width FROM (
+    SELECT no_source, no_lang, lang, source, measure, floor, two, max(total) AS total,
+      min(bucket) FILTER (upto * 4 >= total) AS q1, min(bucket) FILTER (upto * 4 >= total * 3) AS q3
+    FROM ranked GROUP BY ALL))
+), outside AS (
+  SELECT DISTINCT id FROM pairs p
+  JOIN bounds a ON a.no_source = 0 AND a.no_lang = 0 AND a.lang IS NOT DISTINCT FROM p.lang
+    AND a.source IS NOT DISTINCT FROM p.source AND a.measure = p.measure
+  JOIN bounds b ON b.no_source = 1 AND b.no_lang = 0 AND b.lang IS NOT DISTINCT FROM p.lang AND b.measure = p.measure
+  JOIN bounds c ON c.no_source = 1 AND c.no_lang = 1 AND c.measure = p.measure
+  WHERE value > CASE WHEN a.total >= 100 THEN a.high WHEN b.total >= 100 THEN b.high ELSE c.high END
+    OR value < CASE WHEN a.total >= 100 THEN a.low WHEN b.total >= 100 THEN b.low ELSE c.low END
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND id NOT IN (SELECT id FROM outside) AS kept
+FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}
+    return {"op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}

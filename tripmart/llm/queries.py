@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmart.llm import curriculum, ring_sharding, suffix_decontam
+from tripmart.llm import adaptive_quality, curriculum, ring_sharding, suffix_decontam
 from tripmart.llm.common import read
 
 
+def op5_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return adaptive_quality.judge(read(spark, folder, "documents"), [F.col("doc_id")])
+
+
 def op6_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return ring_sharding.shard(read(spark, folder, "documents"))
 
@@ -25,4 +30,4 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
