@@ -95,7 +95,7 @@ WITH doc AS (
 ), hist AS (
   SELECT lang, source, measure, floor, two, u * (value // u) AS bucket, count(*) AS n,
     grouping(source) AS no_source, grouping(lang) AS no_lang
-  FROM (SELECT *, CAST(rpad('1', greatest(length(CAST(value AS VARCHAR)) - 2, 1), '0') AS BIGINT) AS u FROM pairs)
+  FROM (SELECT *, CAST(rpad('1', CAST(greatest(length(CAST(value AS VARCHAR)) - 2, 1) AS INTEGER), '0') AS BIGINT) AS u FROM pairs)
   GROUP BY GROUPING SETS ((lang, source, measure, floor, two, u * (value // u)),
     (lang, measure, floor, two, u * (value // u)), (measure, floor, two, u * (value // u)))
 ), ranked AS (
