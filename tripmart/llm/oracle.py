@@ -121,6 +121,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
 """
 
+# One block of these for each level of the path tree.
+_OP3_LEVEL = r"""
+, going{d} AS (
+  SELECT *, CASE WHEN {d} < 8 THEN segments[{d} + 1] WHEN len(segments) > {d} THEN '**' END AS segment FROM level{d}
+), child{d} AS (
+  SELECT host, template, segment, sum(pages) AS pages, sum(blocked) AS blocked, sum(allowed) AS allowed
+  FROM going{d} WHERE segment IS NOT NULL GROUP BY ALL
+), node{d} AS (
+  SELECT host, template, sum(pages) AS n, sum(blocked) AS b, sum(allowed) AS a
+  FROM child{d} WHERE pages >= 5 GROUP BY ALL
+), name{d} AS (
+  SELECT host, template, segment, CASE
+    WHEN pages < 5 AND regexp_replace(segment, '[0-9]+', '#', 'g') = segment THEN '~'
+    WHEN pages < 5 THEN regexp_replace(segment, '[0-9]+', '#', 'g')
+    WHEN pow(blocked / pages - b / n, 2) > 2.58 * 2.58 * ((b + 1.0) / (n + 2.0)) * (1 - (b + 1.0) / (n + 2.0)) / pages
+      OR pow(allowed / pages - a / n, 2) > 2.58 * 2.58 * ((a + 1.0) / (n + 2.0)) * (1 - (a + 1.0) / (n + 2.0)) / pages
+      THEN segment
+    ELSE '*' END AS name
+  FROM child{d} LEFT JOIN node{d} USING (host, template)
+), level{next} AS (
+  SELECT host, path, pages, rule, blocked, allowed, segments,
+    CASE WHEN name IS NULL THEN template ELSE template || '/' || name END AS template
+  FROM going{d} LEFT JOIN name{d} USING (host, template, segment)
+)"""
+_OP3 = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), page AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), ruled AS (
+  SELECT host, path, count(*) AS pages, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM page GROUP BY host, path
+), level0 AS (
+  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN pages ELSE 0 END AS blocked,
+    CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN pages ELSE 0 END AS allowed,
+    list_filter(string_split(path, '/'), lambda x: x <> '') AS segments, '' AS template
+  FROM ruled
+)""" + "".join(_OP3_LEVEL.format(d=d, next=d + 1) for d in range(9)) + r"""
+, known AS (
+  SELECT host, template, sum(blocked) / (sum(blocked) + sum(allowed) + 4) >= 0.5 AS rejected FROM level9 GROUP BY ALL
+)
+SELECT page_id, host, path, template, rule, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+  WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+  WHEN rejected THEN 'block' ELSE 'allow' END AS verdict
+FROM page JOIN level9 USING (host, path) JOIN known USING (host, template)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}
+    return {"op3_url_templates": _OP3, "op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import adaptive_quality, curriculum, ring_sharding, suffix_decontam
+from tripmart.llm import adaptive_quality, curriculum, ring_sharding, suffix_decontam, url_templates
 from tripmart.llm.common import read
 
 
+def op3_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.judge(read(spark, folder, "pages"))
+
+
 def op5_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
     return adaptive_quality.judge(read(spark, folder, "documents"), [F.col("doc_id")])
 
@@ -30,4 +34,4 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
