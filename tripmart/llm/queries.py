@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import adaptive_quality, curriculum, ring_sharding, suffix_decontam, url_templates
+from tripmart.llm import adaptive_quality, curriculum, pii_semicrf, ring_sharding, suffix_decontam, url_templates
 from tripmart.llm.common import read
 
 
+def op1_pii_semicrf(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    return pii_semicrf.digest(pii_semicrf.find_spans(documents, pii_semicrf.train(documents)))
+
+
 def op3_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.judge(read(spark, folder, "pages"))
 
@@ -34,4 +39,4 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
