@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import adaptive_quality, curriculum, pii_semicrf, ring_sharding, suffix_decontam, url_templates
+from tripmart.llm import (
+    adaptive_quality,
+    curriculum,
+    pii_semicrf,
+    ring_sharding,
+    suffix_decontam,
+    toxic_segments,
+    url_templates,
+)
 from tripmart.llm.common import read
 
 
@@ -28,6 +36,12 @@ def op6_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return ring_sharding.shard(read(spark, folder, "documents"))
 
 
+def op7_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    model = toxic_segments.train(documents, read(spark, folder, "labels"))
+    return toxic_segments.digest(toxic_segments.find_segments(documents, model))
+
+
 def op8_suffix_decontam(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     found = suffix_decontam.find_matches(documents, read(spark, folder, "benchmark"))
@@ -39,4 +53,4 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum)}
