@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import (
     adaptive_quality,
     curriculum,
+    dart_minhash,
     pii_semicrf,
     ring_sharding,
     suffix_decontam,
@@ -28,6 +29,11 @@ def op3_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.judge(read(spark, folder, "pages"))
 
 
+def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    return dart_minhash.classes(documents).select("doc_id", "class_id", "class_rows")
+
+
 def op5_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
     return adaptive_quality.judge(read(spark, folder, "documents"), [F.col("doc_id")])
 
@@ -53,4 +59,4 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op5_adaptive_quality, op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op4_dart_minhash, op5_adaptive_quality, op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum)}
