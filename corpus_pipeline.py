@@ -7,19 +7,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.llm.adaptive_quality import keep_good
 from tripmart.llm.common import read, shared_folder
+from tripmart.llm.curriculum import training_rows
+from tripmart.llm.dart_minhash import deduplicate
+from tripmart.llm.ring_sharding import shard
 from tripmart.llm.suffix_decontam import decontaminate
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and their group's thresholds."""
+    return keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near duplicates."""
+    return deduplicate(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of a benchmark item occurs."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them, some twice and some not at all, in training order."""
+    return training_rows(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document of the mix."""
+    return shard(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+    ("sharding", sharding),
 ]
 
 # SQL cannot express the stages by signatures and by the ring: see the brute-force test.

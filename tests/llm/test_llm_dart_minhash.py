@@ -13,7 +13,7 @@ SCHEMA = "doc_id long, text string, source string"
 def brute_classes(rows):
     """Least id of every row's class, by comparing all pairs that share a shingle."""
     texts = sorted({t or "" for _, t in rows})
-    sets = [D._shingles.__wrapped__(t) for t in texts]
+    sets = [D.shingles(t) for t in texts]
     where = defaultdict(list)
     for k, s in enumerate(sets):
         for x in s:

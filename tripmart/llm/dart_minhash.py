@@ -25,7 +25,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -165,27 +164,33 @@ def sketch(documents: DataFrame, bands: int = BANDS, rows: int = ROWS, counted:
         work, f"doc_id {kind}, item binary, n long, keys array<long>")
 
 
-@lru_cache(maxsize=64)
-def _shingles(text: str) -> frozenset:
+def shingles(text: str) -> frozenset:
     words = WORD.findall(text)
     if len(words) < SHINGLE:
         return frozenset([tuple(words)]) if words else frozenset()
     return frozenset(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
 
 
-def similarity(a: str, b: str) -> float:
-    """Jaccard similarity of the shingle sets of two texts."""
-    x, y = _shingles(a), _shingles(b)
+def jaccard(x: frozenset, y: frozenset) -> float:
     both = len(x & y)
-    return both / (len(x) + len(y) - both) if x or y else float(a == b)
+    return both / (len(x) + len(y) - both) if x or y else 0.0
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """The pairs (a, b) of items whose texts are similar."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, frozenset] = {}  # hubs come again and again
+
+        def of(text: str) -> frozenset:
+            if text not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[text] = shingles(text)
+            return known[text]
+
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [similarity(x, y) >= similar for x, y in zip(left, right, strict=True)]
+            keep = [jaccard(of(x), of(y)) >= similar for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 

@@ -174,6 +174,17 @@ SELECT page_id, host, path, template, rule, CASE
 FROM page JOIN level9 USING (host, path) JOIN known USING (host, template)
 """
 
+_OP10 = r"""
+SELECT source, lang, tokenizer, count(*) AS documents, CAST(sum(tokens) AS BIGINT) AS tokens FROM (
+  SELECT source, lang, CASE WHEN lang <> 'en' THEN 'words-2' ELSE 'words-1' END AS tokenizer, CASE WHEN lang <> 'en'
+    THEN len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]'))
+    ELSE len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) END AS tokens
+  FROM documents WHERE NOT EXISTS (
+    SELECT 1 FROM labels WHERE quality = 0 AND labels.doc_id IS NOT DISTINCT FROM documents.doc_id))
+GROUP BY ALL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_templates": _OP3, "op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9}
+    return {"op3_url_templates": _OP3, "op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9,
+            "op10_token_rollup": _OP10}

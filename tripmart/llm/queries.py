@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,14 @@ from tripmart.llm import (
     curriculum,
     dart_minhash,
     pii_semicrf,
+    ppm_score,
     ring_sharding,
     suffix_decontam,
+    token_rollup,
     toxic_segments,
     url_templates,
 )
-from tripmart.llm.common import read
+from tripmart.llm.common import read, settle, shared_folder
 
 
 def op1_pii_semicrf(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +28,10 @@ def op1_pii_semicrf(spark: SparkSession, folder: str) -> DataFrame:
     return pii_semicrf.digest(pii_semicrf.find_spans(documents, pii_semicrf.train(documents)))
 
 
+def op2_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm_score.score(read(spark, folder, "documents"))
+
+
 def op3_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.judge(read(spark, folder, "pages"))
 
@@ -58,5 +65,30 @@ def op9_curriculum(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum.digest(curriculum.mix(read(spark, folder, "documents")))
 
 
+def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after loading all documents, recounting some, deleting some, and doing it again."""
+    store = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
+    token_rollup.open_store(spark, store)
+    documents = read(spark, folder, "documents")
+    counted = settle(documents.select("doc_id", "source", "lang", *[
+        token_rollup.token_count(F.col("text"), name).alias(name) for name in token_rollup.TOKENIZERS]), "token-counts")
+
+    def change(op: str, rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.lit(op).alias("op"), "doc_id", "source", "lang", F.lit(name).alias("tokenizer"),
+                           F.col(name).alias("tokens"))
+
+    poor = read(spark, folder, "labels").where("quality = 0").select(
+        F.lit("delete").alias("op"), "doc_id", *[F.lit(None).cast("string").alias(k) for k in token_rollup.KEYS],
+        F.lit(None).cast("long").alias("tokens"))
+    batches = {"load": change("insert", counted, "words-1"),
+               "recount": change("revise", counted.where("lang <> 'en'"), "words-2"), "withdraw": poor}
+    for batch in (*batches, "recount", "load"):  # the last two are repeated and must change nothing
+        token_rollup.commit(spark, store, batch, batches[batch])
+    return token_rollup.totals(spark, store)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_pii_semicrf, op3_url_templates, op4_dart_minhash, op5_adaptive_quality, op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum)}
+    return {q.__name__: q for q in (
+        op1_pii_semicrf, op2_ppm_score, op3_url_templates, op4_dart_minhash, op5_adaptive_quality,
+        op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum, op10_token_rollup,
+    )}

@@ -263,10 +263,10 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, into: str = "matche
         ("longest", pa.struct([("words", pa.int64()), ("start", pa.int64()),
                                ("item", pa.string()), ("item_start", pa.int64())]))])
     for block in blocks(benchmark, window, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
+        sent = spark.sparkContext.broadcast(vars(block))
 
         def probe(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            test = sent.value
+            test = Suffixes(**sent.value)
             for batch in batches:
                 for run in slices(batch, at, shard_bytes):
                     sizes, hits, items, longest = match(run.column(at).to_pylist(), test)

@@ -274,7 +274,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENT
 
 def find_segments(documents: DataFrame, model: Model, into: str = "toxic") -> DataFrame:
     """``documents`` with their significant segments (in tokens) and score in ``into``."""
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = documents.sparkSession.sparkContext.broadcast(vars(model))
     kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("segments", SEGMENTS)])
     df = documents.withColumn(into, F.lit(None).cast(kind))
     at, out = df.columns.index("text"), df.columns.index(into)
@@ -282,7 +282,7 @@ def find_segments(documents: DataFrame, model: Model, into: str = "toxic") -> Da
         ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())])))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Model(**sent.value)
         weights = Weights(model.weights)
         for batch in batches:
             for run in slices(batch, at, SLICE_BYTES):
