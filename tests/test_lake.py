@@ -1,5 +1,7 @@
 """Source files to silver and the reports, on files with drifting schemas."""
 
+import os
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from tripmart.operators import ingest
 from tripmart.plans import gold, landing, rides, silver, surcharges, weather_prices
 from tripmart.sources.bronze import eras
 from tripmart.sources.listing import list_month_files, list_partition_files, rows_per_file
-from tripmart.sources.tables import gather, read_table
+from tripmart.sources.tables import read_table, scattered, write_partitioned
 
 SCOPE = {"years": (2016, 2019), "months": (1, 2)}
 
@@ -253,17 +255,21 @@ def test_stored_reports(full, spark, path):
     assert gap.count() == weather_prices.price_by_weather(full.trips).count() > 0
 
 
-def test_only_strays_are_shuffled_for_the_silver_write(full, spark):
-    assert full.trips.filter(silver.in_file_month()).count() == 15
-    strays = full.trips.filter(~F.coalesce(silver.in_file_month(), F.lit(False)))
-    assert rows(strays.select("year", "month")) == [(2015, 12), (None, None)]
+def test_silver_write_scans_each_era_once_without_a_shuffle(full, spark):
     sources = silver.bronze_sources(spark, full.bronze, full.manifest())
     trips = silver.silver_trips(sources, full.grid, full.weather)
-    both = gather(trips, PARTITION_KEYS, silver.in_file_month())
-    assert both.count() == trips.count()
-    plan = both._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("RebalancePartitions") == 1
-    assert len({(r.source_file, r.source_row) for r in both.collect()}) == 17
+    plan = trips._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") - plan.count("datetime_local") // 99 >= len(sources)
+    files = [r for r in trips.inputFiles() if "/bronze/trips/" in r]
+    assert len(files) == len(set(files)) and "RebalancePartitions" not in plan.split("Join")[0]
+    assert len({(r.source_file, r.source_row) for r in full.trips.collect()}) == 17
+
+
+def test_scattered_partitions_are_put_together(spark, path):
+    df = spark.range(400).selectExpr("id", "id % 2 as k").repartition(8)
+    write_partitioned(df.filter("k = 0 or id < 40"), path("t"), ["k"], in_place=True)
+    assert scattered(spark, path("t")) == [] and not os.path.exists(path("t") + "__compact")
+    assert rows(spark.read.parquet(path("t")).groupBy("k").count()) == [(0, 200), (1, 20)]
 
 
 def test_inventory_without_a_manifest(full, spark):

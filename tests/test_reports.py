@@ -52,8 +52,10 @@ def test_flows_by_borough_keep_unknown_zones(flow_trips, zones, bound):
 def test_flow_matrix_total_covers_unlisted_destinations(flow_trips, zones):
     by_borough = flows.flows_by_borough(flows.flows_by_zone(flow_trips), zones)
     matrix = flows.flow_matrix(by_borough, ["Queens", "Bronx"])
-    assert matrix.columns == ["pickup_borough", "Queens", "Bronx", "total"]
-    assert rows(matrix) == [("Bronx", 4, 0, 5), ("Queens", 1, 0, 1)]
+    assert matrix.columns == ["pickup_borough", "Queens", "Bronx", "other", "unknown", "total"]
+    for r in matrix.collect():
+        assert sum(r[1:-1]) == r.total
+    assert rows(matrix.select("pickup_borough", "Queens", "Bronx", "total")) == [("Bronx", 4, 0, 5), ("Queens", 1, 0, 1)]
 
 
 # --- surcharges ------------------------------------------------------------
@@ -148,7 +150,9 @@ def test_repeated_hour_gives_one_whole_record(spark):
         [(hour, 5.0, 1.0), (hour, 4.0, 9.0), (hour, 4.0, None), (None, 0.0, 0.0)],
         "datetime_local timestamp_ntz, temperature_2m double, rain double")
     got = one_row_per_hour(weather, ["temperature_2m", "rain"])
-    assert rows(got) == [(hour, 4.0, None)]
+    assert rows(got) == [(hour, 4.0, 9.0)]  # the least of the full records
+    lone = one_row_per_hour(weather.filter("rain is null"), ["temperature_2m", "rain"])
+    assert rows(lone) == [(hour, 4.0, None)]
     trips = spark.createDataFrame([(i, hour) for i in range(9)],
                                   "id int, pickup_hour_ts timestamp_ntz")
     for bound in (None, 0, 5):
@@ -227,9 +231,11 @@ def test_sample_does_not_depend_on_partitioning(priced):
     assert {r[0] for r in want} == {1, 2}
 
 
-def test_sample_drops_years_out_of_range(priced):
+def test_sample_has_every_year_unless_years_are_named(priced):
     got = prices.price_sample(priced, minimum=100, fraction=1.0)
-    assert got.count() == 1200  # all but 1999 and NULL
+    assert got.count() == 1202 and {1999, None} <= {r.year for r in got.collect()}
+    later = prices.price_sample(priced.withColumn("year", F.lit(2027)), minimum=100, fraction=1.0)
+    assert later.count() == 1202
     assert got.columns == ["pickup_zone_id", "year", "price_per_km"]
     few = prices.price_sample(priced, minimum=100, fraction=1.0, years=[2019])
     assert {r.year for r in few.collect()} == {2019}
@@ -277,3 +283,25 @@ def test_quantiles_keep_trips_without_a_year(priced):
     usable = prices.priced_trips(priced)
     got = prices.price_quantiles(usable, prices.price_histogram(usable, 5.0), [0.5], 5.0)
     assert rows(got.filter("year is null")) == [(2, None, 0.5, 5.0)]
+
+
+def test_a_hot_bin_is_ranked_in_parts(spark):
+    """Most distinct prices of one zone and year lie in one bin; no window task sees them all."""
+    df = spark.range(60_000).selectExpr(
+        "1 as pickup_zone_id", "2019 as year", "cast(10 + (id % 50000) / 60000D as double) as price_per_km")
+    got = prices.price_quantiles(df, prices.price_histogram(df, 1.0), [0.25, 0.75], 1.0, split=64)
+    values = sorted(10 + (k % 50000) / 60000.0 for k in range(60_000))
+    for r in got.collect():
+        at = r["quantile"] * (len(values) - 1)
+        low, high = values[math.floor(at)], values[math.ceil(at)]
+        assert r.price == pytest.approx(low + (high - low) * (at - math.floor(at)), abs=1e-9)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "part_of_bin" in [line for line in plan.splitlines() if "Window" in line and "inside" in line][0]
+
+
+def test_no_job_over_trips_while_planning(priced, spark):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    usable = prices.priced_trips(priced)
+    prices.in_eligible_zones(usable, prices.eligible_zones(usable, 303), at_most=265)
+    prices.price_quantiles(usable, prices.price_histogram(usable, 5.0), [0.5], 5.0, groups=1000)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")

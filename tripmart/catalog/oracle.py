@@ -25,10 +25,11 @@ def _cut(fraction: float) -> str:
 
 
 RIDES = """
-    SELECT event_type AS vehicle_type, CAST(year(ts) AS INTEGER) AS year,
+    SELECT l_returnflag AS vehicle_type, CAST(year(l_shipdate) AS INTEGER) AS year,
            CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week,
            CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS nb_courses
-    FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3, 4"""
+    FROM (SELECT *, l_shipdate + to_hours(l_linenumber * 3) AS ts FROM lineitem)
+    WHERE ts IS NOT NULL GROUP BY 1, 2, 3, 4"""
 
 FLOWS = """
     SELECT l_returnflag AS vehicle_type, s_nationkey AS pickup_zone_id,
@@ -69,24 +70,32 @@ TALL_SURCHARGES = "\n    UNION ALL\n".join(
     for name, value, test in SURCHARGE_ROLES
 )
 
-VIEW_WEATHER = """
+HOUR_WEATHER = """
     SELECT * EXCLUDE (v, n) FROM (
       SELECT *, row_number() OVER (
-          PARTITION BY h ORDER BY temperature_2m, precipitation, rain, snowfall,
-                                  weathercode, windspeed_10m) AS n
+          PARTITION BY h ORDER BY temperature_2m IS NULL, temperature_2m, precipitation, rain,
+                                  snowfall, weathercode, windspeed_10m) AS n
       FROM (
         SELECT date_trunc('hour', ts) AS h, user_id % 2 AS v,
-               max(value) AS temperature_2m, min(value) / 10.0::DOUBLE AS precipitation,
+               max(value) FILTER (user_id % 2 = 0 OR hour(ts) % 3 <> 0) AS temperature_2m,
+               min(value) / 10.0::DOUBLE AS precipitation,
                min(value) AS rain, greatest(min(value) - 40.0::DOUBLE, 0.0::DOUBLE) AS snowfall,
                count(*) AS weathercode, max(value) / 2.0::DOUBLE AS windspeed_10m
-        FROM events WHERE event_type = 'view' GROUP BY 1, 2))
+        FROM events WHERE hour(ts) % 6 <> 5 GROUP BY 1, 2))
     WHERE n = 1"""
 
+ANSWERED = """
+    SELECT date_trunc('hour', ts + to_days(CAST(event_id % 24 * 31 AS INTEGER))) AS datetime_local,
+           max(value) AS temperature_2m, min(value) AS precipitation, min(value) AS rain, 0.0::DOUBLE AS snowfall,
+           count(*) AS weathercode, max(value) AS windspeed_10m,
+           CAST(max(user_id) AS DOUBLE) AS relativehumidity_2m
+    FROM events GROUP BY 1"""
+
 EVENT_WEATHER = f"""
     SELECT event_id, event_type AS vehicle_type, ts AS pickup_datetime,
            CAST(year(ts) AS INTEGER) AS year, date_trunc('hour', ts) AS pickup_hour_ts,
            value AS price_per_km, w.* EXCLUDE (h)
-    FROM events LEFT JOIN ({VIEW_WEATHER}) w ON date_trunc('hour', ts) = w.h"""
+    FROM events LEFT JOIN ({HOUR_WEATHER}) w ON date_trunc('hour', ts) = w.h"""
 
 PRICED = f"""
     SELECT {KEY}, s_nationkey AS pickup_zone_id, CAST(year(l_shipdate) AS INTEGER) AS year,
@@ -233,6 +242,7 @@ MONTHS = """
            CAST(month(o_orderdate) AS INTEGER) AS month,
            'order-' || min(o_orderkey) AS path, count(*) AS row_count
     FROM orders WHERE {test} GROUP BY 1, 2, 3"""
+ALL_MONTHS = MONTHS.format(test="true")
 MANIFEST = MONTHS.format(test="o_totalprice > 480000")
 PRIMARY = MONTHS.format(test="o_totalprice > 440000 AND o_orderstatus = 'O'")
 FALLBACK = MONTHS.format(test="o_totalprice > 400000 AND o_orderstatus = 'P'")
@@ -297,6 +307,9 @@ def oracle_sql() -> dict[str, str]:
     SELECT pickup_borough, {', '.join(
         f'''CAST(coalesce(sum(nb_courses) FILTER (dropoff_borough = '{r}'), 0) AS BIGINT)
             AS "{r}"''' for r in REGIONS)},
+           CAST(coalesce(sum(nb_courses) FILTER (dropoff_borough NOT IN ({', '.join(f"'{r}'" for r in REGIONS)})), 0)
+                AS BIGINT) AS other,
+           CAST(coalesce(sum(nb_courses) FILTER (dropoff_borough IS NULL), 0) AS BIGINT) AS unknown,
            CAST(sum(nb_courses) AS BIGINT) AS total
     FROM ({BOROUGH_FLOWS}) GROUP BY 1""",
         "surcharge_evolution": f"""
@@ -368,12 +381,14 @@ def oracle_sql() -> dict[str, str]:
     SELECT vehicle_type, year, CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS day_of_week,
            CAST(hour(pickup_datetime) AS INTEGER) AS hour_of_day, count(*) AS nb_courses
     FROM ({SILVER}) WHERE pickup_datetime IS NOT NULL GROUP BY 1, 2, 3, 4""",
-        "weather_json_rows": """
-    SELECT date_trunc('hour', ts) AS datetime_local, max(value) AS temperature_2m,
-           min(value) AS precipitation, min(value) AS rain, 0.0::DOUBLE AS snowfall,
-           count(*) AS weathercode, max(value) AS windspeed_10m,
-           CAST(max(user_id) AS DOUBLE) AS relativehumidity_2m
-    FROM events WHERE event_type = 'view' GROUP BY 1""",
+        "weather_json_rows": ANSWERED,
+        "weather_json_gaps": f"""
+    SELECT CASE WHEN m <> 3 OR n > 1 THEN datetime_local END AS datetime_local, temperature_2m, precipitation,
+           CASE WHEN m <> 0 THEN rain END AS rain, CASE WHEN m <> 1 THEN snowfall END AS snowfall, weathercode,
+           CASE WHEN m <> 2 OR n <= total - 5 THEN windspeed_10m END AS windspeed_10m, relativehumidity_2m
+    FROM (SELECT *, month(datetime_local) % 4 AS m, row_number() OVER (w ORDER BY datetime_local) AS n,
+                 count(*) OVER w AS total
+          FROM ({ANSWERED}) WINDOW w AS (PARTITION BY date_trunc('month', datetime_local)))""",
         "nodes_in_zones": NODES,
         "zone_grid_build": f"""
     SELECT grid_lon_idx, grid_lat_idx, min(LocationID) AS LocationID
@@ -396,12 +411,12 @@ def oracle_sql() -> dict[str, str]:
         "ingest_month_status": STATUS,
         "ingest_status": f"""
     SELECT status, count(*) AS months FROM ({STATUS}) GROUP BY 1""",
-        "ingest_types": f"SELECT DISTINCT vehicle_type FROM ({MANIFEST})",
+        "ingest_types": f"SELECT DISTINCT vehicle_type FROM ({ALL_MONTHS})",
         "ingest_inventory": f"""
     SELECT vehicle_type, min(year * 100 + month) AS first_ym, max(year * 100 + month) AS last_ym,
            count(DISTINCT year * 100 + month) AS months,
            CAST(sum(row_count) AS BIGINT) AS row_count
-    FROM ({MANIFEST}) GROUP BY 1""",
+    FROM ({ALL_MONTHS}) GROUP BY 1""",
         "ingest_coverage": f"""
     SELECT * FROM ({PLAN}) SEMI JOIN ({MANIFEST}) m USING (vehicle_type, year, month)""",
     }

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tripmart.catalog import roles
 from tripmart.catalog.roles import LINE_KEY, MONEY, Tables
-from tripmart.contracts import ZONE_ROW_BOUND
 from tripmart.operators import ingest
 from tripmart.operators.grid_fill import GridSpec, build_zone_grid, nodes_within_zones
 from tripmart.operators.harmonize import harmonize, surcharge_states, union_eras
@@ -26,10 +25,11 @@ CEILING, MINIMUM = 2000, 1000
 WIDTH = 25.0
 RANK_WIDTH = 1.0  # narrow bins: few distinct prices have to be ranked together
 RATE = 0.1
-PRICE_YEARS = tuple(range(1995, 2002))
+PRICE_YEARS = tuple(range(1995, 2001))  # later ships give no sample
+YEARS_AT_MOST = 20  # of ship dates
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-HEATMAP_YEAR = 2024
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")  # one region is left to "other"
+HEATMAP_YEAR = 1997
 PLAN_YEARS, PLAN_MONTHS = (1997, 1995, 2001, 1999), (1, 6)
 PLAN_LIMIT = 30
 SUPPLIER_GRID = GridSpec(1.0, 0.0, 200.0, 0.0, 200.0)
@@ -54,7 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 @_query
 def rides_by_dow_hour(t):
-    return rides.rides_by_dow_hour(roles.event_trips(t))
+    return rides.rides_by_dow_hour(roles.shipped_trips(t))
 
 
 @_query
@@ -110,7 +110,7 @@ def eligible_zones(t):
 def trips_in_eligible_zones(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING, keep=LINE_KEY)
     return prices.in_eligible_zones(
-        trips, prices.eligible_zones(trips, MINIMUM), ZONE_ROW_BOUND
+        trips, prices.eligible_zones(trips, MINIMUM), at_most=t.nation.count()
     )
 
 
@@ -121,13 +121,6 @@ def price_sample(t):
     )
 
 
-@_query
-def price_sample_random(t):
-    return prices.price_sample_random(
-        roles.priced_line_trips(t), CEILING, MINIMUM, RATE, PRICE_YEARS
-    )
-
-
 @_query
 def sampled_trips(t):
     return keyed_sample(t.events.select("event_id", "event_type", "value"), ["event_id"])
@@ -143,7 +136,8 @@ def price_histogram(t):
 def price_quantiles(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING)
     histogram = prices.price_histogram(trips, RANK_WIDTH)
-    found = prices.price_quantiles(trips, histogram, QUANTILES, RANK_WIDTH)
+    groups = t.nation.count() * YEARS_AT_MOST
+    found = prices.price_quantiles(trips, histogram, QUANTILES, RANK_WIDTH, groups)
     return found.withColumn("price", F.round("price", 6))
 
 
@@ -183,7 +177,7 @@ def trip_metrics(t):
 
 @_query
 def weather_join(t):
-    return join_weather(roles.event_trips(t), roles.view_weather(t))
+    return join_weather(roles.event_trips(t), roles.event_weather(t))
 
 
 @_query
@@ -209,7 +203,12 @@ def silver_rides(t):
 
 @_query
 def weather_json_rows(t):
-    return hourly_rows(parse_weather_text(roles.view_payloads(t), "payload"))
+    return hourly_rows(parse_weather_text(roles.event_payloads(t), "payload"))
+
+
+@_query
+def weather_json_gaps(t):
+    return hourly_rows(parse_weather_text(roles.event_payloads(t, gaps=True), "payload"))
 
 
 @_query
@@ -284,12 +283,12 @@ def ingest_status(t):
 
 @_query
 def ingest_types(t):
-    return ingest.ingested_types(roles.order_manifest(t))
+    return ingest.ingested_types(roles.order_months(t))
 
 
 @_query
 def ingest_inventory(t):
-    return ingest.ingested_periods(roles.order_manifest(t))
+    return ingest.ingested_periods(roles.order_months(t))
 
 
 @_query

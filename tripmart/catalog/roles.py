@@ -43,14 +43,28 @@ def event_trips(t: Tables) -> DataFrame:
     )
 
 
-def view_weather(t: Tables) -> DataFrame:
-    """Weather of each hour with views, in up to two versions (odd and even users)."""
-    value = F.col("value")
+def shipped_trips(t: Tables) -> DataFrame:
+    """Line items as rides of several years, each some hours after midnight."""
+    at = F.col("l_shipdate") + F.expr("make_dt_interval(0, cast(l_linenumber * 3 as int))")
+    return t.lineitem.select(
+        F.col("l_returnflag").alias("vehicle_type"), at.alias("pickup_datetime"),
+        F.year("l_shipdate").alias("year"),
+    )
+
+
+def event_weather(t: Tables) -> DataFrame:
+    """Weather of most hours with events, in up to two versions (odd and even users).
+
+    The last hour of every quarter of a day has none.  The version of odd users lacks
+    the temperature in every third hour.
+    """
+    value, hour, odd = F.col("value"), hour_of(F.col("ts")), F.col("user_id") % 2
+    lacking = (odd == 1) & (F.hour("ts") % 3 == 0)
     return (
-        t.events.filter(F.col("event_type") == "view")
-        .groupBy(hour_of(F.col("ts")).alias("datetime_local"), (F.col("user_id") % 2).alias("v"))
+        t.events.filter(F.hour("ts") % 6 != 5)
+        .groupBy(hour.alias("datetime_local"), odd.alias("v"))
         .agg(
-            F.max(value).alias("temperature_2m"),
+            F.max(F.when(~lacking, value)).alias("temperature_2m"),
             (F.min(value) / 10.0).alias("precipitation"),
             F.min(value).alias("rain"),
             F.greatest(F.min(value) - 40.0, F.lit(0.0)).alias("snowfall"),
@@ -61,18 +75,19 @@ def view_weather(t: Tables) -> DataFrame:
     )
 
 
-def view_payloads(t: Tables) -> DataFrame:
+def event_payloads(t: Tables, gaps: bool = False) -> DataFrame:
     """One weather answer per month as JSON text: an object of parallel arrays.
 
-    A month has at most 744 hours, so the arrays are bounded.
+    Events are spread over two years.  A month has at most 744 hours, so the arrays are
+    bounded.  With ``gaps`` every fourth month lacks an array, has a null one, a shorter
+    one, or a time that cannot be read.
     """
     names = ("temperature_2m", "precipitation", "rain", "snowfall", "windspeed_10m",
              "relativehumidity_2m")
-    hour = hour_of(F.col("ts"))
+    hour = hour_of(F.col("ts") + F.expr("make_dt_interval(cast(event_id % 24 * 31 as int))"))
     value = F.col("value")
     hours = (
-        t.events.filter(F.col("event_type") == "view")
-        .groupBy(hour.alias("h"))
+        t.events.groupBy(hour.alias("h"))
         .agg(
             F.max(value).alias("temperature_2m"),
             F.min(value).alias("precipitation"),
@@ -88,8 +103,18 @@ def view_payloads(t: Tables) -> DataFrame:
     months = hours.groupBy(F.trunc(F.to_date("h"), "month").alias("month_start")).agg(
         F.array_sort(F.collect_list(record)).alias("hours")
     )
-    arrays = F.struct(*[F.col(f"hours.{n}").alias(n) for n in ("time", "weathercode", *names)])
-    return months.select(F.to_json(F.struct(arrays.alias("hourly"))).alias("payload"))
+    arrays = {n: F.col(f"hours.{n}") for n in ("time", "weathercode", *names)}
+    kind = F.month("month_start") % 4
+    if gaps:
+        short = F.slice(arrays["windspeed_10m"], 1, F.greatest(F.size("hours") - 5, F.lit(0)))
+        bad = F.transform(arrays["time"], lambda x, i: F.when(i == 0, "no time").otherwise(x))
+        arrays["rain"] = F.when(kind != 0, arrays["rain"])
+        arrays["snowfall"] = F.when(kind != 1, arrays["snowfall"])
+        arrays["windspeed_10m"] = F.when(kind == 2, short).otherwise(arrays["windspeed_10m"])
+        arrays["time"] = F.when(kind == 3, bad).otherwise(arrays["time"])
+    answer = F.struct(F.struct(*[a.alias(n) for n, a in arrays.items()]).alias("hourly"))
+    written = F.when(kind == 1, F.to_json(answer, {"ignoreNullFields": "false"})).otherwise(F.to_json(answer))
+    return months.select(written.alias("payload"))
 
 
 # --- line items as trips ---------------------------------------------------

@@ -38,7 +38,7 @@ MAX_PRICE_PER_KM = 50
 MIN_ZONE_TRIPS = 5000
 SAMPLE_FRACTION = 0.01
 SAMPLE_SEED = 42
-SAMPLE_YEARS = tuple(range(2009, 2027))
+SAMPLE_YEARS = None  # every year, and trips without one; a list leaves the others out
 
 # Hourly weather variables in the landed JSON.
 WEATHER_VARIABLES = {
@@ -69,6 +69,10 @@ WEATHER_BUCKETS = (
 )
 CALM_BUCKET = "normal"
 
+# Where a landed row came from: file name and place in it, the same however often it is landed.
+ORIGIN_FILE, ORIGIN_ROW = "__file", "__row"
+RESERVED_COLUMNS = (ORIGIN_FILE, ORIGIN_ROW)
+
 # Name contract of a monthly source file.
 TRIP_FILE_PATTERN = r"^(\w+)_tripdata_(\d{4})-(\d{2})\.parquet$"
 

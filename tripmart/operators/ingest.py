@@ -109,9 +109,14 @@ def not_yet_ingested(
 def resolve_sources(
     plan: DataFrame, primary: DataFrame, fallback: DataFrame, keys: Sequence[str] = MONTH_KEYS
 ) -> DataFrame:
-    """File of each month: the primary listing wins, then the fallback, else NULL."""
+    """Files of each month: the primary listing wins, then the fallback, else NULL.
+
+    A month in parts has one row for each, all of the same listing.
+    """
     near = primary.select(*keys, F.col("path").alias("__near"))
-    far = fallback.select(*keys, F.col("path").alias("__far"))
+    far = fallback.select(*keys, F.col("path").alias("__far")).join(
+        near.select(*keys), list(keys), "left_anti"
+    )
     found = plan.join(near, list(keys), "left").join(far, list(keys), "left")
     origin = (
         F.when(F.col("__near").isNotNull(), "primary")
@@ -132,7 +137,7 @@ def month_status(
 ) -> DataFrame:
     """(keys, status): skipped if in the manifest, else ingested or not_published."""
     marked = manifest.select(*keys).distinct().withColumn("__marked", F.lit(not force))
-    files = resolved.select(*keys, "path")
+    files = resolved.groupBy(*keys).agg(F.min("path").alias("path"))
     status = (
         F.when(F.coalesce("__marked", F.lit(False)), "skipped")
         .when(F.col("path").isNotNull(), "ingested")

@@ -42,8 +42,13 @@ def keyed_sample_by(
 def random_sample_by_year(
     df: DataFrame,
     fraction: float = SAMPLE_FRACTION,
-    years: Sequence[int] = SAMPLE_YEARS,
+    years: Sequence[int] | None = SAMPLE_YEARS,
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
-    """Spark's own stratified sample.  Its rows depend on how ``df`` is partitioned."""
+    """Spark's own stratified sample.  Its rows depend on how ``df`` is partitioned.
+
+    Without ``years`` every row has the same chance, whatever its year.
+    """
+    if years is None:
+        return df.sample(fraction=fraction, seed=seed)
     return df.sampleBy("year", {year: fraction for year in years}, seed)

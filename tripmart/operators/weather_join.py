@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from tripmart.operators.joins import broadcast_within
 
 
 def one_row_per_hour(weather: DataFrame, variables: Sequence[str] = TRIP_WEATHER) -> DataFrame:
-    """Least record of each hour, whole: a repeated hour must not multiply trips."""
+    """Fullest record of each hour, the least one of several: no trip is multiplied."""
+    lacking = reduce(lambda a, b: a + b, [F.col(v).isNull().cast("int") for v in variables])
     return (
         weather.filter(F.col("datetime_local").isNotNull())
         .groupBy("datetime_local")
-        .agg(F.min(F.struct(*variables)).alias("record"))
-        .select("datetime_local", "record.*")
+        .agg(F.min(F.struct(lacking.alias("__lacking"), *variables)).alias("record"))
+        .select("datetime_local", *[F.col("record")[v].alias(v) for v in variables])
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,13 @@ from tripmart.contracts import (
     DEFAULT_MONTHS,
     DEFAULT_YEARS,
     MANIFEST_SCHEMA,
+    ORIGIN_FILE,
+    ORIGIN_ROW,
     PARTITION_KEYS,
     SERVICE_START,
     TRIP_FILE_PATTERN,
     WEATHER_MANIFEST_SCHEMA,
+    WEATHER_VARIABLES,
 )
 from tripmart.operators.ingest import (
     already_ingested,
@@ -26,14 +30,15 @@ from tripmart.operators.ingest import (
     service_types,
     status_summary,
 )
-from tripmart.sources.listing import list_partition_files, with_footers, with_markers
+from tripmart.sources.listing import list_files, list_partition_files, with_footers, with_markers
 from tripmart.sources.tables import write_partitioned
 from tripmart.sources.weather import hourly_rows, read_weather_json
 
 
 def open_manifest(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA) -> DataFrame:
-    """The manifest table, created empty on first use."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    """The manifest table, created empty on first use or after a creation that broke off."""
+    if list_files(spark, path).isEmpty():
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     spark.catalog.refreshByPath(path)
     return spark.read.schema(schema).parquet(path)
 
@@ -42,10 +47,14 @@ def land_files(spark: SparkSession, files: DataFrame, bronze_path: str) -> None:
     """Copy monthly files (a ``path`` column) under type/year/month folders.
 
     Files with equal columns are copied together and never with others, so a column
-    that a month lacks stays absent.  Type and month are taken from the file name.
-    Re-landing a month replaces that month only.
+    that a month lacks stays absent; a month whose parts differ in columns is an error.
+    Type and month are taken from the file name, and each row keeps that name and its
+    place in the file.  Re-landing a month replaces that month only.
     """
     name = F.col("_metadata.file_name")
+    mixed = files.groupBy(*PARTITION_KEYS).agg(F.count_distinct("columns").alias("kinds")).filter("kinds > 1")
+    if split := mixed.collect():
+        raise ValueError(f"parts of a month differ in columns: {[tuple(r)[:3] for r in split]}")
     groups = files.groupBy("columns").agg(F.collect_list("path").alias("paths"))
     # Only file names reach the driver, one per month, to name each scan.
     for group in groups.collect():
@@ -53,6 +62,8 @@ def land_files(spark: SparkSession, files: DataFrame, bronze_path: str) -> None:
             "vehicle_type": F.regexp_extract(name, TRIP_FILE_PATTERN, 1),
             "year": F.regexp_extract(name, TRIP_FILE_PATTERN, 2).cast("int"),
             "month": F.regexp_extract(name, TRIP_FILE_PATTERN, 3).cast("int"),
+            ORIGIN_FILE: name,
+            ORIGIN_ROW: F.col("_metadata.row_index"),
         }).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *PARTITION_KEYS
         ).parquet(bronze_path)
@@ -90,7 +101,9 @@ def ingest_trips(
     """Land every pending month that some source has; return (status, months).
 
     The manifest rows are appended last.  A run that dies before leaves its months
-    unmarked, and the next run lands them again in place.
+    unmarked, and the next run lands them again in place.  A month with a file that
+    Spark cannot read is named in a warning, counted as ``unreadable`` and not landed;
+    the others are.
     """
     manifest = open_manifest(spark, manifest_path)
     scope, pending = plan_months(spark, manifest, force=force, **scope_options)
@@ -104,8 +117,16 @@ def ingest_trips(
     summary = status_summary(month_status(tried, manifest, resolved, force=force))
 
     # One row per month and three summary rows: fixed now, before the manifest changes.
-    outcome = spark.createDataFrame(summary.collect(), summary.schema)
+    counts = {r["status"]: r["months"] for r in summary.collect()}
     months = files.collect()
+    month_of = lambda r: tuple(r[k] for k in PARTITION_KEYS)
+    broken = {month_of(r) for r in months if r["columns"] is None}
+    if broken:
+        names = sorted(r["path"] for r in months if r["columns"] is None)
+        warnings.warn(f"source files that cannot be read: {names}", stacklevel=2)
+        counts |= {"ingested": counts["ingested"] - len(broken), "unreadable": len(broken)}
+    outcome = spark.createDataFrame([(s, n) for s, n in counts.items() if n], summary.schema)
+    months = [r for r in months if month_of(r) not in broken]
     if months:
         landed = spark.createDataFrame(months, files.schema)
         land_files(spark, landed, bronze_path)
@@ -115,9 +136,12 @@ def ingest_trips(
 
 def append_manifest(files: DataFrame, manifest_path: str) -> None:
     """Mark months as ingested, after their data has landed."""
-    entries = files.select(
+    parts = F.sort_array(F.collect_list(F.concat_ws(":", "origin", "path")))  # files of one month
+    entries = files.groupBy(*PARTITION_KEYS, "columns").agg(
+        F.array_join(parts, ";").alias("source"), F.sum("row_count").alias("row_count")
+    ).select(
         *PARTITION_KEYS,
-        F.concat_ws(":", "origin", "path").alias("source"),
+        "source",
         "row_count",
         F.current_timestamp().alias("ingested_at"),
         "columns",
@@ -144,6 +168,7 @@ def manifest_of_existing(
     marks = months.select(*PARTITION_KEYS, "folder", mark.alias("mark"))
 
     described = with_footers(files.join(marks.select("folder"), "folder", "left_semi"))
+    described = described.filter(F.col("columns").isNotNull())
     mixed = described.groupBy("folder").agg(F.count_distinct("columns").alias("variants"))
     own = F.concat_ws("/", "location", F.element_at(F.split("path", "/"), -1))
     placed = described.join(mixed, "folder").withColumn(
@@ -196,15 +221,26 @@ def ingest_weather(
     """Land the hours of every pending month; return (status, months).
 
     ``scope`` names the months to consider, see ``calendar_months`` and
-    ``whole_history``; without it, all months found in the answers.
+    ``whole_history``; without it, all months found in the answers.  The month of an
+    answer is the one that most of its hours lie in, the earliest of several.  All its
+    hours are landed there and mark no other month; those of other months, and those
+    without a readable time, are counted in the row ``hours_outside`` of the outcome.
     """
     keys = ["year", "month"]
     manifest = open_manifest(spark, manifest_path, WEATHER_MANIFEST_SCHEMA)
-    hours = hourly_rows(read_weather_json(spark, json_path), keep=("source",)).withColumns({
-        "year": F.year("datetime_local"), "month": F.month("datetime_local"),
-    })
+    hours = hourly_rows(read_weather_json(spark, json_path), keep=("source",))
+    own = hours.filter(F.col("datetime_local").isNotNull()).groupBy(
+        "source", F.year("datetime_local").alias("y"), F.month("datetime_local").alias("m")
+    ).agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", (-F.col("y")).alias("y"), (-F.col("m")).alias("m")))
+    owner = own.groupBy("source").agg(most.alias("o")).select(
+        "source", (-F.col("o.y")).alias("year"), (-F.col("o.m")).alias("month"))
+    hours = hours.join(owner, "source")
+    strays = ~F.coalesce((F.year("datetime_local") == F.col("year")) & (F.month("datetime_local") == F.col("month")),
+                         F.lit(False))
     answers = hours.groupBy(*keys).agg(
-        F.min("source").alias("path"), F.count("*").alias("row_count")
+        F.min("source").alias("path"), F.count("*").alias("row_count"),
+        F.sum(strays.cast("long")).alias("outside"),
     )
     asked = first_months(answers if scope is None else scope, limit).select(*keys)
     summary = status_summary(month_status(asked, manifest, answers, keys, force))
@@ -212,12 +248,16 @@ def ingest_weather(
     fresh = answers.join(pending, keys, "left_semi")
 
     # One row per month and three summary rows: fixed now, before the manifest changes.
-    outcome = spark.createDataFrame(summary.collect(), summary.schema)
+    counts = [tuple(r) for r in summary.collect()]
     months = fresh.collect()
+    if outside := sum(r["outside"] for r in months):
+        counts.append(("hours_outside", outside))
+    outcome = spark.createDataFrame(counts, summary.schema)
     if months:
-        landed = spark.createDataFrame(months, fresh.schema)
+        landed = spark.createDataFrame(months, fresh.schema).drop("outside")
         write_partitioned(
-            hours.join(landed, keys, "left_semi").drop("source"), bronze_path, keys, "partitions"
+            hours.join(landed, keys, "left_semi").drop("source").select(
+                "datetime_local", *WEATHER_VARIABLES, *keys), bronze_path, keys, "partitions"
         )
         entries = landed.select(
             *keys,

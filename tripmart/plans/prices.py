@@ -18,8 +18,10 @@ from tripmart.contracts import (
 )
 from tripmart.functions import valid_price
 from tripmart.operators.joins import broadcast_within, join_null_safe
-from tripmart.operators.sampling import keyed_sample_by, random_sample_by_year
+from tripmart.operators.sampling import keyed_sample, keyed_sample_by, random_sample_by_year
 
+#: Parts of a bin that are ranked apart.
+RANK_SPLIT = 1024
 ROW_KEY = ("source_file", "source_row")
 
 
@@ -41,15 +43,15 @@ def eligible_zones(priced: DataFrame, minimum: int = MIN_ZONE_TRIPS) -> DataFram
 
 
 def in_eligible_zones(
-    rows: DataFrame, zones: DataFrame, row_bound: int | None = None
+    rows: DataFrame, zones: DataFrame, at_most: int | None = None, row_bound: int = ZONE_ROW_BOUND
 ) -> DataFrame:
     """Rows whose pickup zone is among ``zones``.
 
-    With a bound, ``zones`` is counted first: worth a scan of two columns when
-    ``rows`` are all trips, which then need no shuffle.  For a small ``rows``, such
-    as a sample, adaptive execution decides on its own.
+    ``at_most`` is the number of zones there are, if known: the eligible ones, which
+    come out of all trips, need not be counted then.  Without it adaptive execution
+    decides on its own.
     """
-    keys = broadcast_within(zones.select("pickup_zone_id"), row_bound)
+    keys = broadcast_within(zones.select("pickup_zone_id"), None if at_most is None else row_bound, at_most)
     return rows.join(keys, "pickup_zone_id", "left_semi")
 
 
@@ -58,7 +60,7 @@ def price_sample(
     ceiling: float = MAX_PRICE_PER_KM,
     minimum: int = MIN_ZONE_TRIPS,
     fraction: float = SAMPLE_FRACTION,
-    years: Sequence[int] = SAMPLE_YEARS,
+    years: Sequence[int] | None = SAMPLE_YEARS,
     seed: int = SAMPLE_SEED,
     row_key: Sequence[str] = ROW_KEY,
 ) -> DataFrame:
@@ -70,7 +72,10 @@ def price_sample(
     evaluation give the same rows.
     """
     priced = priced_trips(trips, ceiling, keep=row_key)
-    chosen = keyed_sample_by(priced, "year", {y: fraction for y in years}, row_key, seed)
+    if years is None:
+        chosen = keyed_sample(priced, row_key, fraction, seed)
+    else:
+        chosen = keyed_sample_by(priced, "year", {y: fraction for y in years}, row_key, seed)
     eligible = eligible_zones(priced, minimum)
     return in_eligible_zones(chosen, eligible).select(
         "pickup_zone_id", "year", "price_per_km"
@@ -82,12 +87,12 @@ def price_sample_random(
     ceiling: float = MAX_PRICE_PER_KM,
     minimum: int = MIN_ZONE_TRIPS,
     fraction: float = SAMPLE_FRACTION,
-    years: Sequence[int] = SAMPLE_YEARS,
+    years: Sequence[int] | None = SAMPLE_YEARS,
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
     """The same report with Spark's own per-year sampling (not repeatable)."""
     priced = priced_trips(trips, ceiling)
-    kept = in_eligible_zones(priced, eligible_zones(priced, minimum), ZONE_ROW_BOUND)
+    kept = in_eligible_zones(priced, eligible_zones(priced, minimum))
     return random_sample_by_year(kept, fraction, years, seed)
 
 
@@ -105,32 +110,49 @@ def price_quantiles(
     histogram: DataFrame,
     quantiles: Sequence[float],
     width: float,
-    row_bound: int | None = QUANTILE_ROW_BOUND,
+    groups: int | None = None,
+    row_bound: int = QUANTILE_ROW_BOUND,
+    split: int = RANK_SPLIT,
 ) -> DataFrame:
     """Exact interpolated quantiles per (zone, year), without gathering any group.
 
     ``histogram`` is ``price_histogram(prices, width)``, best read from its stored
     table.  It tells which bin holds each wanted rank; only prices in those bins are
-    counted and ranked, so a group's bulk never meets in one task.
+    counted.  They are ranked in ``split`` parts of a bin, each after the sum of the
+    parts before it, so neither a group's bulk nor a full bin meets in one task.
+    ``groups`` bounds the number of (zone, year) pairs, if the caller knows a bound;
+    nothing is counted for it.
     """
     group = ["pickup_zone_id", "year"]
     targets = _rank_bins(histogram, group, quantiles)
-    # Two ranks per quantile and group at most: counting groups is enough, and cheap.
-    ranks = 2 * len(quantiles) * prices.select(*group).distinct().count()
-    needed = broadcast_within(targets.select(*group, "bin").distinct(), row_bound, ranks)
+    # Two ranks per quantile and group at most.
+    ranks = None if groups is None else 2 * len(quantiles) * groups
+    needed = broadcast_within(
+        targets.select(*group, "bin").distinct(), None if ranks is None else row_bound, ranks
+    )
     binned = prices.select(
-        *group, "price_per_km", F.floor(F.col("price_per_km") / F.lit(width)).alias("bin")
+        *group,
+        "price_per_km",
+        F.floor(F.col("price_per_km") / F.lit(width)).alias("bin"),
+        F.floor(F.col("price_per_km") / F.lit(width / split)).alias("part_of_bin"),
     )
     counted = (
         join_null_safe(binned, needed, [*group, "bin"], "left_semi")
-        .groupBy(*group, "bin", "price_per_km")
+        .groupBy(*group, "bin", "part_of_bin", "price_per_km")
         .agg(F.count("*").alias("k"))
     )
+    parts = counted.groupBy(*group, "bin", "part_of_bin").agg(F.sum("k").alias("k"))
+    lower = Window.partitionBy(*group, "bin").orderBy("part_of_bin")
+    parts = parts.select(
+        *group, "bin", "part_of_bin", (F.sum("k").over(lower) - F.col("k")).alias("below")
+    )
     upto = (
-        Window.partitionBy(*group, "bin").orderBy("price_per_km")
+        Window.partitionBy(*group, "bin", "part_of_bin").orderBy("price_per_km")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = counted.withColumn("through", F.sum("k").over(upto))
+    ranked = join_null_safe(
+        counted.withColumn("inside", F.sum("k").over(upto)), parts, [*group, "bin", "part_of_bin"]
+    ).withColumn("through", F.col("below") + F.col("inside"))
     # Ranks inside a bin, from 0, that each distinct price stands for.
     first, last = F.col("through") - F.col("k"), F.col("through") - 1
     hits = join_null_safe(ranked, targets, [*group, "bin"])

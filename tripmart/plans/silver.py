@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import GRID_RESOLUTION, PARTITION_KEYS, VEHICLE_TYPES
@@ -59,21 +59,17 @@ def silver_trips(
 def bronze_sources(
     spark: SparkSession, root: str, manifest: DataFrame
 ) -> list[tuple[str, DataFrame]]:
-    """One scan per era over the months the manifest holds."""
-    inventory = latest_entries(manifest).filter(
-        F.col("vehicle_type").isin(*VEHICLE_TYPES) & (F.col("row_count") > 0)
-    )
-    return [(era.vehicle_type, scan_era(spark, root, era)) for era in eras(inventory)]
-
+    """One scan per era over the months the manifest holds.
 
-def in_file_month() -> Column:
-    """Whether a trip began in the month of the file that holds it.
-
-    Nearly all do.  Their scan task holds one silver partition and can write it
-    without a shuffle; NULL or stray pickup times are false or NULL.
+    A vehicle type without a name table is an error: its trips would be missing.
     """
-    folder = F.concat("vehicle_type", F.lit("/"), "year", F.lit("/"), "month", F.lit("/"))
-    return F.startswith("source_file", folder)
+    inventory = latest_entries(manifest).filter(F.col("row_count") > 0)
+    strange = inventory.filter(
+        F.col("vehicle_type").isNull() | ~F.col("vehicle_type").isin(*VEHICLE_TYPES)
+    ).select("vehicle_type").distinct().collect()
+    if strange:
+        raise ValueError(f"landed vehicle types without source names: {sorted(str(r[0]) for r in strange)}")
+    return [(era.vehicle_type, scan_era(spark, root, era)) for era in eras(inventory)]
 
 
 def bronze_weather(spark: SparkSession, root: str) -> DataFrame:
@@ -99,17 +95,22 @@ def build_silver_trips(
 ) -> DataFrame:
     """Write silver trips and read them back; raises when there is nothing to read.
 
+    A file holds trips of its own month, but for a few strays, so the task that scans it
+    writes them: bronze is read once and not shuffled.
+
     With ``types`` only those vehicle types are rebuilt and the others stay.  Whole
-    types, because a file may hold trips of any month; partitions of a rebuilt type
-    that get no trips any more go away with the next full build.
+    types, because a file may hold trips of any month: the folder of each is replaced
+    with all its months.
     """
     scope = manifest if types is None else manifest.filter(F.col("vehicle_type").isin(*types))
-    trips = silver_trips(bronze_sources(spark, bronze_path, scope), grid, weather)
-    write_partitioned(
-        trips,
-        silver_path,
-        PARTITION_KEYS,
-        replace="table" if types is None else "partitions",
-        settled=in_file_month(),
-    )
+    sources = bronze_sources(spark, bronze_path, scope)
+    if types is None:
+        trips = silver_trips(sources, grid, weather)
+        write_partitioned(trips, silver_path, PARTITION_KEYS, in_place=True)
+    for kind in types or ():
+        trips = silver_trips([s for s in sources if s[0] == kind], grid, weather)
+        write_partitioned(
+            trips, f"{silver_path}/vehicle_type={kind}", PARTITION_KEYS[1:],
+            in_place=True, drop=("vehicle_type",),
+        )
     return read_table(spark, silver_path, refresh=True)

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripmart.contracts import PARTITION_KEYS
+from tripmart.contracts import ORIGIN_FILE, ORIGIN_ROW, PARTITION_KEYS, RESERVED_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -40,18 +41,23 @@ def scan_era(spark: SparkSession, root: str, era: Era) -> DataFrame:
     """Source columns of one era plus (source_file, source_row), the row's identity.
 
     Spark takes the schema from one footer, which is right because every file of
-    the era has the same one; nothing is merged.
+    the era has the same one; nothing is merged.  The identity is that of the file the
+    row was landed from, so it outlives another landing; bronze that something else laid
+    out has none and is known by its own files.
     """
     base = root.rstrip("/")
-    raw = spark.read.option("basePath", base).parquet(
-        *[f"{base}/{location}" for location in era.locations]
-    )
+    folders = [f"{base}/{location}" for location in era.locations]
+    schema = spark.read.option("basePath", base).parquet(folders[0]).schema
+    for name, kind in zip(RESERVED_COLUMNS, (T.StringType(), T.LongType())):
+        if name not in schema.names:
+            schema = schema.add(name, kind)
+    raw = spark.read.schema(schema).option("basePath", base).parquet(*folders)
     source_file = F.concat_ws(
         "/",
         *[F.col(key).cast("string") for key in PARTITION_KEYS],
-        F.col("_metadata.file_name"),
+        F.coalesce(ORIGIN_FILE, "_metadata.file_name"),
     )
     return raw.withColumns({
         "source_file": source_file,
-        "source_row": F.col("_metadata.row_index"),
-    }).drop(*PARTITION_KEYS)
+        "source_row": F.coalesce(ORIGIN_ROW, "_metadata.row_index"),
+    }).drop(*PARTITION_KEYS, *RESERVED_COLUMNS)

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import PARTITION_KEYS, TRIP_FILE_PATTERN
+from tripmart.contracts import PARTITION_KEYS, RESERVED_COLUMNS, TRIP_FILE_PATTERN
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
@@ -36,7 +35,7 @@ def list_month_files(spark: SparkSession, root: str) -> DataFrame:
     """Monthly source files by their name: (vehicle_type, year, month, path).
 
     Works for any folder layout; files whose name is no monthly file are left out.
-    Should a month occur twice below one root, the first path stands.
+    A month delivered in parts has one row for each.
     """
     name = F.element_at(F.split("path", "/"), -1)
     part = [F.regexp_extract(name, TRIP_FILE_PATTERN, i) for i in (1, 2, 3)]
@@ -49,8 +48,6 @@ def list_month_files(spark: SparkSession, root: str) -> DataFrame:
             part[2].cast("int").alias("month"),
             "path",
         )
-        .groupBy("vehicle_type", "year", "month")
-        .agg(F.min("path").alias("path"))
     )
 
 
@@ -78,71 +75,80 @@ def list_partition_files(
     )
 
 
-def _opener() -> Callable:
-    """A file opener for use inside tasks, on any storage that pyarrow knows."""
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for ``path``, whatever storage that is, and the path in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-    # Nested, so that it travels with the task and workers need no copy of this package.
-    def open_file(path: str):
-        from pyarrow import fs
 
-        # Local files are listed as "file:/x"; a URI parser wants "file:///x".
-        uri = re.sub("^file:/(?!/)", "file:///", path)
-        system, inner = fs.FileSystem.from_uri(uri)
-        return system.open_input_file(inner)
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at)
 
-    return open_file
 
+def delete(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+def columns_of(spark: SparkSession, path: str) -> list[str] | None:
+    """Sorted "name type" list of a Parquet file; NULL if Spark cannot read it."""
+    try:
+        fields = spark.read.parquet(path).schema
+    except (PySparkException, Py4JJavaError):
+        return None
+    return sorted(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name not in RESERVED_COLUMNS)
 
 
 def with_footers(files: DataFrame) -> DataFrame:
     """Add what each file's footer says: ``columns`` and ``row_count``.
 
-    ``columns`` is the sorted "name type" list; files with equal lists can be
-    scanned together, and whether a month has a column is taken from here and from
-    nowhere else.  Tasks read footers only, never data.
+    Files with equal ``columns`` can be scanned together, and whether a month has a
+    column is taken from here and from nowhere else.  Spark's reader opens the footers,
+    so every storage that it lists will do.  Only file names reach the driver.  A file
+    that Spark cannot read has NULL in both.
     """
-    open_file = _opener()
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            columns, rows = [], []
-            for path in batch["path"]:
-                with open_file(path) as handle:
-                    footer = pq.read_metadata(handle)
-                schema = footer.schema.to_arrow_schema()
-                columns.append(sorted(f"{c.name} {c.type}" for c in schema))
-                rows.append(footer.num_rows)
-            yield batch.assign(columns=columns, row_count=rows)
-
-    return files.repartition("path").mapInPandas(
-        read, f"{_ddl(files)}, columns array<string>, row_count bigint"
+    spark = files.sparkSession
+    alike: dict[tuple[str, ...], list[str]] = {}
+    described = []
+    for row in files.select("path").distinct().orderBy("path").collect():
+        columns = columns_of(spark, row.path)
+        described.append((row.path, columns))
+        if columns is not None:
+            alike.setdefault(tuple(columns), []).append(row.path)
+    known = spark.createDataFrame(described, "path string, columns array<string>")
+    # Listings and scans differ in how many slashes follow the scheme.
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    counted = spark.createDataFrame([], "counted string, rows bigint")
+    for paths in alike.values():
+        rows = rows_per_file(spark.read.parquet(*paths))
+        counted = counted.unionByName(rows.select(plain("file_path").alias("counted"), F.col("row_count").alias("rows")))
+    return (
+        files.join(known, "path")
+        .join(counted, F.url_decode(F.replace(plain("path"), F.lit("+"), F.lit("%2B")))
+              == F.url_decode(F.replace(F.col("counted"), F.lit("+"), F.lit("%2B"))), "left")
+        .withColumn("row_count", F.when(F.col("columns").isNotNull(), F.coalesce("rows", F.lit(0))))
+        .select(*files.columns, "columns", "row_count")
     )
 
 
 def with_markers(folders: DataFrame, name: str = "_SUCCESS") -> DataFrame:
     """Add ``marker``: the text of the marker file in each ``folder``, NULL without one.
 
-    Spark's own readers pass over files whose name starts with an underscore.
+    Spark's own readers pass over files whose name starts with an underscore, so its
+    file system is asked; only folder names and markers reach the driver.
     """
-    open_file = _opener()
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = []
-            for folder in batch["folder"]:
-                try:
-                    with open_file(f"{folder}/{name}") as handle:
-                        texts.append(handle.read().decode("utf-8"))
-                except FileNotFoundError:
-                    texts.append(None)
-            yield batch.assign(marker=texts)
-
-    return folders.repartition("folder").mapInPandas(read, f"{_ddl(folders)}, marker string")
+    spark = folders.sparkSession
+    texts = []
+    for row in folders.select("folder").distinct().collect():
+        system, at = _file_system(spark, f"{row.folder}/{name}")
+        text = None
+        if system.exists(at):
+            stream = system.open(at)
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+        texts.append((row.folder, text))
+    return folders.join(spark.createDataFrame(texts, "folder string, marker string"), "folder")
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

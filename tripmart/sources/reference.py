@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import RING_SCHEMA
+from tripmart.sources.listing import exists
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -15,8 +16,12 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_zones(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame:
-    """Zone lookup as a reference table, written on the first call only."""
-    read_zone_csv(spark, csv_path).write.mode("ignore").parquet(table_path)
+    """Zone lookup as a reference table, written on the first call only.
+
+    A table without its ``_SUCCESS`` comes from a write that broke off and is replaced.
+    """
+    if not exists(spark, f"{table_path}/_SUCCESS"):
+        read_zone_csv(spark, csv_path).write.mode("overwrite").parquet(table_path)
     return spark.read.parquet(table_path)
 
 

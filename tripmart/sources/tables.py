@@ -4,21 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.sources.listing import delete, list_files
 
-def gather(df: DataFrame, keys: Sequence[str], settled: Column | None = None) -> DataFrame:
-    """Bring the rows of each partition together before a partitioned write.
-
-    Adaptive execution splits a partition that is too large for one task and merges
-    small ones.  Rows for which ``settled`` holds already lie with their like in the
-    scan: they stay in the task that read them, and only the rest is shuffled.
-    """
-    if settled is None:
-        return df.hint("rebalance", *keys)
-    stays = F.coalesce(settled, F.lit(False))
-    return df.filter(stays).unionByName(df.filter(~stays).hint("rebalance", *keys))
+#: Size that the files of a partition should have, and how many more of them may lie there.
+FILE_BYTES = 128 << 20
+SPARE_FILES = 2
 
 
 def write_partitioned(
@@ -26,16 +19,28 @@ def write_partitioned(
     path: str,
     keys: Sequence[str],
     replace: str = "table",
-    settled: Column | None = None,
+    in_place: bool = False,
+    drop: Sequence[str] = (),
 ) -> None:
     """Overwrite a partitioned Parquet table.
 
     ``replace="table"`` drops everything that was there; ``"partitions"`` only the
-    partitions that ``df`` holds.  See ``gather`` for ``settled``.
+    partitions that ``df`` holds.  The rows of a partition are brought together first:
+    adaptive execution splits a partition that is too large for one task and merges
+    small ones.  With ``in_place`` they are written by the task that has them, for rows
+    that nearly all lie with their like already: nothing is shuffled, and only partitions
+    left with many small files are put together afterwards.  Columns in ``drop`` are not
+    stored, because ``path`` says them.
     """
     mode = {"table": "static", "partitions": "dynamic"}[replace]
+    _write(df if in_place else df.hint("rebalance", *keys), path, keys, mode, drop)
+    if in_place:
+        compact(df.sparkSession, path, keys)
+
+
+def _write(df: DataFrame, path: str, keys: Sequence[str], mode: str, drop: Sequence[str] = ()) -> None:
     (
-        gather(df, keys, settled)
+        df.drop(*drop)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*keys)
@@ -43,6 +48,32 @@ def write_partitioned(
     )
 
 
+def scattered(spark: SparkSession, path: str, spare: int = SPARE_FILES) -> list[str]:
+    """Partition folders with more files than their size asks for; only names come back."""
+    files = list_files(spark, path).withColumn("folder", F.regexp_replace("path", "/[^/]+$", ""))
+    found = files.groupBy("folder").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    crowded = F.col("files") > F.ceil(F.col("bytes") / FILE_BYTES) + spare
+    return sorted(r.folder for r in found.filter(crowded).select("folder").collect())
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], spare: int = SPARE_FILES) -> int:
+    """Rewrite scattered partitions; returns how many there were.
+
+    They are written beside the table first and then put in their place, so a run that
+    breaks off loses nothing.
+    """
+    folders = scattered(spark, path, spare)
+    if folders:
+        beside = f"{path.rstrip('/')}__compact"
+        found = spark.read.option("basePath", path).parquet(*folders)
+        _write(found.hint("rebalance", *keys), beside, keys, "static")
+        whole = spark.read.schema(found.schema).parquet(beside)
+        _write(whole.hint("rebalance", *keys), path, keys, "dynamic")
+        delete(spark, beside)
+        spark.catalog.refreshByPath(path)
+    return len(folders)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Overwrite an unpartitioned Parquet table."""
     df.write.mode("overwrite").parquet(path)

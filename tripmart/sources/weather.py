@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import WEATHER_JSON_SCHEMA, WEATHER_VARIABLES
@@ -27,17 +27,20 @@ def parse_weather_text(df: DataFrame, column: str) -> DataFrame:
 def hourly_rows(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Object of parallel arrays to one row per hour.
 
-    Arrays are zipped by position; a shorter array gives NULL at its missing end.
+    Arrays are zipped by position; a shorter array gives NULL at its missing end, an
+    array that is missing or null gives NULL throughout, and so does an unreadable time.
     ``keep`` names columns of the payload row to carry along.
     """
+    def values(name: str, kind: str) -> Column:
+        return F.coalesce(F.col(f"hourly.{name}"), F.array().cast(f"array<{kind}>")).alias(name)
+
     zipped = F.arrays_zip(
-        F.col("hourly.time").alias("time"),
-        *[F.col(f"hourly.{name}").alias(name) for name in WEATHER_VARIABLES],
+        values("time", "string"), *[values(name, kind) for name, kind in WEATHER_VARIABLES.items()]
     )
     hours = payloads.select(*keep, F.explode(zipped).alias("h"))
     return hours.select(
         *keep,
-        F.to_timestamp_ntz("h.time", F.lit("yyyy-MM-dd'T'HH:mm")).alias("datetime_local"),
+        F.col("h.time").try_cast("timestamp_ntz").alias("datetime_local"),
         *[F.col(f"h.{name}").alias(name) for name in WEATHER_VARIABLES],
     )
 
@@ -49,6 +52,7 @@ def scan_bronze_weather(spark: SparkSession, root: str) -> list[DataFrame]:
     integers; reading both with one schema would fail.
     """
     files = with_footers(list_partition_files(spark, root, ("year", "month")))
+    files = files.filter(F.col("columns").isNotNull())
     groups = files.groupBy("columns").agg(F.sort_array(F.collect_set("path")).alias("paths"))
     # Only file names reach the driver, a few per month, to name each scan.
     return [spark.read.parquet(*group.paths) for group in groups.collect()]
