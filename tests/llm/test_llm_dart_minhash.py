@@ -87,6 +87,26 @@ def test_deduplicate_keeps_one_row_of_each_class_and_all_columns(spark, odd_rows
     assert all(r in rows for r in kept)
 
 
+def test_large_buckets_of_loose_copies_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    center = words(rng, 150)
+    texts = [t for edits in (1, 2, 3, 4, 5) for t in family(rng, center, 12, edits)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    monkeypatch.setattr(D, "SMALL", 3)
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 8)
+    assert found(spark.createDataFrame(rows, SCHEMA)) == brute_classes([r[:2] for r in rows])
+
+
+def test_block_links_equal_pairs():
+    rng = random.Random(2)
+    texts = family(rng, words(rng, 120), 40, 2) + ["", "one", "one two", " ".join(words(rng, 50))]
+    first = np.arange(len(texts)) % 2 == 0
+    sets = [D.shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+            if first[i] != first[j] and D.jaccard(sets[i], sets[j]) >= 0.8}
+    assert {tuple(p) for p in D.links_between(texts, first, ~first, 0.8).tolist()} == want and want
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert D.classes(df).count() == 0 and D.deduplicate(df).columns == df.columns

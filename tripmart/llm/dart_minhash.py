@@ -10,10 +10,12 @@ joined in bands; documents that share a band are candidates.
 
 Equal texts are one item.  Within a band's bucket candidates are compared with one chosen
 item (in later rounds the one with most links so far), not with each other; what is in one
-class already needs no comparison.  After ``ROUNDS`` rounds the pairs of one bucket that
-are still in different classes are all compared, so no link inside a bucket is lost.  Every
-link is verified on the whole texts: Jaccard similarity of the shingle sets, ``SIMILAR`` or
-more.  Classes are the connected components.
+class already needs no comparison.  After ``ROUNDS`` rounds whatever one bucket still holds
+in different classes is compared, so no link inside a bucket is lost: in a bucket of up to
+``SMALL`` items as pairs, in a larger one block against block, where a task multiplies the
+shingle tables of two blocks of bounded size and returns the links only.  Every link is
+verified on whole texts: Jaccard similarity of the shingle sets, ``SIMILAR`` or more.
+Classes are the connected components.
 
 Defined results: fewer than five words are one shingle; texts without words (NULL too) have
 none and are similar only to texts equal to them, NULL counting as empty.  A class is named
@@ -39,7 +41,11 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5  # a pair at 0.8 shares no band once in 70,000 times
-ROUNDS = 3
+ROUNDS = 2
+#: Buckets that are compared in pairs; beyond, items and shingles of a block.
+SMALL = 16
+BLOCK_ITEMS, BLOCK_SHINGLES = 1024, 200_000
+TABLE_COLUMNS = 2048
 SLICE_BYTES = 2 << 20
 #: Distribution function of a Poisson variable of mean 1.
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
@@ -196,10 +202,55 @@ def _verify(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
 
     one = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select(
+    # Merge joins at every size: what moves stays in proportion to the input.
+    return pairs.select("a", "b").join(one.hint("merge"), "a").join(two.hint("merge"), "b").select(
         "a", "b", "text_a", "text_b").mapInArrow(work, "a binary, b binary")
 
 
+def links_between(texts: list[str], first: np.ndarray, second: np.ndarray, similar: float) -> np.ndarray:
+    """Index pairs (one ``first``, one ``second``) of similar texts, each pair once.
+
+    The table of texts and shingles has a column only for shingles of two texts or more;
+    it is multiplied with itself a few columns at a time.
+    """
+    document, element, _ = shingle_sets(texts)
+    n = np.bincount(document, minlength=len(texts)).astype(np.float32)
+    _, column, seen = np.unique(element, return_inverse=True, return_counts=True)
+    keep = seen[column] > 1
+    document, column = document[keep], np.unique(column[keep], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    document, column = document[order], column[order]
+    both = np.zeros((len(texts), len(texts)), dtype=np.float32)
+    for begin in range(0, int(column.max(initial=-1)) + 1, TABLE_COLUMNS):
+        lo, hi = np.searchsorted(column, [begin, begin + TABLE_COLUMNS])
+        table = np.zeros((len(texts), TABLE_COLUMNS), dtype=np.float32)
+        table[document[lo:hi], column[lo:hi] - begin] = 1
+        both += table @ table.T
+    near = both >= similar * (n[:, None] + n[None, :] - both) - 1e-4
+    near &= (both > 0) & ((first[:, None] & second[None, :]) | (second[:, None] & first[None, :]))
+    return np.argwhere(np.triu(near, 1))
+
+
+def _block_links(members: DataFrame, buckets: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) inside large buckets, between items that have different roots."""
+    wide = F.greatest(F.ceil(F.col("members") / BLOCK_ITEMS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rows = members.join(buckets.select("key", wide.alias("blocks")), "key").withColumn(
+        "block", F.pmod(F.xxhash64("item", "key"), "blocks").cast("int"))
+    rows = rows.select("key", "item", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", "item", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        block = table["block"].to_numpy()
+        items, roots = table["item"].to_pylist(), table["root"].to_pylist()
+        found = links_between(table["text"].to_pylist(), block == i, block == j, similar)
+        pairs = [sorted((items[x], items[y])) for x, y in found.tolist() if roots[x] != roots[y]]
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+
+    return rows.join(texts.hint("merge"), "item").groupBy("key", "i", "j").applyInArrow(
+        work, "a binary, b binary").distinct()
+
+
 def _sized(similar: float) -> Column:
     """What the sizes of two sets must fulfil to be similar at all."""
     return F.least("n", "n_b") >= similar * F.greatest("n", "n_b") - 1e-9
@@ -207,10 +258,13 @@ def _sized(similar: float) -> Column:
 
 def near_links(rows: DataFrame, documents: DataFrame, similar: float = SIMILAR, rounds: int = ROUNDS) -> DataFrame:
     """(node, root) of the items that are similar to another one; ``rows`` come from ``sketch``."""
-    exploded = rows.select("item", "n", F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where(
-        "lo <> hi").select("key")
-    entries = settle(exploded.join(settle(shared, "near-keys"), "key").distinct(), "near-entries")
+    # Short names of the items are enough to see which keys are shared.
+    short = rows.select(F.xxhash64("item").alias("short"), F.explode("keys").alias("key"))
+    shared = short.groupBy("key").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
+    shared = settle(shared.select("key"), "near-keys")
+    entries = short.join(shared.hint("merge"), "key").distinct()
+    named = rows.groupBy("item").agg(F.min("n").alias("n")).withColumn("short", F.xxhash64("item"))
+    entries = settle(entries.join(named.hint("merge"), "short").select("item", "n", "key"), "near-entries")
     chosen = rows.join(entries.select("item").distinct(), "item", "left_semi").groupBy("item").agg(
         F.min("doc_id").alias("doc_id"))  # one row of each text; ids are NULL only if all are
     chosen = settle(chosen.select(F.col("item").alias("wanted"), F.col("doc_id").alias("wanted_id")), "near-items")
@@ -232,14 +286,15 @@ def near_links(rows: DataFrame, documents: DataFrame, similar: float = SIMILAR,
             "degree", F.coalesce("degree", F.lit(0)).cast("long")), "near-known")
         mixed = known.groupBy("key").agg(
             F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.max(F.struct("degree", F.xxhash64("item", F.lit(turn)).alias("lot"), "item", "root", "n")).alias("hub"))
+            F.max(F.struct("degree", F.xxhash64("item", F.lit(turn)).alias("lot"), "item", "root", "n")).alias("hub"),
+            F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
         mixed = settle(mixed.where("lo <> hi").select(
-            "key", F.col("hub.item").alias("b"), F.col("hub.root").alias("root_b"), F.col("hub.n").alias("n_b")), "near-hubs")
+            "key", "members", "shingles", F.col("hub.item").alias("b"), F.col("hub.root").alias("root_b"), F.col("hub.n").alias("n_b")), "near-hubs")
         if turn < rounds:
             pairs = known.withColumnRenamed("item", "a").join(mixed, "key")
             pairs = pairs.where((F.col("root") != F.col("root_b")) & _sized(similar))
         else:
-            left = known.join(mixed.select("key"), "key").withColumnRenamed("item", "a")
+            left = known.join(mixed.where(F.col("members") <= SMALL).select("key"), "key").withColumnRenamed("item", "a")
             right = left.select("key", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
             pairs = settle(left, "near-left").join(settle(right, "near-right"), "key").where(
                 (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & _sized(similar))
@@ -247,7 +302,10 @@ def near_links(rows: DataFrame, documents: DataFrame, similar: float = SIMILAR,
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs, "near-pairs")
-        found = settle(_verify(pairs, texts, similar), "near-links")
+        found = _verify(pairs, texts, similar)
+        if turn == rounds:
+            found = found.unionByName(_block_links(known, mixed.where(F.col("members") > SMALL), texts, similar))
+        found = settle(found, "near-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         if turn == 0 or found.limit(1).count():
