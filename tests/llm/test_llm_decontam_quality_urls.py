@@ -1,0 +1,128 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.llm import adaptive_quality as Q
+from tripmart.llm import suffix_decontam as D
+from tripmart.llm import url_templates as U
+
+DOCS, ITEMS = "doc_id long, text string, matches string", "item_id long, text string"
+
+
+def brute(texts, items, window):
+    out = []
+    for text in texts:
+        found, hit, ids = D.words(text), set(), set()
+        for item, body in items:
+            w = D.words(body)
+            n = min(window, len(w))
+            spans = {tuple(w[k:k + n]) for k in range(len(w) - n + 1)} if n else set()
+            for k in range(len(found) - n + 1 if n else 0):
+                if tuple(found[k:k + n]) in spans:
+                    hit.update(range(k, k + n))
+                    ids.update(() if item is None else (str(item),))
+        out.append((len(found), hit, sorted(ids)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def passages():
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choice("a b c d e ab É".split()) for _ in range(n))
+    items = [(k, text(rng.randrange(1, 40))) for k in range(12)] + [(None, "x y z"), (50, None), (51, ""), (3, "q r s t"), (3, "q r s t")]
+    texts = [text(rng.randrange(0, 400)) for _ in range(40)] + [None, "", "...", "X, y; Z!", "q r s t " * 4000, items[0][1]]
+    texts += [f"{t} {items[k % 12][1]} {t}" for k, t in enumerate(map(text, range(1, 20)))]
+    return texts, items
+
+
+@pytest.mark.parametrize("block, shard", [(1 << 26, 1 << 20), (60, 500)])
+def test_hits_equal_brute_force(spark, passages, block, shard):
+    texts, items = passages
+    docs = spark.createDataFrame([(k, t, "mine") for k, t in enumerate(texts)], DOCS)
+    marks = D.find_matches(docs, spark.createDataFrame(items, ITEMS), into="found", block_bytes=block, shard_bytes=shard)
+    assert marks.columns == ["doc_id", "text", "matches", "found"]
+    want = brute(texts, items, D.WINDOW)
+    for r in marks.collect():
+        n, hit, ids = want[r["doc_id"]]
+        assert (r["found"]["n_words"], r["found"]["items"]) == (n, ids)
+        assert {k for s in r["found"]["hits"] for k in range(s["start"], s["end"])} == hit
+        assert bool(hit) == bool(r["found"]["longest"])
+    clean = D.decontaminate(docs, spark.createDataFrame(items, ITEMS), block_bytes=block)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [k for k, w in enumerate(want) if not w[1]]
+    assert {r["matches"] for r in clean.collect()} == {"mine"}
+
+
+def test_longest_match_and_its_place(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m x"), (2, "z c d e f g h i j k l m n o")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "b c d e f g h i j k l m n o p")], ITEMS)
+    got = {r["doc_id"]: tuple(r["matches"]["longest"]) for r in D.find_matches(docs, items).collect()}
+    assert got == {1: (12, 1, "7", 0), 2: (13, 1, "7", 1)}
+
+
+def test_empty_sides(spark):
+    docs, none = spark.createDataFrame([(1, "a b", "m")], DOCS), spark.createDataFrame([], ITEMS)
+    assert D.decontaminate(docs, none).count() == 1
+    assert D.find_matches(spark.createDataFrame([], DOCS), none, "found").count() == 0
+
+
+def quality_rows():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 9)))
+    clean = [(k, " ".join(word() for _ in range(60)) + f".\n{word()} {word()}", "en", f"s{k % 2}", "kept") for k in range(260)]
+    odd = [(900, None, None, None, "x"), (901, "", "en", "s0", "x"), (902, "a b c d e " * 50, "en", "s0", "x"),
+           (903, " ".join(word() + "###" for _ in range(60)), "en", "s0", "x"), (904, clean[0][1].upper(), "en", "s1", "x"),
+           (905, "\n".join(["the same line of some words here"] * 9), "en", "s1", "x"), clean[0],
+           (906, " ".join(word() for _ in range(20000)), "de", None, "x")]
+    return clean + odd
+
+
+QUALITY = "doc_id long, text string, lang string, source string, kept string"
+
+
+def test_quality_keeps_clean_rows_and_rejects_outliers(spark):
+    rows = quality_rows()
+    df = spark.createDataFrame(rows, QUALITY)
+    got = {r["doc_id"]: r for r in Q.judge(df, [F.col("doc_id")]).collect()}
+    assert all(got[k]["kept"] for k in range(260)) and got[906]["kept"]
+    assert not any(got[k]["kept"] for k in (900, 901, 902, 903, 904, 905))
+    assert got[902]["n_repeat_words"] == 250 and got[902]["base_failed"] and got[905]["n_dup_lines"] == 8
+    assert got[903]["n_symbols"] == 180 and not got[903]["base_failed"]
+    good = Q.keep_good(df)
+    assert good.columns == df.columns and {r["kept"] for r in good.collect()} == {"kept", "x"}
+    assert good.count() == len(rows) - 6
+    assert Q.keep_good(spark.createDataFrame([], QUALITY)).count() == 0
+
+
+def test_repeated_windows_equal_brute_force(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 90))) for _ in range(80)]
+    df = spark.createDataFrame([(k, t, "en", "s", "") for k, t in enumerate(texts)], QUALITY)
+    for r in Q.features(df, [F.col("doc_id")]).collect():
+        w = texts[r["doc_id"]].split()
+        spans = [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
+        assert r["n_repeat_words"] == len({k + j for k, s in enumerate(spans) if spans.count(s) > 1 for j in range(5)})
+
+
+def test_urls(spark):
+    urls = ["http://a.net/x?y", "https://A.Example.NET/en/1", "http://example.com/de/5#t", "x://b.org/fr/", "http://b.org/frx/",
+            "no scheme", None, "http://anet/x", "http://b.net", "://", "http://h.io/" + "d/" * 300, "http://h.io//a//b"]
+    urls += [f"http://shop.io/item/{k}" for k in range(40)] + ["http://shop.io/item/1"] * 30
+    df = spark.createDataFrame([(k, u, "mine") for k, u in enumerate(urls)], "page_id long, url string, path string")
+    got = {r["page_id"]: r for r in U.judge(df).collect()}
+    assert len(got) == len(urls)
+    assert [got[k]["rule"] for k in range(12)] == ["net/", "example.net/en/", "example.com/de/", "org/fr/", *[None] * 8]
+    assert [got[k]["verdict"] for k in range(5)] == ["block", "allow", "block", "allow", "allow"]
+    assert (got[6]["host"], got[6]["path"]) == ("", "") and got[1]["host"] == "a.example.net"
+    assert got[10]["template"].endswith("/**") and got[20]["template"] == "/*/#"
+    assert U.judge(df.limit(0)).count() == 0
+
+
+def test_templates_carry_labels_to_pages_without_rules(spark):
+    rules = (("h.io/ads/x/", "block"),)
+    rows = [(k, f"http://h.io/ads/x/{k}") for k in range(40)] + [(100 + k, f"http://h.io/ads/{k}x{k}/{k}") for k in range(9)]
+    rows += [(200 + k, f"http://h.io/news/{k}") for k in range(60)]
+    got = U.judge(spark.createDataFrame(rows, "page_id long, url string"), rules)
+    verdicts = {r["page_id"]: (r["verdict"], r["template"]) for r in got.collect()}
+    assert {v for k, (v, _) in verdicts.items() if k < 100} == {"block"}
+    assert {v for k, (v, _) in verdicts.items() if k >= 200} == {"allow"}

@@ -1,0 +1,65 @@
+import re
+
+from tripmart.llm import pii_semicrf as P
+
+SCHEMA = "doc_id long, text string, spans string"
+
+
+def brute(text):
+    """The fixed patterns by plain regular expressions."""
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append(("email", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub(r"\D", "", m[0])
+        if 13 <= len(digits) <= 19 and sum(
+                int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(digits[::-1])) % 10 == 0:
+            found.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub(r"\D", "", m[0])) <= 15:
+            found.append(("phone", m.start(), m.end()))
+    return found
+
+
+ODD = ["", "a@b.c_d@e.f@g.h", "@@x@y@z.w", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.256 01.002.3.4", "4111 1111-1111 1111 1",
+       "é +1 (017) 555-7713 x +12 3 +1234567890123456", "x" * 50000 + "@a.b", "9" * 30000, "1." * 20000, "+1 " * 3000,
+       "4111111111111111 4111111111111112", "a.b-c%d+e@f-.g.-", "4111 1111 1111 1111@x.y"]
+
+
+def test_base_spans_equal_plain_patterns(tables):
+    for text in ODD + [d["text"] for d in tables("documents")]:
+        assert P.base_spans(text) == brute(text), text[:80]
+
+
+def test_model_finds_rewritten_data_and_leaves_the_rest(tables):
+    passages = sorted({p for d in tables("documents") for _, p in P.passages(d["text"], True)})
+    passages += ["write to ann.lee@mail.example.org today", "call +1 (017) 555-7713 now", "card 4111 1111 1111 1111 ok",
+                 "host 10.20.30.40 is up", "or bob@site.example.com please", "ring +1 (212) 555-0199 then"]
+    weights = P.fit(P.examples_of(passages))
+    found = lambda t: {t[s:e] for _, s, e in P.added_spans(t, P.base_spans(t), weights)}
+    assert "joe.doe [at] site [dot] org" in found("mail joe.doe [at] site [dot] org now")
+    assert "10[.]1[.]2[.]3" in found("the host 10[.]1[.]2[.]3 there")
+    for clean in ("in 2024 we met 3 times, 1234567890123456 and 3.14", 'token = "87e15d78b9d8ef29b6c10061e3551a60fa07e990"', ""):
+        assert not found(clean)
+    assert P.fit([]) == {}
+
+
+def test_query_rows_and_other_columns(spark):
+    rows = [(k, t, "mine") for k, t in enumerate([*ODD, None])] + [(None, "+1 234 567 8901", "x"), (3, ODD[3], "mine")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    weights = P.train(df)
+    got = P.digest(P.find_spans(df.drop("spans"), weights))
+    assert got.count() == len(rows)
+    by_id = {r["doc_id"]: r for r in got.collect()}
+    for k, text in enumerate(ODD):
+        base = brute(text)
+        assert by_id[k]["n_ip"] == sum(s[0] == "ip" for s in base)
+        spans = set(by_id[k]["spans"].split(",")) - {""}
+        assert {f"{a}:{b}:{c}" for a, b, c in base} <= spans
+    into = P.find_spans(df, weights, into="found")
+    assert into.columns == ["doc_id", "text", "spans", "found"] and {r["spans"] for r in into.collect()} == {"mine", "x"}
+    empty = spark.createDataFrame([], SCHEMA)
+    assert P.find_spans(empty, P.train(empty), "found").count() == 0

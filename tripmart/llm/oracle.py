@@ -124,7 +124,7 @@ FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 # One block of these for each level of the path tree.
 _OP3_LEVEL = r"""
 , going{d} AS (
-  SELECT *, CASE WHEN {d} < 8 THEN segments[{d} + 1] WHEN len(segments) > {d} THEN '**' END AS segment FROM level{d}
+  SELECT *, segments[{d} + 1] AS segment FROM level{d}
 ), child{d} AS (
   SELECT host, template, segment, sum(pages) AS pages, sum(blocked) AS blocked, sum(allowed) AS allowed
   FROM going{d} WHERE segment IS NOT NULL GROUP BY ALL
@@ -163,8 +163,10 @@ WITH parts AS (
     CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN pages ELSE 0 END AS allowed,
     list_filter(string_split(path, '/'), lambda x: x <> '') AS segments, '' AS template
   FROM ruled
-)""" + "".join(_OP3_LEVEL.format(d=d, next=d + 1) for d in range(9)) + r"""
-, known AS (
+)""" + "".join(_OP3_LEVEL.format(d=d, next=d + 1) for d in range(8)) + r"""
+, level9 AS (
+  SELECT * REPLACE (template || CASE WHEN len(segments) > 8 THEN '/**' ELSE '' END AS template) FROM level8
+), known AS (
   SELECT host, template, sum(blocked) / (sum(blocked) + sum(allowed) + 4) >= 0.5 AS rejected FROM level9 GROUP BY ALL
 )
 SELECT page_id, host, path, template, rule, CASE

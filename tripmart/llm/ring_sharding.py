@@ -50,15 +50,21 @@ def walk(loads: dict[int, int], shards: int, nodes: int, cells: int, slack: floa
     """The shard of every cell in ``loads``.
 
     Heavy cells choose first, so that light ones fill what is left.  A cell that no shard
-    has room for goes to the lightest one.
+    has room for goes to the lightest one; one that outweighs the mean is left out of it.
     """
     ring = virtual_nodes(shards, nodes, cells)
     places = [p for p, _ in ring]
     after: dict[int, list[int]] = {}
     held = [0] * shards
-    room = (1 + slack) * sum(loads.values()) / shards
+    heavy_first = sorted(loads.items(), key=lambda x: (-x[1], x[0]))
+    rest, left = sum(loads.values()), shards
+    for _, load in heavy_first:  # a cell above the mean has a shard of its own
+        if left == 1 or load * left <= rest:
+            break
+        rest, left = rest - load, left - 1
+    room = (1 + slack) * rest / left
     placed = {}
-    for cell, load in sorted(loads.items(), key=lambda x: (-x[1], x[0])):
+    for cell, load in heavy_first:
         first = bisect_left(places, cell) % len(ring)
         if first not in after:
             after[first] = list(dict.fromkeys(s for _, s in ring[first:] + ring[:first]))

@@ -84,8 +84,10 @@ def _differs(part: str) -> Column:
 
 def descend(state: DataFrame, level: int, least_seen: int = LEAST_SEEN) -> DataFrame:
     """``state`` with one more segment in every template that goes on at ``level``."""
-    segment = F.get("segments", F.lit(level)) if level < LEVELS else F.when(F.size("segments") > level, F.lit("**"))
-    going = state.withColumn("segment", segment)
+    if level == LEVELS:
+        rest = F.concat("template", F.lit("/**"))
+        return state.withColumn("template", F.when(F.size("segments") > level, rest).otherwise(F.col("template")))
+    going = state.withColumn("segment", F.get("segments", F.lit(level)))
     children = settle(going.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(
         *[F.sum(c).alias(c) for c in ("pages", "blocked", "allowed")]), f"url-children-{level}")
     branches = children.where(F.col("pages") >= least_seen)
