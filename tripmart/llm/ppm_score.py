@@ -13,7 +13,7 @@ grams and words only; their totals come back to it by joins, so what moves grows
 corpus and no task holds more than a block's share of the model.  Common grams and words
 have one row per block, not per occurrence.
 
-Beside it stands a unigram score over words with one pseudo-count for each known word and
+Words travel as 64-bit hashes.  Beside the model stands a unigram score over words with one pseudo-count for each known word and
 one for the unknown.
 
 Defined results: a NULL text is empty, a text of only an end.  Documents without an id
@@ -31,19 +31,19 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import settle, slices
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-ORDER = 5
+ORDER = 4
 #: Symbols are bytes and the end, 9 bits each.
 END, BITS, SYMBOLS = 256, 9, 257
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 SLICE_BYTES = 4 << 20
-#: The end as a word; words hold no blanks, so it cannot be one of them.
-END_WORD = " "
+#: Words are negative numbers, grams are not; this one is the end.
+END_WORD = -1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -71,6 +71,12 @@ def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return code[symbol], starts
 
 
+def word_codes(words: list[bytes]) -> np.ndarray:
+    """Negative 64-bit hashes of words."""
+    hashed = pd.util.hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+    return np.minimum((hashed | np.uint64(1 << 63)).view(np.int64), END_WORD - 1)
+
+
 def in_blocks(documents: DataFrame, block_bytes: int) -> DataFrame:
     """(block, doc_id, train, text): consecutive rows of a task in blocks of bounded size."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,19 +98,15 @@ def in_blocks(documents: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def counts(texts: DataFrame, order: int) -> DataFrame:
-    """(block, gram, word, n): distinct grams and words of each block, n times in training."""
-    def emit(block: int, found: list, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """(block, code, n): distinct grams and words of each block, n times in training."""
+    def emit(block: int, found: list, words: dict[bytes, int], ends: int) -> Iterator[pa.RecordBatch]:
         codes, n = _merged(found)
-        keys = [w.decode() for w in words]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(codes) + len(keys), block)),
-            pa.concat_arrays([pa.array(codes, pa.int64()), pa.nulls(len(keys), pa.int64())]),
-            pa.concat_arrays([pa.nulls(len(codes), pa.string()), pa.array(keys, pa.string())]),
-            pa.concat_arrays([pa.array(n, pa.int64()), pa.array(list(words.values()), pa.int64())]),
-        ], names=["block", "gram", "word", "n"])
+        codes = np.concatenate([codes, word_codes(list(words)), [END_WORD]])
+        n = np.concatenate([n, np.fromiter(words.values(), np.int64, len(words)), [ends]])
+        yield pa.RecordBatch.from_pydict({"block": np.full(len(codes), block), "code": codes, "n": n})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, found, words = None, [], {}
+        block, found, words, ends = None, [], {}, 0
         for batch in batches:
             for run in slices(batch, 3, SLICE_BYTES):
                 rows = zip(*(run.column(k).to_pylist() for k in (0, 2, 3)), strict=True)
@@ -114,8 +116,8 @@ def counts(texts: DataFrame, order: int) -> DataFrame:
                 for (at, train), chosen in sorted(parts.items()):
                     if at != block:
                         if block is not None:
-                            yield from emit(block, found, words)
-                        block, found, words = at, [], {}
+                            yield from emit(block, found, words, ends)
+                        block, found, words, ends = at, [], {}, 0
                     codes, n = np.unique(grams(chosen, order)[0], return_counts=True)
                     found.append((codes, n if train else np.zeros_like(n)))
                     if len(found) > 8:
@@ -124,11 +126,11 @@ def counts(texts: DataFrame, order: int) -> DataFrame:
                     for text in chosen:
                         for word in WORD.findall(text):
                             words[word] = get(word, 0) + train
-                    words[END_WORD.encode()] = get(END_WORD.encode(), 0) + train * len(chosen)
+                    ends += train * len(chosen)
         if block is not None:
-            yield from emit(block, found, words)
+            yield from emit(block, found, words, ends)
 
-    return settle(texts.mapInArrow(count, "block long, gram long, word string, n long"), "lm-counts")
+    return settle(texts.mapInArrow(count, "block long, code long, n long"), "lm-counts")
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +147,7 @@ def levels(counted: DataFrame, order: int) -> list[DataFrame]:
     often those symbols were seen in the context one byte shorter.
     """
     nodes = [None] * (order + 1)
-    nodes[order] = settle(counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
+    nodes[order] = settle(counted.where("code >= 0").groupBy(F.col("code").alias("gram")).agg(F.sum("n").alias("n")), "lm-grams")
     for depth in range(order - 1, -1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * (depth + 1)) - 1))
         nodes[depth] = settle(nodes[depth + 1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), f"lm-grams-{depth}")
@@ -199,31 +201,33 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
     """One row per document with its unigram and its model score."""
     texts = in_blocks(documents, block_bytes)
     counted = counts(texts, order)
-    words = counted.where("word IS NOT NULL")
-    totals = words.groupBy("word").agg(F.sum("n").alias("c"))
-    sums = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0))).first()
-    n_train, distinct = sums
-    known_words = words.select("block", "word").join(totals, "word").select(
-        "block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"))
-    known_grams = counted.where("gram IS NOT NULL").select("block", "gram").join(
-        code_lengths(counted, order), "gram").select(
-        "block", "gram", F.lit(None).cast("string").alias("word"), F.col("log10p").alias("value"))
-    model = known_words.unionByName(known_grams)
+    same = Window.partitionBy("code")  # a row for each block at most
+    words = settle(counted.where("code < 0").select(
+        "block", "code", F.sum("n").over(same).cast("double").alias("value"),
+        F.row_number().over(same.orderBy("block")).alias("place")), "lm-words")
+    first = (F.col("place") == 1) & (F.col("value") > 0)
+    sums = words.agg(F.coalesce(F.sum(F.when(first, F.col("value"))), F.lit(0.0)), F.count(F.when(first, 1))).first()
+    n_train, distinct = int(sums[0]), sums[1]
+    lengths = code_lengths(counted, order).select(F.col("gram").alias("code"), F.col("log10p").alias("value"))
+    known_grams = counted.where("code >= 0").select("block", "code").join(lengths, "code")
+    model = words.select("block", "code", "value").unionByName(known_grams.select("block", "code", "value"))
 
     def work(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
-        is_gram = pc.is_valid(known["gram"])
-        of_grams, of_words = known.filter(is_gram), known.filter(pc.invert(is_gram))
-        index = pd.Index(of_grams["gram"].to_numpy())
-        lengths = of_grams["value"].to_numpy()
-        if not index.is_unique:  # a block that two tasks counted
-            first = ~index.duplicated()
-            index, lengths = index[first], lengths[first]
-        c = of_words["value"].to_numpy()
-        words = list(map(str.encode, of_words["word"].to_pylist()))
-        log = dict(zip(words, np.log10(c + 1).tolist(), strict=True))
-        unknown = {words[k] for k in np.flatnonzero(c == 0)}
-        end = END_WORD.encode()
-        end_log, end_known = log.get(end, 0.0), end in log and end not in unknown
+        codes, values = known["code"].to_numpy(), known["value"].to_numpy()
+        _, once = np.unique(codes, return_index=True)  # two tasks may have counted a block
+        codes, values = codes[once], values[once]
+        index, lengths = pd.Index(codes[codes >= 0]), values[codes >= 0]
+        counted_words, c = pd.Index(codes[codes < 0]), values[codes < 0]
+        c_end = c[counted_words.get_indexer([END_WORD])[0]]
+        end_log, end_known = float(np.log10(c_end + 1)), bool(c_end > 0)
+        log: dict[bytes, float] = {}
+        unknown: set[bytes] = set()
+
+        def look_up(words: list[bytes]) -> None:
+            own = c[counted_words.get_indexer(word_codes(words))]
+            log.update(zip(words, np.log10(own + 1).tolist(), strict=True))
+            unknown.update(words[k] for k in np.flatnonzero(own == 0))
+
         columns: dict[str, list] = {"n_tokens": [], "n_known": [], "log_counts": [], "score": [], "n_bytes": []}
         for batch in docs.select(["text"]).to_batches():
             for run in slices(batch, 0, SLICE_BYTES):
@@ -231,8 +235,9 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
                 codes, starts = grams(chosen, order)
                 each = lengths[index.get_indexer(codes)]
                 columns["score"].extend(np.add.reduceat(each, starts).tolist())
-                for text in chosen:
-                    found = WORD.findall(text)
+                split = [WORD.findall(text) for text in chosen]
+                look_up(list({w for found in split for w in found if w not in log}))
+                for text, found in zip(chosen, split, strict=True):
                     columns["n_tokens"].append(len(found) + 1)
                     columns["n_known"].append(len(found) + end_known - (sum(w in unknown for w in found) if unknown else 0))
                     columns["log_counts"].append(float(sum(map(log.__getitem__, found)) + end_log))
