@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Temporary folders of local sessions that name none.
+_TEMPORARY: dict[str, str] = {}
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -30,8 +33,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _TEMPORARY:
+            _TEMPORARY[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
+        folder = _TEMPORARY[context.applicationId]
     return folder.rstrip("/")
 
 
