@@ -265,11 +265,13 @@ def near_links(rows: DataFrame, documents: DataFrame, similar: float = SIMILAR,
     entries = short.join(shared.hint("merge"), "key").distinct()
     named = rows.groupBy("item").agg(F.min("n").alias("n")).withColumn("short", F.xxhash64("item"))
     entries = settle(entries.join(named.hint("merge"), "short").select("item", "n", "key"), "near-entries")
-    chosen = rows.join(entries.select("item").distinct(), "item", "left_semi").groupBy("item").agg(
+    shared = entries.select("item").distinct().hint("merge")
+    chosen = rows.select("item", "doc_id").join(shared, "item", "left_semi").groupBy("item").agg(
         F.min("doc_id").alias("doc_id"))  # one row of each text; ids are NULL only if all are
     chosen = settle(chosen.select(F.col("item").alias("wanted"), F.col("doc_id").alias("wanted_id")), "near-items")
     texts = documents.select("doc_id", item_of(F.col("text")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = settle(texts.join(chosen, (F.col("item") == F.col("wanted")) & F.col("doc_id").eqNullSafe(
+    # Texts of candidates only; a merge join at every size, as one side has no bound.
+    texts = settle(texts.join(chosen.hint("merge"), (F.col("item") == F.col("wanted")) & F.col("doc_id").eqNullSafe(
         F.col("wanted_id")), "left_semi").groupBy("item").agg(F.min("text").alias("text")), "near-texts")
 
     tested = links = roots = None
