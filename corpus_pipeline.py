@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm.adaptive_quality import keep_good
-from tripmart.llm.common import read, shared_folder
+from tripmart.llm.common import SETTLED, read, remove, shared_folder
 from tripmart.llm.curriculum import training_rows
 from tripmart.llm.dart_minhash import deduplicate
 from tripmart.llm.ring_sharding import shard
@@ -16,27 +17,52 @@ from tripmart.llm.suffix_decontam import decontaminate
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Intermediate tables of the stage that ran last, by application.
+_LEFT: dict[str, list[str]] = {}
 
+
+def staged(stage: Stage) -> Stage:
+    """A stage that first deletes the intermediate tables of the one before.
+
+    A stage's result is written before the next stage begins, so they are not read again.
+    """
+    @wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        remove(spark, _LEFT.pop(application, []))
+        before = len(SETTLED)
+        out = stage(spark, docs, sf_dir)
+        _LEFT[application] = SETTLED[before:]
+        return out
+
+    return begin
+
+
+@staged
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and their group's thresholds."""
     return keep_good(docs)
 
 
+@staged
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every class of near duplicates."""
     return deduplicate(docs)
 
 
+@staged
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of a benchmark item occurs."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
+@staged
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them, some twice and some not at all, in training order."""
     return training_rows(docs)
 
 
+@staged
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every document of the mix."""
     return shard(docs)

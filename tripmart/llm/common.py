@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Tables written by ``settle``, in order.
+SETTLED: list[str] = []
 #: Temporary folders of local sessions that name none.
 _TEMPORARY: dict[str, str] = {}
 
@@ -48,9 +50,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    SETTLED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is."""
     return F.translate(text, UPPER, LOWER)
