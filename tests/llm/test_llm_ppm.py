@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tripmart.llm import ppm_score as S
@@ -72,3 +73,16 @@ def test_probabilities_of_a_context_sum_to_one_at_most(spark):
     probe = df.unionByName(spark.createDataFrame([(i, "abra" + chr(32 + k % 94), "s", 1) for k, i in enumerate(held[:94])], SCHEMA))
     scores = {r["doc_id"]: r["score"] for r in S.score(probe, order=3).collect()}
     assert sum(10 ** scores[i] for i in held[:94] if i not in (10, 11, 13)) <= 1.0
+
+
+def test_contexts_have_five_bytes(spark, tables):
+    rows = [(d["doc_id"], d["text"][:300]) for d in tables("documents")[:20]]
+    df = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], SCHEMA)
+    assert found(df) == brute(rows, 5)
+
+
+def test_packed_numbers_come_back():
+    codes = np.unique(np.array([-(1 << 63), -5, -1, 0, 7, 1 << 53, (1 << 54) - 1]))
+    assert S.unpack_codes(S.pack_codes(codes)).tolist() == codes.tolist()
+    values = np.array([-0.1, float("-inf"), 3.0])
+    assert S.unpack(S.pack(values), np.float64).tolist() == values.tolist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Tables written by ``settle``, in order.
 SETTLED: list[str] = []
+#: Where each of them lies.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 #: Temporary folders of local sessions that name none.
 _TEMPORARY: dict[str, str] = {}
 
@@ -41,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     The lineage ends there, so a lost executor costs no recomputation of what came
@@ -49,9 +52,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     SETTLED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:
@@ -61,6 +66,12 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete tables as ``settle`` returned them; nothing may read them any more."""
+    for table in tables:
+        remove(table.sparkSession, [_PATHS.pop(table)])
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -9,11 +9,13 @@ training lacks are equally likely.  A text ends with an end symbol, which also s
 before its first byte.  A-Z count as a-z.
 
 Texts are worked on in blocks of some ``BLOCK_BYTES``.  A block sends out its distinct
-grams and words only; their totals come back to it by joins, so what moves grows with the
-corpus and no task holds more than a block's share of the model.  Common grams and words
-have one row per block, not per occurrence.
+grams and words only, packed into one row for each part of the code space; the totals and
+probabilities come back to it part by part, so what moves grows with the corpus and no task
+holds more than a block's share of the model.  There are twice as many parts as blocks, and
+codes are spread over them by their bits, so no part is much larger than the others.
 
-Words travel as 64-bit hashes.  Beside the model stands a unigram score over words with one pseudo-count for each known word and
+Words travel as 64-bit hashes.  Tables are deleted once what is made of them is written.
+Beside the model stands a unigram score over words with one pseudo-count for each known word and
 one for the unknown.
 
 Defined results: a NULL text is empty, a text of only an end.  Documents without an id
@@ -24,6 +26,7 @@ without training documents every symbol costs the same.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +34,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import settle, slices
+from tripmart.llm.common import drop, settle, slices
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-ORDER = 4
+ORDER = 5
 #: Symbols are bytes and the end, 9 bits each.
 END, BITS, SYMBOLS = 256, 9, 257
 BLOCK_BYTES = 24 << 20
@@ -77,6 +80,45 @@ def word_codes(words: list[bytes]) -> np.ndarray:
     return np.minimum((hashed | np.uint64(1 << 63)).view(np.int64), END_WORD - 1)
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Eight-byte numbers, compressed with like bytes together."""
+    return zlib.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    columns = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(columns.T).reshape(-1).view(kind)
+
+
+def pack_codes(codes: np.ndarray) -> bytes:
+    """Codes in ascending order."""
+    return pack(np.diff(codes, prepend=np.int64(0)))
+
+
+def unpack_codes(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.int64))
+
+
+#: Shifts that spread the bits of a code over its part.
+SPREAD = (17, 31)
+
+
+def part_of(code: Column, parts: int) -> Column:
+    mixed = code
+    for by in SPREAD:
+        mixed = mixed.bitwiseXOR(F.shiftrightunsigned(code, by))
+    return F.pmod(mixed, F.lit(parts).cast("long"))
+
+
+def parts_of(codes: np.ndarray, parts: int) -> np.ndarray:
+    """The same for an array."""
+    bits = codes.view(np.uint64)
+    mixed = bits.copy()
+    for by in SPREAD:
+        mixed ^= bits >> np.uint64(by)
+    return mixed.view(np.int64) % parts
+
+
 def in_blocks(documents: DataFrame, block_bytes: int) -> DataFrame:
     """(block, doc_id, train, text): consecutive rows of a task in blocks of bounded size."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,16 +136,25 @@ def in_blocks(documents: DataFrame, block_bytes: int) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     chosen = documents.select("doc_id", (~held_out(F.col("doc_id"))).alias("train"), "text")
-    return settle(chosen.mapInArrow(assign, f"block long, doc_id {kind}, train boolean, text string"), "lm-texts")
+    return settle(chosen.mapInArrow(assign, f"block long, doc_id {kind}, train boolean, text string"), "lm-texts", "zstd")
 
 
-def counts(texts: DataFrame, order: int) -> DataFrame:
-    """(block, code, n): distinct grams and words of each block, n times in training."""
+def counts(texts: DataFrame, order: int, parts: int) -> DataFrame:
+    """(block, part, codes, n): distinct grams and words of each block, n times in training."""
     def emit(block: int, found: list, words: dict[bytes, int], ends: int) -> Iterator[pa.RecordBatch]:
         codes, n = _merged(found)
         codes = np.concatenate([codes, word_codes(list(words)), [END_WORD]])
         n = np.concatenate([n, np.fromiter(words.values(), np.int64, len(words)), [ends]])
-        yield pa.RecordBatch.from_pydict({"block": np.full(len(codes), block), "code": codes, "n": n})
+        part = parts_of(codes, parts)
+        placed = np.lexsort((codes, part))
+        codes, n, part = codes[placed], n[placed], part[placed]
+        begins = np.flatnonzero(np.diff(part, prepend=-1))
+        ends_at = [*begins[1:], len(part)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(begins), block)), pa.array(part[begins]),
+            pa.array([pack_codes(codes[a:b]) for a, b in zip(begins, ends_at, strict=True)], pa.binary()),
+            pa.array([pack(n[a:b]) for a, b in zip(begins, ends_at, strict=True)], pa.binary()),
+        ], names=["block", "part", "codes", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found, words, ends = None, [], {}, 0
@@ -130,7 +181,7 @@ def counts(texts: DataFrame, order: int) -> DataFrame:
         if block is not None:
             yield from emit(block, found, words, ends)
 
-    return settle(texts.mapInArrow(count, "block long, code long, n long"), "lm-counts")
+    return settle(texts.mapInArrow(count, "block long, part long, codes binary, n binary"), "lm-counts")
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,14 +191,40 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return distinct, np.bincount(at, weights=n, minlength=len(distinct)).astype(np.int64)
 
 
-def levels(counted: DataFrame, order: int) -> list[DataFrame]:
-    """For each depth (gram, n, total, kinds, lent): a node of the trie and its context.
+def totals(counted: DataFrame) -> DataFrame:
+    """(code, n): every distinct gram and word, n times in training."""
+    def add(rows: pa.Table) -> pa.Table:
+        found = []
+        for codes, n in zip(rows["codes"].to_pylist(), rows["n"].to_pylist(), strict=True):
+            found.append((unpack_codes(codes), unpack(n, np.int64)))
+        codes, n = _merged(found)
+        return pa.table({"code": codes, "n": n})
+
+    return settle(counted.groupBy("part").applyInArrow(add, "code long, n long"), "lm-totals")
+
+
+def blocks_model(counted: DataFrame, values: DataFrame, parts: int) -> DataFrame:
+    """(block, codes, values): what each block needs of ``values`` (code, value)."""
+    def fill(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
+        codes, value = known["code"].to_numpy(), known["value"].to_numpy()
+        placed = np.argsort(codes)
+        codes, value = codes[placed], value[placed]
+        own = [pack(value[np.searchsorted(codes, unpack_codes(c))]) for c in rows["codes"].to_pylist()]
+        return pa.table({"block": rows["block"], "codes": rows["codes"], "values": pa.array(own, pa.binary())})
+
+    placed = values.withColumn("part", part_of(F.col("code"), parts))
+    return counted.select("block", "part", "codes").groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(
+        fill, "block long, codes binary, values binary")
+
+
+def levels(known: DataFrame, order: int) -> list[DataFrame]:
+    """For each depth (gram, n, total, kinds, lent) of ``known`` (gram, n): a node of the trie and its context.
 
     ``total`` and ``kinds`` count the symbols seen in the gram's context, ``lent`` how
     often those symbols were seen in the context one byte shorter.
     """
     nodes = [None] * (order + 1)
-    nodes[order] = settle(counted.where("code >= 0").groupBy(F.col("code").alias("gram")).agg(F.sum("n").alias("n")), "lm-grams")
+    nodes[order] = known
     for depth in range(order - 1, -1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * (depth + 1)) - 1))
         nodes[depth] = settle(nodes[depth + 1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), f"lm-grams-{depth}")
@@ -163,26 +240,36 @@ def levels(counted: DataFrame, order: int) -> list[DataFrame]:
         context = F.shiftright("gram", BITS)
         contexts = seen.groupBy(context.alias("context")).agg(
             F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("n_below").alias("lent"))
-        joined = grams_.withColumn("context", context).join(settle(contexts, f"lm-contexts-{depth}"), "context", "left")
+        contexts = settle(contexts, f"lm-contexts-{depth}")
+        joined = grams_.withColumn("context", context).join(contexts, "context", "left")
         found.append(settle(joined.select("gram", "n", "total", "kinds", "lent"), f"lm-level-{depth}"))
+        drop(contexts)
+        if depth:
+            drop(nodes[depth - 1])
     return found
 
 
-def code_lengths(counted: DataFrame, order: int) -> DataFrame:
-    """(gram, log10p): probability of every gram's last symbol after the others."""
-    tables = levels(counted, order)
-    pending = tables[order].select(
-        "gram", F.lit(0.0).alias("log10p"), F.lit(0).cast("long").alias("lent"), F.lit(0).cast("long").alias("kinds"))
-    done = []
+def code_lengths(known: DataFrame, order: int) -> DataFrame:
+    """(gram, log10p) for ``known`` (gram, n): probability of every gram's last symbol after the others."""
+    tables = levels(known, order)
+    done, left_over = [], []
     for depth in range(order, -1, -1):
         table = tables[depth].select(
             F.col("gram").alias("node"), "n", "total", F.col("kinds").alias("own"), F.col("lent").alias("own_lent"))
         mask = F.lit((1 << BITS * (depth + 1)) - 1)
-        at = pending.withColumn("node", F.col("gram").bitwiseAND(mask)).join(table, "node")
+        if depth == order:  # the nodes are the grams themselves
+            at = table.select(F.col("node").alias("gram"), *[c for c in table.columns if c != "node"],
+                              *[F.lit(0).cast(kind).alias(c) for c, kind in (
+                                  ("log10p", "double"), ("lent", "long"), ("kinds", "long"))])
+        else:
+            at = pending.withColumn("node", F.col("gram").bitwiseAND(mask)).join(table, "node").drop("node")
         left = (F.col("total") - F.col("lent")).cast("double")  # counts of symbols not excluded
         new = F.col("own") - F.col("kinds")
         at = at.withColumn("left", left).withColumn("new", new)
-        at = settle(at, f"lm-at-{depth}")
+        if depth < order:
+            at = settle(at, f"lm-at-{depth}")
+            drop(tables[depth])
+        left_over.append(at)
         done.append(at.where("n > 0").select("gram", (F.col("log10p") + F.log10(
             (2 * F.col("n") - 1) / (2 * F.col("left")))).alias("log10p")))
         escape = F.when(F.col("new") > 0, F.log10(F.col("new") / (2 * F.col("left")))).otherwise(0.0)
@@ -194,26 +281,28 @@ def code_lengths(counted: DataFrame, order: int) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return settle(out, "lm-lengths")
+    out = settle(out, "lm-lengths")
+    drop(tables[order], *left_over[1:])
+    return out
 
 
 def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document with its unigram and its model score."""
     texts = in_blocks(documents, block_bytes)
-    counted = counts(texts, order)
-    same = Window.partitionBy("code")  # a row for each block at most
-    words = settle(counted.where("code < 0").select(
-        "block", "code", F.sum("n").over(same).cast("double").alias("value"),
-        F.row_number().over(same.orderBy("block")).alias("place")), "lm-words")
-    first = (F.col("place") == 1) & (F.col("value") > 0)
-    sums = words.agg(F.coalesce(F.sum(F.when(first, F.col("value"))), F.lit(0.0)), F.count(F.when(first, 1))).first()
-    n_train, distinct = int(sums[0]), sums[1]
-    lengths = code_lengths(counted, order).select(F.col("gram").alias("code"), F.col("log10p").alias("value"))
-    known_grams = counted.where("code >= 0").select("block", "code").join(lengths, "code")
-    model = words.select("block", "code", "value").unionByName(known_grams.select("block", "code", "value"))
+    parts = 2 * texts.agg(F.count_distinct("block")).first()[0] + 1
+    counted = counts(texts, order, parts)
+    total = totals(counted)
+    words = total.where("code < 0")
+    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    n_train, distinct = sums
+    lengths = code_lengths(total.where("code >= 0").select(F.col("code").alias("gram"), "n"), order)
+    values = words.select("code", F.col("n").cast("double").alias("value")).unionByName(
+        lengths.select(F.col("gram").alias("code"), F.col("log10p").alias("value")))
+    model = blocks_model(counted, values, parts)
 
     def work(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
-        codes, values = known["code"].to_numpy(), known["value"].to_numpy()
+        codes = np.concatenate([unpack_codes(c) for c in known["codes"].to_pylist()])
+        values = np.concatenate([unpack(v, np.float64) for v in known["values"].to_pylist()])
         _, once = np.unique(codes, return_index=True)  # two tasks may have counted a block
         codes, values = codes[once], values[once]
         index, lengths = pd.Index(codes[codes >= 0]), values[codes >= 0]
