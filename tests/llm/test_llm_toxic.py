@@ -78,3 +78,13 @@ def test_no_labels_and_no_documents(spark, small):
     assert X.digest(X.find_segments(documents, X.train(documents, none))).where("predicted = 0").count() == 3
     empty = spark.createDataFrame([], SCHEMA)
     assert X.find_segments(empty, X.train(empty, none)).count() == 0
+
+
+def test_no_neutral_token_takes_the_weight_of_its_beginning(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    neutral = [f"zoxi{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in "abcd"][:20_500]
+    rows = [(" ".join(neutral) + f" {end}", toxic) for toxic in (0, 1) for end in "xyz"]
+    rows += [(f"zoxi{letters[k % 26]}{letters[k // 26]} rare", 1) for k in range(400)]
+    rows += [(f"plain {letters[k % 26]}{letters[k // 26]}", 0) for k in range(400)]
+    weights = X.token_weights(spark.createDataFrame(rows, "text string, toxic int"))
+    assert weights["zoxi*"] > 0 and all(weights.get(t) == 0.0 for t in neutral)

@@ -13,7 +13,7 @@ log(1/E) over its significant segments; a logistic curve on it, fitted to the tr
 labels, gives the score.
 
 The fit uses at most ``SAMPLE_DOCUMENTS`` labelled documents, chosen by a hash of the id;
-every document is scored whole.  The model holds at most ``MAX_TOKENS`` weights.
+every document is scored whole.  That sample also bounds the number of weights.
 
 Defined results: NULL and empty texts have no tokens and get the score of no evidence.
 Documents labelled twice with different labels do not train;
@@ -38,7 +38,6 @@ from tripmart.llm.common import settle, slices
 
 TOKEN = re.compile(r"[^\W\d_]+")
 SAMPLE_DOCUMENTS = 20_000
-MAX_TOKENS = 20_000
 #: Pseudo-counts, as a share of how often a token occurs in either kind of document.
 PRIOR = 0.1
 LEAST_Z = 3.5
@@ -154,7 +153,7 @@ def training_texts(documents: DataFrame, labels: DataFrame, sample: int) -> Data
     return settle(texts.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-train")
 
 
-def token_weights(texts: DataFrame, most: int = MAX_TOKENS) -> dict[str, float]:
+def token_weights(texts: DataFrame) -> dict[str, float]:
     """Log-odds of the tokens that tell toxic from clean documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +184,7 @@ def token_weights(texts: DataFrame, most: int = MAX_TOKENS) -> dict[str, float]:
         .select("token", log_odds.alias("weight"), (log_odds / spread).alias("z"))
     )
     weighed = settle(weighed, "toxic-weights")
-    strong = weighed.where(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "token").limit(most)
+    strong = weighed.where(F.abs("z") >= LEAST_Z)
     weights = {r["token"]: r["weight"] for r in strong.collect()}
     # Known tokens without weight of their own must not take that of their beginning.
     begin = [F.concat(F.substring("token", 1, k), F.lit("*")) for k in PREFIXES]
@@ -193,7 +192,7 @@ def token_weights(texts: DataFrame, most: int = MAX_TOKENS) -> dict[str, float]:
     neutral = (
         weighed.where((F.abs("z") < LEAST_Z) & ~F.endswith("token", F.lit("*")))
         .select("token", F.explode(F.array(*begin)).alias("start")).join(starts, "start", "left_semi")
-        .select("token").distinct().orderBy("token").limit(most)
+        .select("token").distinct()
     )
     return weights | {r["token"]: 0.0 for r in neutral.collect()}
 
