@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import re
 
 from tripmart.llm import pii_semicrf as P
@@ -63,3 +64,11 @@ def test_query_rows_and_other_columns(spark):
     assert into.columns == ["doc_id", "text", "spans", "found"] and {r["spans"] for r in into.collect()} == {"mine", "x"}
     empty = spark.createDataFrame([], SCHEMA)
     assert P.find_spans(empty, P.train(empty), "found").count() == 0
+
+
+def test_a_rare_kind_is_found_in_all_documents(spark):
+    ids = spark.range(9000).selectExpr("id doc_id").orderBy(F.xxhash64("doc_id").desc())
+    last = ids.first()[0]  # far from the beginning of any order by this hash
+    text = F.when(F.col("doc_id") == last, "write to ann.lee@example.org today").otherwise("nothing here")
+    weights = P.train(spark.range(9000).select(F.col("id").alias("doc_id")).withColumn("text", text))
+    assert any(name.startswith("email") for name in weights)

@@ -7,11 +7,11 @@ is a sum of weights of features of the whole span (digits, check sum, groups, se
 what stands beside it).  Dynamic programming over the tokens chooses boundaries and kinds
 together; a segment stays if it beats the reading without it by ``MARGIN``.
 
-The weights are fitted by likelihood (forward-backward over segments) on a bounded sample:
-at most ``SAMPLE_DOCUMENTS`` documents, and of those at most ``SAMPLE_REGIONS`` passages
-with base spans, in the order of a hash.  Each passage also serves in rewritten forms whose
+The weights are fitted by likelihood (forward-backward over segments) on at most
+``SAMPLE_REGIONS`` passages with base spans.  They are found in all documents and taken in
+the order of a hash, kinds by turns, so that rare ones are not missed.  Each passage also serves in rewritten forms whose
 right answer is known: signs spelled out, prefixes left out or put before, digits falsified.
-A sample without base spans gives a model that adds nothing.
+Documents without base spans give a model that adds nothing.
 
 Defined results: a NULL text is empty and has no spans.  Offsets count code points, ends
 are exclusive.  Repeated rows are searched alike; other columns pass through.
@@ -19,13 +19,14 @@ are exclusive.  Repeated rows are searched alike; other columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +49,7 @@ DIGITS = re.compile(r"[0-9]+")
 MAX_TOKENS, MAX_CHARS = 28, 96
 AROUND = 48
 MARGIN = 2.0
-SAMPLE_DOCUMENTS, SAMPLE_REGIONS = 4000, 400
+SAMPLE_REGIONS = 400
 EPOCHS, RATE, PENALTY = 30, 0.5, 0.02
 SLICE_BYTES = 4 << 20
 
@@ -320,21 +321,40 @@ def _padded(text: str, begin: int, end: int) -> tuple[int, str]:
     return start, text[start:stop]
 
 
-def train(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS,
-          sample_regions: int = SAMPLE_REGIONS) -> dict[str, float]:
-    """Weights from passages with base spans of a sample of ``documents``."""
-    lot = F.xxhash64("doc_id")
-    chosen = documents.select(lot.alias("lot")).distinct().orderBy("lot").limit(sample_documents)
-    texts = documents.select(lot.alias("lot"), "text").join(F.broadcast(chosen), "lot", "left_semi")
+def _lot(passage: str) -> int:
+    return int.from_bytes(hashlib.blake2b(passage.encode(), digest_size=8).digest(), "big", signed=True)
 
+
+def train(documents: DataFrame, sample_regions: int = SAMPLE_REGIONS) -> dict[str, float]:
+    """Weights from a sample of the passages with base spans of all ``documents``.
+
+    Kinds take turns, each in the order of a hash, so that a rare one has its share.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[str, dict[str, int]] = {kind: {} for kind in KINDS}  # no task sends more than the sample of a kind
+
+        def prune(most: int) -> None:
+            for kind, lots in first.items():
+                if len(lots) > most:
+                    first[kind] = dict(sorted(lots.items(), key=lambda x: (x[1], x[0]))[:sample_regions])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = [p for _, p in passages(text, only_base=True) if len(p) <= 4 * MAX_CHARS]
-                yield pa.RecordBatch.from_pydict({"passage": pa.array(found, pa.string())})
-
-    found = texts.select("text").mapInArrow(cut, "passage string").distinct()
-    rows = found.orderBy(F.xxhash64("passage"), "passage").limit(sample_regions).collect()
+                for _, passage in passages(text, only_base=True):
+                    if len(passage) <= 4 * MAX_CHARS:
+                        for kind in {s[0] for s in base_spans(passage)}:
+                            first[kind][passage] = _lot(passage)
+                prune(4 * sample_regions)
+        prune(sample_regions)
+        rows = [(kind, lot, passage) for kind, lots in first.items() for passage, lot in lots.items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))],
+            names=["kind", "lot", "passage"])
+
+    found = documents.select("text").mapInArrow(cut, "kind string, lot long, passage string").distinct()
+    turn = F.row_number().over(Window.partitionBy("kind").orderBy("lot", "passage"))  # a sample per kind and task
+    found = found.withColumn("turn", turn).groupBy("passage").agg(F.min("turn").alias("turn"), F.min("lot").alias("lot"))
+    rows = found.orderBy("turn", "lot", "passage").limit(sample_regions).collect()
     return fit(examples_of([r["passage"] for r in rows]))
 
 
