@@ -72,3 +72,9 @@ def test_a_rare_kind_is_found_in_all_documents(spark):
     text = F.when(F.col("doc_id") == last, "write to ann.lee@example.org today").otherwise("nothing here")
     weights = P.train(spark.range(9000).select(F.col("id").alias("doc_id")).withColumn("text", text))
     assert any(name.startswith("email") for name in weights)
+
+
+def test_a_spelled_out_address_is_one_candidate():
+    address = "a.b.c [at] mail [dot] example [dot] co [dot] uk"
+    cut = P.region(f"write to {address} now", [])
+    assert address in {cut.text[cut.edges[i]:cut.edges[j]] for i, j, kind, _ in cut.segments if kind == "email"}

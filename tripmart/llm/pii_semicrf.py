@@ -41,7 +41,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (13, 19), (9, 15)
 
-TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
+#: A bracketed sign with its blanks is one token.
+TOKEN = re.compile(r"\s?[\[(]\s?(?:at|dot|AT|DOT)\s?[\])]\s?|[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 TRIGGER = re.compile(r"[0-9]+|@|[\[(]\s?(?:at|dot|AT|DOT)\s?[\])]")
 AT = re.compile(r"@|\s?[\[(]\s?(?:at|AT)\s?[\])]\s?")
 DOT = re.compile(r"\s?[\[(]\s?(?:dot|DOT)\s?[\])]\s?")
