@@ -129,3 +129,12 @@ def test_zones_survive_a_first_write_that_broke_off(spark, path):
         handle.write("LocationID,Borough\n1,A\n")
     os.makedirs(path("zones") + "/_temporary")
     assert load_zones(spark, path("z.csv"), path("zones")).count() == 1
+
+
+def test_hours_of_an_answer_without_readable_times_are_counted(spark, path):
+    os.makedirs(path("json"))
+    for name, times in (("january", ["2019-01-01T00:00"]), ("unreadable", ["no time", "none either"])):
+        with open(f"{path('json')}/{name}.json", "w") as handle:
+            handle.write(answer(times, rain=[0.5] * len(times)))
+    got = dict(rows(landing.ingest_weather(spark, path("json"), path("b"), path("m"))))
+    assert got == {"ingested": 1, "hours_outside": 2}

@@ -224,7 +224,8 @@ def ingest_weather(
     ``whole_history``; without it, all months found in the answers.  The month of an
     answer is the one that most of its hours lie in, the earliest of several.  All its
     hours are landed there and mark no other month; those of other months, and those
-    without a readable time, are counted in the row ``hours_outside`` of the outcome.
+    without a readable time, are counted in the row ``hours_outside`` of the outcome; so are,
+    in every run, the hours of answers in which no time can be read.
     """
     keys = ["year", "month"]
     manifest = open_manifest(spark, manifest_path, WEATHER_MANIFEST_SCHEMA)
@@ -235,6 +236,7 @@ def ingest_weather(
     most = F.max(F.struct("n", (-F.col("y")).alias("y"), (-F.col("m")).alias("m")))
     owner = own.groupBy("source").agg(most.alias("o")).select(
         "source", (-F.col("o.y")).alias("year"), (-F.col("o.m")).alias("month"))
+    unowned = hours.join(owner, "source", "left_anti").count()
     hours = hours.join(owner, "source")
     strays = ~F.coalesce((F.year("datetime_local") == F.col("year")) & (F.month("datetime_local") == F.col("month")),
                          F.lit(False))
@@ -250,7 +252,7 @@ def ingest_weather(
     # One row per month and three summary rows: fixed now, before the manifest changes.
     counts = [tuple(r) for r in summary.collect()]
     months = fresh.collect()
-    if outside := sum(r["outside"] for r in months):
+    if outside := unowned + sum(r["outside"] for r in months):
         counts.append(("hours_outside", outside))
     outcome = spark.createDataFrame(counts, summary.schema)
     if months:
