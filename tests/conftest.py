@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -38,8 +36,3 @@ def zoned(spark):
 @pytest.fixture
 def path(tmp_path):
     return lambda name: str(tmp_path / name)
-
-
-def rows(df):
-    """Rows as plain tuples in a stable order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

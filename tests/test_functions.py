@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tripmart.functions import (
     cell_index,
     hour_of,

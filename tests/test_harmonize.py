@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tripmart.contracts import SURCHARGES, TRIP_FIELDS, flag_of
 from tripmart.operators.harmonize import (
     harmonize,

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tripmart.operators import ingest
 
 KEYS = "vehicle_type string, year int, month int"

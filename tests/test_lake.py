@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lake
-from conftest import rows
+from helpers import rows
 from tripmart.contracts import PARTITION_KEYS, SURCHARGES, flag_of
 from tripmart.operators import ingest
 from tripmart.plans import gold, landing, rides, silver, surcharges, weather_prices

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import DATA
+from helpers import DATA
 from tripmart.catalog import oracle, queries
 
 TABLES = (

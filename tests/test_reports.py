@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tripmart.contracts import SURCHARGES, flag_of
 from tripmart.operators.weather_join import join_weather, one_row_per_hour
 from tripmart.plans import flows, prices, rides, surcharges, weather_prices

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tripmart.operators.sampling import keyed_sample, keyed_sample_by
 from tripmart.sources.reference import load_zones, read_grid, read_rings, read_zone_csv
 from tripmart.sources.tables import read_table, write_partitioned, write_table

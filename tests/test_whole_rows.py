@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import lake
-from conftest import rows
+from helpers import rows
 from tripmart.contracts import WEATHER_VARIABLES
 from tripmart.plans import landing, prices, silver
 from tripmart.sources.listing import columns_of, list_month_files

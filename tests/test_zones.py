@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 from tripmart.operators.grid_fill import GridSpec, build_zone_grid, nodes_within_zones
 from tripmart.operators.zones import one_zone_per_cell, resolve_zones, zone_cells
 
