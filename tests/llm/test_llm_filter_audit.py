@@ -1,0 +1,70 @@
+import random
+import re
+from itertools import permutations
+
+from tripmart.llm import filter_audit as X
+
+SCHEMA, LABELS = "doc_id long, text string, lang string, `kept` string, `a.b` int", "doc_id long, quality int, toxic int"
+
+
+def brute(documents, labels):
+    """Every order applied to every document."""
+    fails = []
+    for doc_id, text, lang, *_ in documents:
+        t = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        bad = {k for k, f in zip("ABCD", (
+            len(w) < 200, 100 * len(set(w)) < 50 * len(w),
+            100 * len(re.findall("[A-Z]", t)) > 3 * len(t), bool(re.search(r"[#$%&*|]", t)))) if f}
+        if doc_id is not None and any(d[0] is not None and d[0] < doc_id and (d[1] or "") == t for d in documents):
+            bad.add("E")
+        good, toxic = (any(x[0] == doc_id and x[k] == 1 and doc_id is not None for x in labels) for k in (1, 2))
+        fails.append((lang or "", bad, good, toxic))
+    out = {}
+    for part in {f[0] for f in fails}:
+        for order in permutations("ABCDE"):
+            left = [f for f in fails if f[0] == part]
+            gone = []
+            for step, x in enumerate(order, 1):
+                hit = [f for f in left if x in f[1]]
+                left = [f for f in left if x not in f[1]]
+                out[part, "".join(order), step] = [
+                    len(left), len(hit), sum(x in f[1] for f in gone), sum(f[0] == part and f[1] == {x} for f in fails),
+                    sum(f[2] for f in hit), sum(f[3] for f in hit)]
+                gone += hit
+        for x in "ABCDE":
+            at = [k for k in out if k[0] == part and k[1][k[2] - 1] == x]
+            total = sum(out[k][1] for k in at)
+            for k in at:
+                out[k].append(total)
+    return sorted((*k, *v) for k, v in out.items())
+
+
+def run(spark, documents, labels):
+    counts = X.mask_counts(spark.createDataFrame(documents, SCHEMA), spark.createDataFrame(labels, LABELS))
+    return sorted(tuple(r) for r in X.audit(counts).collect())
+
+
+def test_intervals_are_the_orders_that_begin_so():
+    for size in range(1, 6):
+        for p in permutations("ABCDE", size):
+            first, end = X.interval("".join(p))
+            assert [o for o in X.ORDERS if o.startswith("".join(p))] == X.ORDERS[first:end]
+
+
+def test_equals_all_orders_one_by_one(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(400)] + ["ÄÖ", "AB", "C#", "x|y", "日本"]
+    texts = [None, "", " ", "\t\x0b", "A" * 50, "#", "é" * 33 + "A", "é" * 32 + "A"]
+    texts += [" ".join(rng.choice(words[:n]) for _ in range(m)) for n in (3, 90, 400, 405) for m in (1, 199, 200, 201, 600)]
+    texts += [" ".join(words[:100] * 2), " ".join(words[:100] * 2 + ["w0"])]
+    documents = [(k // 2 if k % 9 else None, rng.choice(texts), rng.choice([None, "", "en", "de"]), "k", 1) for k in range(160)]
+    documents += documents[:7] + [(999, texts[3] + "x" * 300_000, "long", None, None)]
+    labels = [(rng.randrange(90), rng.choice([None, 0, 1]), rng.choice([None, 0, 1])) for _ in range(70)] + [(None, 1, 1)]
+    got = run(spark, documents, labels)
+    assert got == brute(documents, labels) and len(got) == 4 * 600
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], []) == []
+    assert len(run(spark, [(1, "a", None, None, None)], [])) == 600

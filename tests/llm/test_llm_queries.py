@@ -12,14 +12,14 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     return connection
 
 
 def test_all_are_registered():
     names = set(queries.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names}
     assert names | {"pipeline"} <= set(entry.queries()) and set(oracle.oracle_sql()) <= set(entry.oracle_sql())
 
 

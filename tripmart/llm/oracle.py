@@ -186,7 +186,65 @@ SELECT source, lang, tokenizer, count(*) AS documents, CAST(sum(tokens) AS BIGIN
 GROUP BY ALL
 """
 
+_OP12 = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), eldest AS (SELECT t, min(doc_id) AS eldest FROM doc GROUP BY t), known AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, concat(
+      CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > eldest THEN 'E' END) AS fails,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM doc JOIN eldest USING (t) LEFT JOIN known USING (doc_id) GROUP BY ALL
+), f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), step AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, CAST(s.step AS INTEGER) AS step
+  FROM f a, f b, f c, f d, f e, range(1, 6) AS s(step) WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), placed AS (
+  SELECT *, filter_order[step] AS x, translate(fails, filter_order[:step - 1], '') <> fails AS gone FROM failing, step
+), total AS (
+  SELECT part, filter_order, step, x,
+    coalesce(sum(n) FILTER (translate(fails, filter_order[:step], '') = fails), 0) AS kept,
+    coalesce(sum(n) FILTER (contains(fails, x) AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (contains(fails, x) AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = x), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (contains(fails, x) AND NOT gone), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (contains(fails, x) AND NOT gone), 0) AS toxic_lost
+  FROM placed GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM total
+"""
+
+_OP13 = r"""
+WITH known AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, q) = 1
+), pair AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+    CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM known a JOIN known r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positive AS (
+  SELECT * FROM pair WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), mined AS (
+  SELECT n.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY n.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.alike
+    AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_url_templates": _OP3, "op5_adaptive_quality": _OP5, "op8_suffix_decontam": _OP8, "op9_curriculum": _OP9,
-            "op10_token_rollup": _OP10}
+            "op10_token_rollup": _OP10, "op12_filter_audit": _OP12, "op13_hard_negatives": _OP13}

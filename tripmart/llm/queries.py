@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import (
     adaptive_quality,
+    compression_quality,
     curriculum,
     dart_minhash,
+    filter_audit,
+    hard_negatives,
     pii_semicrf,
     ppm_score,
     ring_sharding,
@@ -87,8 +90,24 @@ def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return token_rollup.totals(spark, store)
 
 
+def op11_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    model = compression_quality.train(documents, read(spark, folder, "labels"))
+    return compression_quality.digest(compression_quality.score(documents, model))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    counts = filter_audit.mask_counts(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
         op1_pii_semicrf, op2_ppm_score, op3_url_templates, op4_dart_minhash, op5_adaptive_quality,
         op6_ring_sharding, op7_toxic_segments, op8_suffix_decontam, op9_curriculum, op10_token_rollup,
+        op11_compression_quality, op12_filter_audit, op13_hard_negatives,
     )}
