@@ -110,7 +110,7 @@ def eligible_zones(t):
 def trips_in_eligible_zones(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING, keep=LINE_KEY)
     return prices.in_eligible_zones(
-        trips, prices.eligible_zones(trips, MINIMUM), at_most=t.nation.count()
+        trips, prices.eligible_zones(trips, MINIMUM), at_most=t.rows("nation")
     )
 
 
@@ -136,7 +136,7 @@ def price_histogram(t):
 def price_quantiles(t):
     trips = prices.priced_trips(roles.priced_line_trips(t), CEILING)
     histogram = prices.price_histogram(trips, RANK_WIDTH)
-    groups = t.nation.count() * YEARS_AT_MOST
+    groups = t.rows("nation") * YEARS_AT_MOST
     found = prices.price_quantiles(trips, histogram, QUANTILES, RANK_WIDTH, groups)
     return found.withColumn("price", F.round("price", 6))
 
@@ -159,14 +159,14 @@ def absent_vs_null_vs_zero(t):
 @_query
 def grid_resolve(t):
     return resolve_zones(
-        roles.located_lines(t, recorded=False), zone_cells(roles.part_grid(t))
+        roles.located_lines(t, recorded=False), zone_cells(roles.part_grid(t), at_most=t.rows("part"))
     )
 
 
 @_query
 def zone_coalesce(t):
     return resolve_zones(
-        roles.located_lines(t, recorded=True), zone_cells(roles.part_grid(t))
+        roles.located_lines(t, recorded=True), zone_cells(roles.part_grid(t), at_most=t.rows("part"))
     )
 
 
@@ -177,7 +177,7 @@ def trip_metrics(t):
 
 @_query
 def weather_join(t):
-    return join_weather(roles.event_trips(t), roles.event_weather(t))
+    return join_weather(roles.event_trips(t), roles.event_weather(t), at_most=t.rows("events"))
 
 
 @_query
@@ -188,7 +188,8 @@ def silver_weather(t):
 @_query
 def silver_trips(t):
     return silver.silver_trips(
-        roles.bronze_sources(t), roles.part_grid(t), roles.order_weather(t), keep=LINE_KEY
+        roles.bronze_sources(t), roles.part_grid(t), roles.order_weather(t), keep=LINE_KEY,
+        cells_at_most=t.rows("part"), hours_at_most=t.rows("orders"),
     )
 
 

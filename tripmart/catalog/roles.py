@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions import hour_of, price_per_km
+from tripmart.sources.listing import stored_rows
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 MONEY = "decimal(18,2)"  # sums are exact, so they agree at any parallelism
@@ -27,6 +28,10 @@ class Tables:
         setattr(self, name, table)
         return table
 
+    def rows(self, name: str) -> int:
+        """Rows of a table by its footers: a bound on what is made of it, without a job."""
+        return stored_rows(getattr(self, name))
+
 
 # --- events as trips -------------------------------------------------------
 

@@ -73,8 +73,10 @@ CALM_BUCKET = "normal"
 ORIGIN_FILE, ORIGIN_ROW = "__file", "__row"
 RESERVED_COLUMNS = (ORIGIN_FILE, ORIGIN_ROW)
 
-# Name contract of a monthly source file.
-TRIP_FILE_PATTERN = r"^(\w+)_tripdata_(\d{4})-(\d{2})\.parquet$"
+# Name contract of a monthly source file: type, year, month and, if the month
+# comes in parts, the number of the part.  Names with the mark that do not fit are reported.
+TRIP_FILE_PATTERN = r"^(\w+?)_tripdata_(\d{4})-(0[1-9]|1[0-2])(?:[._-](?:part[._-]?)?(\d+))?\.parquet$"
+TRIP_FILE_MARK = "tripdata"
 
 # ---------------------------------------------------------------------------
 # Bounds for broadcasting.  A side is only hinted after its rows were counted
@@ -173,6 +175,12 @@ MANIFEST_SCHEMA = (
 WEATHER_MANIFEST_SCHEMA = (
     "year int, month int, source string, row_count bigint, ingested_at timestamp"
 )
+# Which answers are known: a file as it was, the month most of its hours lie in (NULL if none
+# can be read), how many hours it has and how many of them lie outside that month.
+WEATHER_ANSWER_SCHEMA = (
+    "answer string, modified timestamp, length bigint, source string, year int, month int, "
+    "hours bigint, outside bigint"
+)
 
 WEATHER_JSON_SCHEMA = T.StructType([
     T.StructField("hourly", T.StructType(

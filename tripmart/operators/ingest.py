@@ -111,21 +111,23 @@ def resolve_sources(
 ) -> DataFrame:
     """Files of each month: the primary listing wins, then the fallback, else NULL.
 
-    A month in parts has one row for each, all of the same listing.
+    A month in parts has one row for each, all of the same listing.  Listings that know
+    their ``root`` pass it on.
     """
-    near = primary.select(*keys, F.col("path").alias("__near"))
-    far = fallback.select(*keys, F.col("path").alias("__far")).join(
+    carried = [c for c in ("path", "root") if c in primary.columns and c in fallback.columns]
+    near = primary.select(*keys, *[F.col(c).alias(f"__near_{c}") for c in carried])
+    far = fallback.select(*keys, *[F.col(c).alias(f"__far_{c}") for c in carried]).join(
         near.select(*keys), list(keys), "left_anti"
     )
     found = plan.join(near, list(keys), "left").join(far, list(keys), "left")
     origin = (
-        F.when(F.col("__near").isNotNull(), "primary")
-        .when(F.col("__far").isNotNull(), "fallback")
+        F.when(F.col("__near_path").isNotNull(), "primary")
+        .when(F.col("__far_path").isNotNull(), "fallback")
     )
     return found.withColumns({
-        "path": F.coalesce("__near", "__far"),
+        **{c: F.coalesce(f"__near_{c}", f"__far_{c}") for c in carried},
         "origin": origin,
-    }).drop("__near", "__far")
+    }).drop(*[f"__{side}_{c}" for side in ("near", "far") for c in carried])
 
 
 def month_status(

@@ -15,8 +15,8 @@ def broadcast_within(
     """Hint ``df`` for broadcasting if it has at most ``row_bound`` rows.
 
     ``at_most`` is a number of rows that ``df`` cannot exceed, if the caller knows
-    one; otherwise ``df`` is counted, which prunes to its grouping columns, and on a
-    plain stored table to its footers.
+    one, such as ``stored_rows`` of the table it is made from; otherwise ``df`` is counted,
+    which prunes to its grouping columns.
 
     Beyond the bound, or with ``None``, the join shuffles, and adaptive execution
     splits hot keys of its left side.  It does so only if both sides are shuffled for

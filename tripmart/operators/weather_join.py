@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripmart.contracts import TRIP_WEATHER, WEATHER_ROW_BOUND
@@ -28,10 +28,23 @@ def join_weather(
     weather: DataFrame,
     variables: Sequence[str] = TRIP_WEATHER,
     row_bound: int | None = WEATHER_ROW_BOUND,
+    at_most: int | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """Left join on the wall-clock hour; every trip stays exactly once."""
+    """Left join on the wall-clock hour; every trip stays exactly once.
+
+    ``at_most`` is a number of hours that ``weather`` cannot exceed, if known.  ``counts``
+    observes ``rows_out`` and ``hours_matched`` while the result is computed.
+    """
     hours = one_row_per_hour(weather, variables).withColumnRenamed(
         "datetime_local", "pickup_hour_ts"
     )
-    side = broadcast_within(hours, row_bound)
-    return trips.join(side, "pickup_hour_ts", "left")
+    if counts is not None:
+        hours = hours.withColumn("__hour", F.lit(True))
+    side = broadcast_within(hours, row_bound, at_most)
+    joined = trips.join(side, "pickup_hour_ts", "left")
+    if counts is None:
+        return joined
+    return joined.observe(
+        counts, F.count(F.lit(1)).alias("rows_out"), F.count("__hour").alias("hours_matched")
+    ).drop("__hour")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import GRID_RESOLUTION, PARTITION_KEYS, VEHICLE_TYPES
@@ -19,6 +20,7 @@ from tripmart.operators.metrics import add_trip_metrics
 from tripmart.operators.weather_join import join_weather
 from tripmart.operators.zones import resolve_zones, zone_cells
 from tripmart.sources.bronze import eras, scan_era
+from tripmart.sources.listing import stored_rows
 from tripmart.sources.tables import read_table, write_partitioned
 from tripmart.sources.weather import scan_bronze_weather
 
@@ -33,27 +35,56 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
     })
 
 
+class SilverCounts:
+    """What a build of silver trips did, counted while it was written: no scan of its own.
+
+    ``rows_in`` and ``rows_out``, the trip ends resolved by recorded id, by grid cell and not
+    at all, and the trips whose hour has weather.
+    """
+
+    def __init__(self) -> None:
+        self._parts: list[Observation] = []
+
+    def part(self) -> Observation:
+        self._parts.append(Observation())
+        return self._parts[-1]
+
+    def totals(self) -> dict[str, int]:
+        """Sums over all eras; waits for the build, so ask for them after it."""
+        found: Counter[str] = Counter()
+        for part in self._parts:
+            found.update(part.get)
+        return dict(found)
+
+
 def silver_trips(
     sources: Sequence[tuple[str, DataFrame]],
     grid: DataFrame,
     weather: DataFrame,
     keep: Sequence[str] = IDENTITY,
     resolution: float = GRID_RESOLUTION,
+    cells_at_most: int | None = None,
+    hours_at_most: int | None = None,
+    counts: SilverCounts | None = None,
 ) -> DataFrame:
     """Silver trips from (vehicle type, source frame) pairs, one pair per era.
 
     Zones are resolved before the union, so only eras that have coordinates pay for
-    the two grid lookups.  No step adds or drops a trip.
+    the two grid lookups.  No step adds or drops a trip.  With bounds on the rows of ``grid``
+    and ``weather`` no job runs while the query is built.
     """
     gps = [has_coordinates(frame, vehicle_type) for vehicle_type, frame in sources]
-    cells = zone_cells(grid) if any(gps) else None
+    cells = zone_cells(grid, at_most=cells_at_most) if any(gps) else None
     located = [
         resolve_zones(
-            harmonize(frame, vehicle_type, keep=keep), cells if has else None, resolution
+            harmonize(frame, vehicle_type, keep=keep), cells if has else None, resolution,
+            counts and counts.part(),
         )
         for (vehicle_type, frame), has in zip(sources, gps)
     ]
-    return join_weather(add_trip_metrics(union_eras(located)), weather)
+    return join_weather(
+        add_trip_metrics(union_eras(located)), weather, at_most=hours_at_most, counts=counts and counts.part()
+    )
 
 
 def bronze_sources(
@@ -102,15 +133,36 @@ def build_silver_trips(
     types, because a file may hold trips of any month: the folder of each is replaced
     with all its months.
     """
+    return build_counted(spark, bronze_path, manifest, grid, weather, silver_path, types)[0]
+
+
+def build_counted(
+    spark: SparkSession,
+    bronze_path: str,
+    manifest: DataFrame,
+    grid: DataFrame,
+    weather: DataFrame,
+    silver_path: str,
+    types: Sequence[str] | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """``build_silver_trips`` and its ``SilverCounts``; raises if a trip was added or lost.
+
+    The counts come from the writes themselves.
+    """
     scope = manifest if types is None else manifest.filter(F.col("vehicle_type").isin(*types))
     sources = bronze_sources(spark, bronze_path, scope)
+    bounds = {"cells_at_most": stored_rows(grid), "hours_at_most": stored_rows(weather)}
+    counts = SilverCounts()
     if types is None:
-        trips = silver_trips(sources, grid, weather)
+        trips = silver_trips(sources, grid, weather, **bounds, counts=counts)
         write_partitioned(trips, silver_path, PARTITION_KEYS, in_place=True)
     for kind in types or ():
-        trips = silver_trips([s for s in sources if s[0] == kind], grid, weather)
+        trips = silver_trips([s for s in sources if s[0] == kind], grid, weather, **bounds, counts=counts)
         write_partitioned(
             trips, f"{silver_path}/vehicle_type={kind}", PARTITION_KEYS[1:],
             in_place=True, drop=("vehicle_type",),
         )
-    return read_table(spark, silver_path, refresh=True)
+    totals = counts.totals()
+    if totals["rows_in"] != totals["rows_out"]:
+        raise RuntimeError(f"trips were added or lost: {totals}")
+    return read_table(spark, silver_path, refresh=True), totals

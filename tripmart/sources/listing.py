@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import sys
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import PARTITION_KEYS, RESERVED_COLUMNS, TRIP_FILE_PATTERN
+from tripmart.contracts import PARTITION_KEYS, RESERVED_COLUMNS, TRIP_FILE_MARK, TRIP_FILE_PATTERN
+
+#: Footers and markers that are opened at the same time.
+FILES_AT_ONCE = 32
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per file below ``root``: (path, length); none if there is no such folder.
+    """One row per file below ``root``: (path, length, modified); none if there is no such folder.
 
     The binary source lists in parallel and opens no file, since its content
     column is not selected.
@@ -24,33 +30,70 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
         .option("pathGlobFilter", pattern)
     )
     try:
-        return reader.load(root).select("path", "length")
+        return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as listings write it, with the scheme of its storage."""
+    system, at = _file_system(spark, path)
+    return system.makeQualified(at).toString()
+
+
+def plain_path(column: str | Column, encoded: bool = False) -> Column:
+    """A path with one slash after its scheme, as listings and scans differ in that.
+
+    Scans (``_metadata.file_path``) also encode it as a URL, which ``encoded`` undoes.
+    """
+    path = F.col(column) if isinstance(column, str) else column
+    path = F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path
 
 
 def list_month_files(spark: SparkSession, root: str) -> DataFrame:
-    """Monthly source files by their name: (vehicle_type, year, month, path).
+    """Monthly source files by their name: (vehicle_type, year, month, path, root).
 
-    Works for any folder layout; files whose name is no monthly file are left out.
-    A month delivered in parts has one row for each.
+    Works for any folder layout.  A month delivered in parts, in several folders or by
+    part numbers in the names, has one row for each.  A file that is named like a monthly
+    one but does not fit the contract has NULL for type, year and month: it belongs to no
+    month, and ``unplaced`` finds it.  Other files are left out.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    part = [F.regexp_extract(name, TRIP_FILE_PATTERN, i) for i in (1, 2, 3)]
+    fits = name.rlike(TRIP_FILE_PATTERN)
+    part = [F.when(fits, F.regexp_extract(name, TRIP_FILE_PATTERN, i)) for i in (1, 2, 3)]
     return (
         list_files(spark, root)
-        .filter(name.rlike(TRIP_FILE_PATTERN))
+        .filter(F.contains(F.lower(name), F.lit(TRIP_FILE_MARK)))
         .select(
             part[0].alias("vehicle_type"),
             part[1].cast("int").alias("year"),
             part[2].cast("int").alias("month"),
             "path",
+            F.lit(qualified(spark, root)).alias("root"),
         )
     )
 
 
+def unplaced(listing: DataFrame) -> DataFrame:
+    """Paths of files that look monthly but whose name says no type and month."""
+    return listing.filter(F.col("vehicle_type").isNull()).select("path").distinct()
+
+
+def origin_of(path: Column, root: str | None) -> Column:
+    """The path below its listing's root, which tells files of equal names apart.
+
+    It stays the same wherever the root is moved to; without a root it is the whole path.
+    """
+    return path if root is None else F.substr(path, F.lit(len(_plain(root).rstrip("/")) + 2))
+
+
+def _plain(path: str) -> str:
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
 def list_partition_files(
     spark: SparkSession, root: str, keys: Sequence[str] = PARTITION_KEYS
 ) -> DataFrame:
@@ -91,64 +134,121 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
-def columns_of(spark: SparkSession, path: str) -> list[str] | None:
-    """Sorted "name type" list of a Parquet file; NULL if Spark cannot read it."""
+def _at_once(work: Callable, items: Iterable) -> list:
+    """``work`` on every item, ``FILES_AT_ONCE`` at a time, results in order."""
+    with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+        return list(pool.map(work, items))
+
+
+def _reason(error: Py4JJavaError) -> str:
+    return str(error.java_exception.toString()).splitlines()[0][:300]
+
+
+def _look(spark: SparkSession) -> Callable[[str], tuple[str | None, int | None, str | None]]:
+    """A function from a path to (Parquet's schema text, rows, fault) of the file there.
+
+    The footer is opened through Spark's own file systems, so every storage that it lists
+    will do.  A file that can be read but is no Parquet file has a fault; a storage that
+    does not give the file is an error, because a later run may get it.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader
+    source, place = jvm.org.apache.parquet.hadoop.util.HadoopInputFile, jvm.org.apache.hadoop.fs.Path
+
+    def look(path: str):
+        try:
+            opened = reader.open(source.fromPath(place(path), conf))
+        except Py4JJavaError as error:
+            try:
+                system, at = _file_system(spark, path)
+                stream = system.open(at)
+                stream.read()
+                stream.close()
+            except Py4JJavaError as storage:
+                raise OSError(f"the storage does not give {path}: {_reason(storage)}") from error
+            return None, None, _reason(error)
+        try:
+            return sys.intern(opened.getFileMetaData().getSchema().toString()), opened.getRecordCount(), None
+        finally:
+            opened.close()
+
+    return look
+
+
+def columns_of(spark: SparkSession, path: str) -> tuple[list[str] | None, str | None]:
+    """(sorted "name type" list of a Parquet file, None), or (None, why Spark cannot read it)."""
     try:
         fields = spark.read.parquet(path).schema
-    except (PySparkException, Py4JJavaError):
-        return None
-    return sorted(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name not in RESERVED_COLUMNS)
+    except (PySparkException, Py4JJavaError) as error:
+        return None, str(error).splitlines()[0][:300]
+    return sorted(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name not in RESERVED_COLUMNS), None
 
 
 def with_footers(files: DataFrame) -> DataFrame:
-    """Add what each file's footer says: ``columns`` and ``row_count``.
+    """Add what each file's footer says: ``columns``, ``row_count`` and ``fault``.
 
     Files with equal ``columns`` can be scanned together, and whether a month has a
-    column is taken from here and from nowhere else.  Spark's reader opens the footers,
-    so every storage that it lists will do.  Only file names reach the driver.  A file
-    that Spark cannot read has NULL in both.
+    column is taken from here and from nowhere else.  Many footers are opened at once; files
+    with one schema in their footers are alike to Spark too, so it is asked about one of
+    them.  Only file names and one column list per schema pass the driver.  A file that Spark
+    cannot read has NULL in the first two and the reason in ``fault``.
     """
     spark = files.sparkSession
-    alike: dict[tuple[str, ...], list[str]] = {}
-    described = []
-    for row in files.select("path").distinct().orderBy("path").collect():
-        columns = columns_of(spark, row.path)
-        described.append((row.path, columns))
-        if columns is not None:
-            alike.setdefault(tuple(columns), []).append(row.path)
-    known = spark.createDataFrame(described, "path string, columns array<string>")
-    # Listings and scans differ in how many slashes follow the scheme.
-    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
-    counted = spark.createDataFrame([], "counted string, rows bigint")
-    for paths in alike.values():
-        rows = rows_per_file(spark.read.parquet(*paths))
-        counted = counted.unionByName(rows.select(plain("file_path").alias("counted"), F.col("row_count").alias("rows")))
+    paths = [r.path for r in files.select("path").distinct().orderBy("path").collect()]
+    looked = _at_once(_look(spark), paths)
+    first: dict[str, str] = {}
+    for path, (schema, _, _) in zip(paths, looked, strict=True):
+        if schema is not None:
+            first.setdefault(schema, path)
+    number = {schema: k for k, schema in enumerate(first)}
+    kinds = _at_once(lambda path: columns_of(spark, path), first.values())
+    known = spark.createDataFrame(
+        [(path, number.get(schema), rows, fault) for path, (schema, rows, fault) in zip(paths, looked, strict=True)],
+        "path string, kind int, rows bigint, own_fault string")
+    alike = spark.createDataFrame([(k, *c) for k, c in enumerate(kinds)], "kind int, columns array<string>, kind_fault string")
     return (
-        files.join(known, "path")
-        .join(counted, F.url_decode(F.replace(plain("path"), F.lit("+"), F.lit("%2B")))
-              == F.url_decode(F.replace(F.col("counted"), F.lit("+"), F.lit("%2B"))), "left")
-        .withColumn("row_count", F.when(F.col("columns").isNotNull(), F.coalesce("rows", F.lit(0))))
-        .select(*files.columns, "columns", "row_count")
+        files.join(known, "path").join(F.broadcast(alike), "kind", "left")  # one row per schema
+        .withColumns({"row_count": F.when(F.col("columns").isNotNull(), F.col("rows")),
+                      "fault": F.coalesce("own_fault", "kind_fault")})
+        .select(*files.columns, "columns", "row_count", "fault")
     )
 
 
+def stored_rows(table: DataFrame) -> int | None:
+    """Rows in the files behind ``table`` by their footers, without a job; None for other data.
+
+    No more rows than these can come out of filters, projections and groupings of the table.
+    """
+    spark = table.sparkSession
+    paths = table.inputFiles()  # as URLs
+    if not paths or not all(p.endswith(".parquet") for p in paths):
+        return None
+    look, place, uri = _look(spark), spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.java.net.URI
+    return sum(rows or 0 for _, rows, _ in _at_once(lambda p: look(place(uri(p)).toString()), paths))
+
+
 def with_markers(folders: DataFrame, name: str = "_SUCCESS") -> DataFrame:
     """Add ``marker``: the text of the marker file in each ``folder``, NULL without one.
 
     Spark's own readers pass over files whose name starts with an underscore, so its
-    file system is asked; only folder names and markers reach the driver.
+    file system is asked, for many folders at once; only folder names and markers reach
+    the driver.
     """
     spark = folders.sparkSession
-    texts = []
-    for row in folders.select("folder").distinct().collect():
-        system, at = _file_system(spark, f"{row.folder}/{name}")
-        text = None
-        if system.exists(at):
-            stream = system.open(at)
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    utils = spark._jvm.org.apache.commons.io.IOUtils
+
+    def text(folder: str) -> tuple[str, str | None]:
+        system, at = _file_system(spark, f"{folder}/{name}")
+        if not system.exists(at):
+            return folder, None
+        stream = system.open(at)
+        try:
+            return folder, utils.toString(stream, "UTF-8")
+        finally:
             stream.close()
-        texts.append((row.folder, text))
-    return folders.join(spark.createDataFrame(texts, "folder string, marker string"), "folder")
+
+    names = [r.folder for r in folders.select("folder").distinct().collect()]
+    return folders.join(spark.createDataFrame(_at_once(text, names), "folder string, marker string"), "folder")
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.sources.listing import delete, list_files
+from tripmart.sources.listing import delete, exists, list_files
 
 #: Size that the files of a partition should have, and how many more of them may lie there.
 FILE_BYTES = 128 << 20
@@ -32,6 +32,7 @@ def write_partitioned(
     left with many small files are put together afterwards.  Columns in ``drop`` are not
     stored, because ``path`` says them.
     """
+    repair(df.sparkSession, path, keys)
     mode = {"table": "static", "partitions": "dynamic"}[replace]
     _write(df if in_place else df.hint("rebalance", *keys), path, keys, mode, drop)
     if in_place:
@@ -56,21 +57,39 @@ def scattered(spark: SparkSession, path: str, spare: int = SPARE_FILES) -> list[
     return sorted(r.folder for r in found.filter(crowded).select("folder").collect())
 
 
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}__compact"
+
+
+def repair(spark: SparkSession, path: str, keys: Sequence[str]) -> bool:
+    """Finish or drop a compaction that broke off; True if there was one.
+
+    The copy beside the table is whole once Spark has marked it (``_SUCCESS``).  From then on
+    it is the record of what is to be done: its partitions are put in their place again,
+    whatever part of that had happened.  A copy without the mark has not replaced anything.
+    """
+    beside = _beside(path)
+    if not exists(spark, beside):
+        return False
+    if exists(spark, f"{beside}/_SUCCESS"):
+        _write(spark.read.parquet(beside).hint("rebalance", *keys), path, keys, "dynamic")
+        spark.catalog.refreshByPath(path)
+    delete(spark, beside)
+    return True
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], spare: int = SPARE_FILES) -> int:
     """Rewrite scattered partitions; returns how many there were.
 
-    They are written beside the table first and then put in their place, so a run that
-    breaks off loses nothing.
+    They are written beside the table first and then put in their place.  A run that breaks
+    off loses nothing: the next write to the table, or ``repair``, finishes its work.
     """
+    repair(spark, path, keys)
     folders = scattered(spark, path, spare)
     if folders:
-        beside = f"{path.rstrip('/')}__compact"
         found = spark.read.option("basePath", path).parquet(*folders)
-        _write(found.hint("rebalance", *keys), beside, keys, "static")
-        whole = spark.read.schema(found.schema).parquet(beside)
-        _write(whole.hint("rebalance", *keys), path, keys, "dynamic")
-        delete(spark, beside)
-        spark.catalog.refreshByPath(path)
+        _write(found.hint("rebalance", *keys), _beside(path), keys, "static")
+        repair(spark, path, keys)
     return len(folders)
 
 

@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import WEATHER_JSON_SCHEMA, WEATHER_VARIABLES
-from tripmart.sources.listing import list_partition_files, with_footers
+from tripmart.sources.listing import list_partition_files, plain_path, with_footers
 
 
-def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed answers of the weather service: one JSON object per file."""
+def read_weather_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Landed answers of the weather service: one JSON object per file, named by ``source``."""
     return (
         spark.read.schema(WEATHER_JSON_SCHEMA)
         .option("multiLine", True)
         .json(path)
-        .withColumn("source", F.col("_metadata.file_name"))
+        .withColumns({"source": F.col("_metadata.file_name"),
+                      "path": plain_path("_metadata.file_path", encoded=True)})
     )
 
 
