@@ -1,0 +1,132 @@
+"""Reports put together from the months that were landed."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import lake
+from helpers import rows
+from tripmart.operators.sampling import within_binomial_bounds
+from tripmart.plans import flows, landing, monthly, prices, rides, silver, surcharges, weather_prices
+from tripmart.sources.listing import list_month_files
+
+
+class Lake:
+    def __init__(self, spark, path):
+        self.spark, self.path, self.asked = spark, path, []
+        lake.weather(path("json"))
+        landing.ingest_weather(spark, path("json"), path("bw"), path("wm"))
+        self.weather = silver.build_silver_weather(spark, path("bw"), path("w"))
+        spark.createDataFrame([(-73995, 40705, 161)], "grid_lon_idx bigint, grid_lat_idx bigint, LocationID int"
+                              ).write.parquet(path("grid"))
+        self.grid = spark.read.parquet(path("grid"))
+
+    def land(self, **options):
+        landing.ingest_trips(self.spark, list_month_files(self.spark, self.path("near")), None, self.path("bronze"),
+                             self.path("manifest"), years=(2016, 2019), months=(1, 2), **options)
+        self.manifest = landing.open_manifest(self.spark, self.path("manifest"))
+
+    def silver_of(self, manifest):
+        trips = silver.silver_trips(
+            silver.bronze_sources(self.spark, self.path("bronze"), manifest), self.grid, self.weather)
+        self.asked.append(sorted({f.split("/bronze/")[1].rsplit("/", 1)[0] for f in trips.inputFiles() if "/bronze/" in f}))
+        return trips
+
+    def refresh(self):
+        self.asked.clear()
+        return monthly.refresh(self.spark, self.path("parts"), self.manifest, self.silver_of)
+
+    def check(self, found):
+        trips = self.silver_of(self.manifest)
+        whole = {"rides": rides.rides_by_dow_hour(trips), "flows": flows.flows_by_zone(trips),
+                 "surcharges": surcharges.surcharge_evolution(trips), "weather_prices": weather_prices.price_by_weather(trips)}
+        for name, want in whole.items():
+            got = rows(found[name].select(*want.columns))
+            want = rows(want)
+            assert len(got) == len(want) > 0, name
+            for a, b in zip(got, want, strict=True):
+                assert all(x == y or abs(x - y) < 1e-9 * abs(y) for x, y in zip(a, b, strict=True)), name
+        priced = prices.priced_trips(trips)
+        exact = {r[:2]: r[2] for r in rows(priced.groupBy(*prices.PRICE_GROUP).count())}
+        merged = prices.sketch_quantiles(found["price_sketches"], [0.0, 1.0])
+        assert {tuple(r)[:2]: r.nb_courses for r in merged.collect()} == exact
+
+
+@pytest.fixture
+def it(spark, path):
+    near = path("near")
+    for month in (1, 2):
+        lake.write(near, "yellow", 2016, month, lake.yellow_gps(["2016-01-05 10:00:00", "2016-02-01 09:00:00"]))
+        lake.write(near, "green", 2019, month, lake.green([f"2019-{month:02d}-05 08:00:00", "2018-12-31 23:00:00"]))
+    lake.write(near, "yellow", 2019, 1, lake.yellow_loc(["2019-01-05 10:00:00", "2019-01-05 11:10:00", None]))
+    found = Lake(spark, path)
+    found.land()
+    return found
+
+
+def test_only_months_landed_since_are_read(it, path):
+    it.check(it.refresh())
+    assert it.asked[0] == [f"vehicle_type={t}/year={y}/month={m}" for t, y, m in (
+        ("green", 2019, 1), ("green", 2019, 2), ("yellow", 2016, 1), ("yellow", 2016, 2), ("yellow", 2019, 1))]
+    it.check(it.refresh())
+    assert len(it.asked) == 1  # the check's own
+    # One month comes again, with other trips that lie in other months too.
+    lake.write(path("near"), "green", 2019, 2, lake.green(["2019-02-07 08:00:00"] * 3 + ["2016-01-05 10:00:00"]))
+    for name in ("yellow/2016/01", "yellow/2016/02"):
+        kind, year, month = name.split("/")
+        os.remove(f"{path('near')}/{year}/{month}/{kind}_tripdata_{year}-{month}.parquet")
+    os.remove(f"{path('near')}/2019/01/green_tripdata_2019-01.parquet")
+    os.remove(f"{path('near')}/2019/01/yellow_tripdata_2019-01.parquet")
+    it.land(force=True)
+    found = it.refresh()
+    assert it.asked == [["vehicle_type=green/year=2019/month=2"]]
+    it.check(found)
+
+
+def test_a_run_that_died_is_repaired(it, monkeypatch):
+    real, calls = monthly.write_partitioned, []
+
+    def crash(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise RuntimeError("lost the driver")
+        return real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(monthly, "write_partitioned", crash)
+        with pytest.raises(RuntimeError):
+            it.refresh()
+    it.check(it.refresh())
+    assert len(it.asked[0]) == 5
+
+
+def test_sketches_merge_to_quantiles_within_their_error(spark):
+    rng = random.Random(8)
+    data = [(z, 2019, m, rng.choice([1.0, 2.5, rng.random() * 40])) for z in (1, 2, None) for m in range(1, 7) for _ in range(4000)]
+    trips = spark.createDataFrame(data, "pickup_zone_id int, year int, month int, price_per_km double")
+    parts = prices.price_sketches(trips, (*prices.PRICE_GROUP, "month"))
+    asked = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    for months in (range(1, 7), (2, 5)):
+        found = prices.sketch_quantiles(parts.filter(F.col("month").isin(*months)), asked).collect()
+        assert len(found) == 3 * len(asked)
+        for r in found:
+            own = sorted(p for z, _, m, p in data if z == r.pickup_zone_id and m in months)
+            assert r.nb_courses == len(own) and r.price in own
+            below, upto = sum(p < r.price for p in own) / len(own), sum(p <= r.price for p in own) / len(own)
+            assert below <= r.quantile + prices.SKETCH_RANK_ERROR and upto >= r.quantile - prices.SKETCH_RANK_ERROR
+    assert max(len(r.sketch) for r in parts.collect()) < 64_000
+    assert rows(prices.sketch_quantiles(parts.limit(0), asked)) == []
+
+
+def test_bounds_of_a_stratified_sample(spark):
+    everything = spark.range(40_000).selectExpr("cast(2018 + id % 4 as int) as year", "id")
+    fractions = {2018: 0.1, 2019: 0.5, 2020: 1.0}
+    check = lambda sample: {r.year: r.within_bounds for r in within_binomial_bounds(
+        everything, sample, "year", fractions).collect()}
+    taken = everything.sampleBy("year", fractions, 7)
+    assert check(taken) == {2018: True, 2019: True, 2020: True, 2021: True}
+    assert not check(taken.filter("year <> 2018 or id % 3 = 0"))[2018]  # too few
+    assert not check(everything)[2019] and not check(everything)[2021]  # too many; no fraction
+    assert not check(taken.filter("year <> 2020"))[2020]

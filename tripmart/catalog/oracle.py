@@ -294,7 +294,7 @@ def _states() -> str:
 
 def oracle_sql() -> dict[str, str]:
     recorded = "CASE WHEN l_linestatus = 'F' THEN {} END"
-    return {
+    found = {
         "rides_by_dow_hour": RIDES,
         "heatmap_pivot": f"""
     SELECT day_of_week, {', '.join(
@@ -360,6 +360,11 @@ def oracle_sql() -> dict[str, str]:
     SELECT pickup_zone_id, year, {q}::DOUBLE AS quantile,
            round(quantile_cont(price_per_km, {q}), 6) AS price
     FROM ({PRICED}) GROUP BY 1, 2""" for q in QUANTILES),
+        "price_sketch_ranks": "\n    UNION ALL\n".join(f"""
+    SELECT pickup_zone_id, year, {q}::DOUBLE AS quantile, count(*) AS nb_courses, true AS within_error
+    FROM ({PRICED}) GROUP BY 1, 2""" for q in QUANTILES),
+        "sample_in_bounds": f"""
+    SELECT year, count(*) AS rows, true AS within_bounds FROM ({PRICED}) GROUP BY 1""",
         "harmonized_trips": HARMONIZED,
         "absent_vs_null_vs_zero": _states(),
         "grid_resolve": _located("lineitem", COORDINATES, "NULL", "NULL", KEY),
@@ -420,3 +425,8 @@ def oracle_sql() -> dict[str, str]:
         "ingest_coverage": f"""
     SELECT * FROM ({PLAN}) SEMI JOIN ({MANIFEST}) m USING (vehicle_type, year, month)""",
     }
+    # Put together from months, a report is the same.
+    for name, whole in (("monthly_rides", "rides_by_dow_hour"), ("monthly_flows", "flows_by_zone"),
+                        ("monthly_surcharges", "surcharge_evolution"), ("monthly_weather_prices", "price_by_weather")):
+        found[name] = found[whole]
+    return found

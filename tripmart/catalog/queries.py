@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from tripmart.catalog import roles
 from tripmart.catalog.roles import LINE_KEY, MONEY, Tables
+from tripmart.contracts import QUANTILE_ROW_BOUND
 from tripmart.operators import ingest
 from tripmart.operators.grid_fill import GridSpec, build_zone_grid, nodes_within_zones
 from tripmart.operators.harmonize import harmonize, surcharge_states, union_eras
+from tripmart.operators.joins import broadcast_within, join_null_safe
 from tripmart.operators.metrics import add_trip_metrics
-from tripmart.operators.sampling import keyed_sample
+from tripmart.operators.sampling import keyed_sample, random_sample_by_year, within_binomial_bounds
 from tripmart.operators.weather_join import join_weather
 from tripmart.operators.zones import resolve_zones, zone_cells
-from tripmart.plans import flows, prices, rides, silver, surcharges, weather_prices
+from tripmart.plans import flows, monthly, prices, rides, silver, surcharges, weather_prices
 from tripmart.sources.listing import rows_per_file
 from tripmart.sources.weather import hourly_rows, parse_weather_text
 
@@ -141,6 +143,57 @@ def price_quantiles(t):
     return found.withColumn("price", F.round("price", 6))
 
 
+@_query
+def price_sketch_ranks(t):
+    """Quantiles from merged sketches, held against the ranks of all prices."""
+    trips = prices.priced_trips(roles.priced_line_trips(t), CEILING, keep=("l_linenumber",))
+    parts = prices.price_sketches(trips, (*prices.PRICE_GROUP, "l_linenumber"))
+    found = prices.sketch_quantiles(parts, QUANTILES)
+    side = broadcast_within(found, QUANTILE_ROW_BOUND, t.rows("nation") * YEARS_AT_MOST * len(QUANTILES))
+    group = [*prices.PRICE_GROUP, "quantile"]
+    ranked = join_null_safe(trips, side, prices.PRICE_GROUP).groupBy(*group, "nb_courses").agg(
+        F.count_if(F.col("price_per_km") < F.col("price")).alias("below"),
+        F.count_if(F.col("price_per_km") <= F.col("price")).alias("upto"),
+    )
+    n, slack = F.col("nb_courses"), prices.SKETCH_RANK_ERROR
+    fits = (F.col("below") / n <= F.col("quantile") + slack) & (F.col("upto") / n >= F.col("quantile") - slack)
+    return ranked.select(*group, "nb_courses", fits.alias("within_error"))
+
+
+@_query
+def sample_in_bounds(t):
+    """Spark's own stratified sample: sizes per year by the binomial law."""
+    trips = prices.priced_trips(roles.priced_line_trips(t), CEILING)
+    rates = {year: RATE for year in PRICE_YEARS}
+    return within_binomial_bounds(trips, random_sample_by_year(trips, RATE, PRICE_YEARS), "year", rates)
+
+
+# --- reports put together from months --------------------------------------
+
+
+@_query
+def monthly_rides(t):
+    return monthly.together(monthly.RIDES, roles.by_ship_month(t, roles.shipped_trips))
+
+
+@_query
+def monthly_flows(t):
+    return monthly.together(monthly.FLOWS, roles.by_ship_month(t, roles.zone_trips))
+
+
+@_query
+def monthly_surcharges(t):
+    return monthly.together(monthly.SURCHARGES, roles.by_ship_month(t, roles.surcharge_trips))
+
+
+@_query
+def monthly_weather_prices(t):
+    exact = F.col("price_per_km").cast(MONEY)
+    trips = weather_join(t).withColumn("price_per_km", exact)
+    return monthly.together(monthly.WEATHER_PRICES, trips.withColumns({
+        "of_type": F.col("vehicle_type"), "of_year": F.col("year"), "of_month": F.month("pickup_datetime")}))
+
+
 # --- harmonisation and silver ----------------------------------------------
 
 

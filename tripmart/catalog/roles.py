@@ -7,6 +7,8 @@ of orders as monthly files.  Only columns a query needs are joined in.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,12 +50,23 @@ def event_trips(t: Tables) -> DataFrame:
     )
 
 
-def shipped_trips(t: Tables) -> DataFrame:
+def by_ship_month(t: Tables, trips: Callable[..., DataFrame]) -> DataFrame:
+    """Line items in a role, with the month of their ship date as that of a source file.
+
+    The role is taken of each line item with the three columns beside those it picks.
+    """
+    of = {"of_type": F.col("l_returnflag"), "of_year": F.year("l_shipdate"), "of_month": F.month("l_shipdate")}
+    dated = Tables(t.spark, t.folder)
+    dated.lineitem = t.lineitem.withColumns(of)
+    return trips(dated, tuple(of))
+
+
+def shipped_trips(t: Tables, keep: Sequence[str] = ()) -> DataFrame:
     """Line items as rides of several years, each some hours after midnight."""
     at = F.col("l_shipdate") + F.expr("make_dt_interval(0, cast(l_linenumber * 3 as int))")
     return t.lineitem.select(
         F.col("l_returnflag").alias("vehicle_type"), at.alias("pickup_datetime"),
-        F.year("l_shipdate").alias("year"),
+        F.year("l_shipdate").alias("year"), *keep,
     )
 
 
@@ -125,17 +138,17 @@ def event_payloads(t: Tables, gaps: bool = False) -> DataFrame:
 # --- line items as trips ---------------------------------------------------
 
 
-def zone_trips(t: Tables) -> DataFrame:
+def zone_trips(t: Tables, keep: Sequence[str] = ()) -> DataFrame:
     """Supplier nation to customer nation."""
     return (
-        t.lineitem.select("l_orderkey", "l_suppkey", F.col("l_returnflag").alias("vehicle_type"))
+        t.lineitem.select("l_orderkey", "l_suppkey", F.col("l_returnflag").alias("vehicle_type"), *keep)
         .join(t.orders.select("o_orderkey", "o_custkey"),
               F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(t.customer.select("c_custkey", F.col("c_nationkey").alias("dropoff_zone_id")),
               F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(t.supplier.select("s_suppkey", F.col("s_nationkey").alias("pickup_zone_id")),
               F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .select("vehicle_type", "pickup_zone_id", "dropoff_zone_id")
+        .select("vehicle_type", "pickup_zone_id", "dropoff_zone_id", *keep)
     )
 
 
@@ -158,7 +171,7 @@ def priced_line_trips(t: Tables) -> DataFrame:
     )
 
 
-def surcharge_trips(t: Tables) -> DataFrame:
+def surcharge_trips(t: Tables, keep: Sequence[str] = ()) -> DataFrame:
     """Tax and discount as surcharges that appear in different years per flag."""
     year = F.year("l_shipdate")
     flag = F.col("l_returnflag")
@@ -177,7 +190,7 @@ def surcharge_trips(t: Tables) -> DataFrame:
         columns.append(there.alias(f"{name}_disponible"))
     return t.lineitem.select(
         flag.alias("vehicle_type"), year.alias("year"), F.month("l_shipdate").alias("month"),
-        *columns,
+        *columns, *keep,
     )
 
 

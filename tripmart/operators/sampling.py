@@ -52,3 +52,32 @@ def random_sample_by_year(
     if years is None:
         return df.sample(fraction=fraction, seed=seed)
     return df.sampleBy("year", {year: fraction for year in years}, seed)
+
+
+def within_binomial_bounds(
+    population: DataFrame,
+    sample: DataFrame,
+    stratum: str,
+    fractions: Mapping[int, float],
+    deviations: float = 5.0,
+) -> DataFrame:
+    """(stratum, rows, within_bounds): whether each stratum's sample has a likely size.
+
+    Of n rows taken with chance p, n*p come on average, with a deviation of
+    sqrt(n*p*(1-p)); a sample within ``deviations`` of these (and one row) is in bounds.
+    A stratum without a fraction must give no rows.
+    """
+    rate = F.lit(0.0)
+    for value, fraction in fractions.items():
+        rate = F.when(F.col(stratum) == value, F.lit(float(fraction))).otherwise(rate)
+    both = population.select(stratum, F.lit(0).alias("__taken")).unionAll(
+        sample.select(stratum, F.lit(1).alias("__taken"))
+    )
+    counted = both.groupBy(stratum).agg(
+        F.count_if(F.col("__taken") == 0).alias("rows"), F.sum("__taken").alias("__taken")
+    )
+    width = deviations * F.sqrt(F.col("rows") * rate * (1 - rate)) + 1
+    likely = F.when(rate == 0, F.col("__taken") == 0).otherwise(
+        F.abs(F.col("__taken") - F.col("rows") * rate) <= width
+    )
+    return counted.select(stratum, "rows", likely.alias("within_bounds"))

@@ -16,17 +16,19 @@ ENDS = ("pickup", "dropoff")
 OTHER, UNKNOWN = "other", "unknown"
 
 
-def flows(rows: DataFrame, place: str, weight: str | None = None) -> DataFrame:
-    """How many go from which ``place`` to which, by vehicle type.
+def flows(
+    rows: DataFrame, place: str, weight: str | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """How many go from which ``place`` to which, by vehicle type and ``keys``.
 
     ``rows`` are trips, or finer flows whose own count is ``weight``.
     """
-    return count_by(rows, ["vehicle_type", *(f"{end}_{place}" for end in ENDS)], weight)
+    return count_by(rows, ["vehicle_type", *(f"{end}_{place}" for end in ENDS), *keys], weight)
 
 
-def flows_by_zone(trips: DataFrame) -> DataFrame:
+def flows_by_zone(trips: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Flows between zones, of trips with both ends known."""
-    return flows(trips.dropna(subset=[f"{end}_zone_id" for end in ENDS]), "zone_id")
+    return flows(trips.dropna(subset=[f"{end}_zone_id" for end in ENDS]), "zone_id", keys=keys)
 
 
 def with_boroughs(

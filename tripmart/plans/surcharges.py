@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.contracts import SURCHARGES, flag_of
-from tripmart.functions import mean
 
 
 def _unpivot(names: Sequence[str], columns: dict[str, str]) -> Column:
@@ -22,24 +21,40 @@ def _unpivot(names: Sequence[str], columns: dict[str, str]) -> Column:
     ]))
 
 
-def surcharge_evolution(
-    trips: DataFrame, surcharges: Sequence[str] = tuple(SURCHARGES)
+def surcharge_sums(
+    trips: DataFrame, surcharges: Sequence[str] = tuple(SURCHARGES), keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean, total and trips per (type, year, month, surcharge) where it existed.
+    """Per (type, year, month) and ``keys``: sum, filled values and trips of every surcharge.
 
-    All surcharges are aggregated in one pass over the trips; rows are unpivoted
-    after the aggregation, when there is one per type and month.  The trip count
-    includes trips whose surcharge is missing, mean and total do not.
+    All surcharges are aggregated in one pass over the trips.  Such rows add up, over any
+    parts of the trips.
     """
     parts = []
     for name in surcharges:
         charged = F.when(F.col(flag_of(name)), F.col(name))
         parts += [
-            mean(charged).alias(f"{name}__mean"),
-            F.sum(charged).cast("double").alias(f"{name}__total"),
+            F.sum(charged).alias(f"{name}__sum"),
+            F.count(charged).alias(f"{name}__filled"),
             F.count_if(F.col(flag_of(name))).alias(f"{name}__trips"),
         ]
-    wide = trips.groupBy("vehicle_type", "year", "month").agg(*parts)
+    return trips.groupBy("vehicle_type", "year", "month", *keys).agg(*parts)
+
+
+def evolution_of(
+    sums: DataFrame, surcharges: Sequence[str] = tuple(SURCHARGES)
+) -> DataFrame:
+    """The report from ``surcharge_sums``, one row per (type, year, month) or several to add up."""
+    parts = [F.sum(f"{n}__{p}").alias(f"{n}__{p}") for n in surcharges for p in ("sum", "filled", "trips")]
+    added = sums.groupBy("vehicle_type", "year", "month").agg(*parts)
+    return _report(added, surcharges)
+
+
+def _report(added: DataFrame, surcharges: Sequence[str]) -> DataFrame:
+    total = {n: F.col(f"{n}__sum").cast("double") for n in surcharges}
+    wide = added.withColumns({
+        **{f"{n}__total": total[n] for n in surcharges},
+        **{f"{n}__mean": F.try_divide(total[n], F.col(f"{n}__filled")) for n in surcharges},
+    })
     tall = wide.select(
         "vehicle_type",
         "year",
@@ -51,6 +66,17 @@ def surcharge_evolution(
     return tall.filter(F.col("nb_courses") > 0)
 
 
+def surcharge_evolution(
+    trips: DataFrame, surcharges: Sequence[str] = tuple(SURCHARGES)
+) -> DataFrame:
+    """Mean, total and trips per (type, year, month, surcharge) where it existed.
+
+    Rows are unpivoted after the aggregation, when there is one per type and month.  The
+    trip count includes trips whose surcharge is missing, mean and total do not.
+    """
+    return _report(surcharge_sums(trips, surcharges), surcharges)
+
+
 def surcharge_availability(
     trips: DataFrame, surcharges: Sequence[str] = tuple(SURCHARGES)
 ) -> DataFrame:
