@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -79,3 +81,50 @@ def test_a_spelled_out_address_is_one_candidate():
     address = "a.b.c [at] mail [dot] example [dot] co [dot] uk"
     cut = P.region(f"write to {address} now", [])
     assert address in {cut.text[cut.edges[i]:cut.edges[j]] for i, j, kind, _ in cut.segments if kind == "email"}
+
+
+def dense(n, apart=""):
+    return "\n".join(f"{apart}user{k}.x@mail{k % 7}.example.org, +1 ({200 + k % 700}) 555-{1000 + k % 9000}" for k in range(n))
+
+
+def test_documents_that_are_lists_of_addresses_train_too(spark):
+    rows = [(k, dense(40 + k), "") for k in range(20)]
+    weights = P.train(spark.createDataFrame(rows, SCHEMA))
+    assert any(n.startswith("email") for n in weights) and any(n.startswith("phone") for n in weights)
+    text = "mail joe.doe [at] site [dot] org now"
+    assert "joe.doe [at] site [dot] org" in {text[s:e] for _, s, e in P.added_spans(text, [], weights)}
+    whole = dense(60)
+    cut = list(P.pieces(whole))
+    assert max(map(len, cut)) <= 4 * P.MAX_CHARS and sum(len(P.base_spans(p)) for p in cut) == len(P.base_spans(whole))
+
+
+def test_work_grows_with_the_text_and_not_with_its_square(spark):
+    weights = P.fit(P.examples_of(list(P.pieces(dense(30)))))
+
+    def seconds(text):
+        base = P.base_spans(text)
+        started = time.monotonic()
+        P.added_spans(text, base, weights)
+        return time.monotonic() - started
+
+    for apart in ("", "some words that lie between the entries of the list and keep them apart from one another, "
+                      "so that every one of them has a passage of its own in the end " * 2):
+        assert seconds(dense(8000, apart)) < 25 * seconds(dense(800, apart)) + 1
+
+
+def test_best_segments_equal_every_segmentation():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randrange(2, 7)
+        segments = [(i, j, rng.choice("ep"), [f"f{rng.randrange(6)}"]) for i in range(n) for j in range(i + 1, n + 1)
+                    if rng.random() < 0.5]
+        weights = {f"f{k}": rng.uniform(-2, 4) for k in range(6)}
+        cut = P.Region("x" * n, list(range(n + 1)), segments)
+        value = {s[:3]: sum(weights.get(f, 0) for f in s[3]) - P.MARGIN for s in segments}
+        def best(at):
+            if at >= n:
+                return 0.0
+            return max([best(at + 1), *(best(j) + v for (i, j, _), v in value.items() if i == at)])
+        chosen = P.best_segments(cut, weights)
+        assert abs(sum(value[c] for c in chosen) - best(0)) < 1e-9
+        assert all(a[1] <= b[0] for a, b in zip(chosen, chosen[1:]))

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -149,11 +150,32 @@ class Region:
     segments: list[tuple[int, int, str, list[str]]] = field(default_factory=list)
 
 
+def covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Beginnings and ends of what the spans cover, in order and apart."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for begin, end in sorted(spans):
+        if ends and begin < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(begin)
+            ends.append(end)
+    return begins, ends
+
+
+def touches(cover: tuple[list[int], list[int]], begin: int, end: int) -> bool:
+    """Whether [begin, end) and the cover have a character in common."""
+    begins, ends = cover
+    k = bisect_right(ends, begin)
+    return k < len(ends) and begins[k] < end
+
+
 def region(text: str, taken: list[tuple[int, int]]) -> Region:
     """Tokens of ``text`` and the candidates that overlap nothing in ``taken``."""
     edges = [0, *(m.end() for m in TOKEN.finditer(text))]
     found = Region(text, edges)
-    closed = [any(a < end and b > begin for begin, end in taken) for a, b in zip(edges, edges[1:], strict=False)]
+    cover = covered(taken)
+    closed = [touches(cover, a, b) for a, b in zip(edges, edges[1:], strict=False)]
     for i in range(len(edges) - 1):
         first = text[edges[i]]
         if closed[i] or not (first.isalnum() or first in "+("):
@@ -322,6 +344,27 @@ def _padded(text: str, begin: int, end: int) -> tuple[int, str]:
     return start, text[start:stop]
 
 
+def pieces(passage: str, most: int = 4 * MAX_CHARS) -> Iterator[str]:
+    """The passage, or a long one in pieces that begin and end between its spans.
+
+    A span of more than ``most`` characters has no piece, as it is no candidate either.
+    """
+    if len(passage) <= most:
+        yield passage
+        return
+    begins, ends = covered([(s, e) for _, s, e in base_spans(passage)])
+    k = 0
+    while k < len(begins):
+        left = max(begins[k] - AROUND, ends[k - 1] if k else 0)
+        j = k
+        while j + 1 < len(begins) and ends[j + 1] - left <= most - AROUND:
+            j += 1
+        right = min(ends[j] + AROUND, begins[j + 1] if j + 1 < len(begins) else len(passage))
+        if right - left <= most:
+            yield passage[left:right]
+        k = j + 1
+
+
 def _lot(passage: str) -> int:
     return int.from_bytes(hashlib.blake2b(passage.encode(), digest_size=8).digest(), "big", signed=True)
 
@@ -341,11 +384,11 @@ def train(documents: DataFrame, sample_regions: int = SAMPLE_REGIONS) -> dict[st
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for _, passage in passages(text, only_base=True):
-                    if len(passage) <= 4 * MAX_CHARS:
+                for _, whole in passages(text, only_base=True):
+                    for passage in pieces(whole):
                         for kind in {s[0] for s in base_spans(passage)}:
                             first[kind][passage] = _lot(passage)
-                prune(4 * sample_regions)
+                    prune(4 * sample_regions)
         prune(sample_regions)
         rows = [(kind, lot, passage) for kind, lots in first.items() for passage, lot in lots.items()]
         yield pa.RecordBatch.from_arrays(
@@ -353,20 +396,22 @@ def train(documents: DataFrame, sample_regions: int = SAMPLE_REGIONS) -> dict[st
             names=["kind", "lot", "passage"])
 
     found = documents.select("text").mapInArrow(cut, "kind string, lot long, passage string").distinct()
-    turn = F.row_number().over(Window.partitionBy("kind").orderBy("lot", "passage"))  # a sample per kind and task
-    found = found.withColumn("turn", turn).groupBy("passage").agg(F.min("turn").alias("turn"), F.min("lot").alias("lot"))
+    turn = F.row_number().over(Window.partitionBy("kind").orderBy("lot", "passage"))  # few of each task
+    found = found.withColumn("turn", turn).where(F.col("turn") <= sample_regions).groupBy("passage").agg(F.min("turn").alias("turn"), F.min("lot").alias("lot"))
     rows = found.orderBy("turn", "lot", "passage").limit(sample_regions).collect()
     return fit(examples_of([r["passage"] for r in rows]))
 
 
 def added_spans(text: str, base: list[Span], weights: dict[str, float]) -> list[Span]:
     """Spans that the model finds outside the base spans."""
-    taken = sorted((s, e) for _, s, e in base)
+    cover = begins, ends = covered([(s, e) for _, s, e in base])
     found = []
     for offset, passage in passages(text, only_base=False):
-        own = [(s - offset, e - offset) for s, e in taken if s < offset + len(passage) and e > offset]
-        if not any(all(m.start() >= e or m.end() <= s for s, e in own) for m in TRIGGER.finditer(passage)):
+        if all(touches(cover, offset + m.start(), offset + m.end()) for m in TRIGGER.finditer(passage)):
             continue
+        k = bisect_right(ends, offset)
+        stop = bisect_left(begins, offset + len(passage))
+        own = [(s - offset, e - offset) for s, e in zip(begins[k:stop], ends[k:stop], strict=True)]
         cut = region(passage, own)
         for i, j, kind in best_segments(cut, weights):
             found.append((kind, offset + cut.edges[i], offset + cut.edges[j]))
