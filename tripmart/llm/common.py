@@ -72,6 +72,11 @@ def drop(*tables: DataFrame) -> None:
         remove(table.sparkSession, [_PATHS.pop(table)])
 
 
+def quoted(column: str) -> str:
+    """A column's name as an expression, also with dots or backticks in it."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import settle, slices
+from tripmart.llm.common import quoted, settle, slices
 from tripmart.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -341,7 +341,7 @@ def deduplicate(documents: DataFrame, **options) -> DataFrame:
     named = settle(best.select(F.col("best.doc_id").alias("__id"), F.col("best.item").alias("__item"),
                                F.col("best.copies").alias("__copies")), "near-kept")
     columns = documents.columns
-    rows = documents.select(*[F.col(c).alias(f"__col{k}") for k, c in enumerate(columns)],
+    rows = documents.select(*[F.col(quoted(c)).alias(f"__col{k}") for k, c in enumerate(columns)],
                             F.col("doc_id").alias("__own"), item_of(F.col("text")).alias("__of"))
     kept = rows.join(named, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__item")))
     back = [F.col(f"__col{k}").alias(c) for k, c in enumerate(columns)]

@@ -116,18 +116,22 @@ def suffix_array(numbers: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def _bound(column: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray, after: bool):
-    """First place in [low, high) of the sorted ``column`` that is >= (or >) ``wanted``."""
+def _bound(numbers: np.ndarray, order: np.ndarray, depth: int, low: np.ndarray, high: np.ndarray,
+           wanted: np.ndarray, after: bool):
+    """First place in [low, high) of ``order`` whose word ``depth`` further is >= (or >) ``wanted``.
+
+    Only the words that a search meets are looked at; a range that is closed costs nothing more.
+    """
     low, high = low.copy(), high.copy()
-    while True:
-        open_ = low < high
-        if not open_.any():
-            return low
-        middle = (low + high) >> 1
-        value = column[np.minimum(middle, len(column) - 1)]
-        right = open_ & ((value <= wanted) if after else (value < wanted))
-        low = np.where(right, middle + 1, low)
-        high = np.where(open_ & ~right, middle, high)
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        value = numbers[np.minimum(order[middle] + depth, len(numbers) - 1)]
+        right = (value <= wanted[open_]) if after else (value < wanted[open_])
+        low[open_[right]] = middle[right] + 1
+        high[open_[~right]] = middle[~right]
+        open_ = open_[low[open_] < high[open_]]
+    return low
 
 
 def search(numbers: np.ndarray, order: np.ndarray, test: Suffixes):
@@ -143,9 +147,8 @@ def search(numbers: np.ndarray, order: np.ndarray, test: Suffixes):
     depth = 0
     while len(active):
         wanted = test.numbers[test.start[active] + depth]
-        column = numbers[np.minimum(order + depth, len(numbers) - 1)]
-        new_low = _bound(column, low[active], high[active], wanted, after=False)
-        new_high = _bound(column, new_low, high[active], wanted, after=True)
+        new_low = _bound(numbers, order, depth, low[active], high[active], wanted, after=False)
+        new_high = _bound(numbers, order, depth, new_low, high[active], wanted, after=True)
         found = new_low < new_high
         active = active[found]
         low[active], high[active] = new_low[found], new_high[found]
@@ -157,14 +160,6 @@ def search(numbers: np.ndarray, order: np.ndarray, test: Suffixes):
     return length, low, high, window_low, window_high
 
 
-def _spread(low: np.ndarray, high: np.ndarray):
-    """All (index, place) with low[index] <= place < high[index]."""
-    counts = high - low
-    index = np.repeat(np.arange(len(low)), counts)
-    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + low[index]
-    return index, place
-
-
 def match(texts: list[str | None], test: Suffixes) -> tuple[np.ndarray, list, list, list]:
     """Per text: number of words, merged hit ranges, items, longest match."""
     get = test.vocabulary.get
@@ -187,29 +182,41 @@ def match(texts: list[str | None], test: Suffixes) -> tuple[np.ndarray, list, li
         return sizes, hits, items, longest
     length, low, high, window_low, window_high = search(number, order, test)
 
-    suffix, at = _spread(window_low, window_high)
-    place = order[at]
+    # Items share windows: each distinct one is looked up and marked once, for all its items.
+    inside = np.flatnonzero(window_low < window_high)
+    ranges = np.stack([window_low[inside], window_high[inside], test.window[inside]])
+    distinct, of = np.unique(ranges, axis=1, return_inverse=True)
+    by_window = np.split(test.item[inside][np.argsort(of, kind="stable")], np.cumsum(np.bincount(of))[:-1])
     edge = np.zeros(len(number) + 1, dtype=np.int64)
-    np.add.at(edge, place, 1)
-    np.add.at(edge, place + test.window[suffix], -1)
+    named: list[set[str]] = [set() for _ in texts]
+    for (begin, end, width), owners in zip(distinct.T.tolist(), by_window, strict=False):
+        place = order[begin:end]  # of one window in all texts: no place comes twice
+        edge[place] += 1
+        edge[place + width] -= 1
+        names = {test.items[k] for k in np.unique(owners).tolist()} - {None}
+        for k in np.unique(np.searchsorted(starts, place, side="right") - 1).tolist():
+            named[k] |= names
+    items = [sorted(n) for n in named]
     hit = np.cumsum(edge)[:-1] > 0
     change = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
     for begin, end in zip(change[::2].tolist(), change[1::2].tolist(), strict=True):
         k = int(np.searchsorted(starts, begin, side="right")) - 1
         hits[k].append({"start": begin - int(starts[k]), "end": end - int(starts[k])})
-    document = np.searchsorted(starts, place, side="right") - 1
-    pairs = np.unique(document * len(test.items) + test.item[suffix])
-    for pair in pairs.tolist():
-        if (item := test.items[pair % len(test.items)]) is not None:
-            items[pair // len(test.items)].append(item)
 
+    # The longest match at each place: longer ones are laid over shorter ones, and of equal
+    # ones the first test suffix stays.
     least = np.where(test.window > 0, test.window, np.iinfo(np.int64).max)
     full = np.flatnonzero(length >= least)
-    suffix, at = _spread(low[full], high[full])
-    suffix = full[suffix]
-    place = order[at]
+    full = full[np.lexsort((-test.start[full], length[full]))]
+    _, last = np.unique(np.stack([low[full], high[full]])[:, ::-1], axis=1, return_index=True)
+    full = full[np.sort(len(full) - 1 - last)]
+    best_at = np.full(len(order), -1, dtype=np.int64)
+    for k in full.tolist():
+        best_at[low[k]:high[k]] = k
+    covered = np.flatnonzero(best_at >= 0)
+    suffix, place = best_at[covered], order[covered]
     document = np.searchsorted(starts, place, side="right") - 1
-    best = np.lexsort((test.start[suffix], place, -length[suffix], document))
+    best = np.lexsort((place, -length[suffix], document))
     first = best[np.append(True, np.diff(document[best]) > 0)] if len(best) else best
     for k in first.tolist():
         s, d = int(suffix[k]), int(document[k])
@@ -282,11 +289,10 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, into: str = "matche
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``documents`` in which no window of a test item occurs, all columns kept."""
-    into = "matches"
-    while into in documents.columns:
-        into += "_"
-    found = find_matches(documents, benchmark, into, **options)
-    return found.where(F.size(F.col(into)["hits"]) == 0).drop(into)
+    names = documents.columns
+    plain = documents.toDF(*[c if c == "text" else f"__col{k}" for k, c in enumerate(names)])
+    found = find_matches(plain, benchmark, "matches", **options)
+    return found.where(F.size(F.col("matches")["hits"]) == 0).drop("matches").toDF(*names)
 
 
 def digest(matches: DataFrame) -> DataFrame:
