@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,7 +116,8 @@ def test_urls(spark):
     assert [got[k]["rule"] for k in range(12)] == ["net/", "example.net/en/", "example.com/de/", "org/fr/", *[None] * 8]
     assert [got[k]["verdict"] for k in range(5)] == ["block", "allow", "block", "allow", "allow"]
     assert (got[6]["host"], got[6]["path"]) == ("", "") and got[1]["host"] == "a.example.net"
-    assert got[10]["template"].endswith("/**") and got[20]["template"] == "/*/#"
+    assert got[10]["template"] == "/~" * 300 and got[20]["template"] == "/*/#"
+    assert U.judge(df).columns == ["page_id", "host", "path", "rule", "verdict", "template"]
     assert U.judge(df.limit(0)).count() == 0
 
 
@@ -126,3 +129,54 @@ def test_templates_carry_labels_to_pages_without_rules(spark):
     verdicts = {r["page_id"]: (r["verdict"], r["template"]) for r in got.collect()}
     assert {v for k, (v, _) in verdicts.items() if k < 100} == {"block"}
     assert {v for k, (v, _) in verdicts.items() if k >= 200} == {"allow"}
+
+
+def test_pages_that_part_deep_down_get_verdicts_of_their_own(spark):
+    deep = "/".join("abcdefghi")
+    rules = ((f"h.io/{deep}/bad/1", "block"), (f"h.io/{deep}/good/1", "allow"))
+    rows = [(k, f"http://h.io/{deep}/{('bad', 'good')[k % 2]}/{k}") for k in range(100, 250)]
+    got = U.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    assert {(r["page_id"] % 2, r["verdict"]) for r in got} == {(0, "block"), (1, "allow")}
+    assert {r["template"].rsplit("/", 1)[0] for r in got} == {f"{'/*' * 9}/bad", f"{'/*' * 9}/good"}
+
+
+def test_the_spread_of_a_group_decides_its_thresholds(spark):
+    """One odd text is judged by how much the texts of its group differ."""
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    def text(low, high):
+        return " ".join(letters(rng.randrange(low, high)) for _ in range(60))
+    rows = [(k, text(5, 6), "even", "s", "") for k in range(150)]
+    for k in range(150, 300):
+        length = rng.randrange(3, 9)  # the texts differ from one another, their words do not
+        rows.append((k, text(length, length + 1), "mixed", "s", ""))
+    rows += [(1000, text(9, 10), "even", "s", ""), (1001, text(9, 10), "mixed", "s", "")]
+    df = spark.createDataFrame(rows, QUALITY)
+    got = {r["doc_id"]: r["kept"] for r in Q.judge(df, [F.col("doc_id")]).collect()}
+    assert not got[1000] and got[1001] and all(got[k] for k in range(300))
+    limits = {(r["lang"], r["measure"]): r["high"] for r in Q.thresholds(Q.sketch(Q.features(
+        df, [F.col("lang"), F.col("source")]))).collect()}
+    least = {name: reach * floor for name, reach, floor, _ in Q.MEASURES}
+    assert limits["mixed", "word_length"] > 8000 + least["word_length"]
+    assert limits["even", "word_length"] == 5000 + least["word_length"]
+
+
+def test_items_that_share_a_window_cost_one_look_up():
+    items = [(k, "same") for k in range(400)]
+    test = D.Suffixes.of(items, D.WINDOW)
+    tracemalloc.start()
+    sizes, hits, found, longest = D.match(["same " * 50_000, "other", None], test)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20 and found[0] == sorted(str(k) for k in range(400)) and hits[0] == [{"start": 0, "end": 50_000}]
+    assert longest[0] == {"words": 1, "start": 0, "item": "0", "item_start": 0} and found[1:] == [[], []]
+
+
+def test_a_long_item_is_found_whole():
+    rng = random.Random(2)
+    item = " ".join(f"w{rng.randrange(4000)}" for _ in range(4000))
+    test = D.Suffixes.of([("long", item)], D.WINDOW)
+    started = time.monotonic()
+    _, hits, found, longest = D.match([f"before {item} after", item[:2000]], test)
+    assert time.monotonic() - started < 8
+    assert hits[0] == [{"start": 1, "end": 4001}] and found == [["long"], ["long"]] and longest[0]["words"] == 4000

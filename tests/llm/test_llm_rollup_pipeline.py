@@ -87,3 +87,10 @@ def test_stages_pass_on_the_columns_of_documents(spark):
             assert out.columns == docs.columns or name == "sharding"
             docs = spark.createDataFrame(out.collect(), out.schema)
         assert bool(docs.count()) == bool(data)
+
+
+def test_stages_may_be_chained_before_anything_is_written(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in P.STAGES[:3]:
+        docs = stage(spark, docs, DATA)
+    assert docs.count() > 0

@@ -1,7 +1,10 @@
+import hashlib
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.llm import curriculum as C
 from tripmart.llm import ring_sharding as R
@@ -89,3 +92,45 @@ def test_training_rows_take_whole_rows_in_order(odd):
             plan[r["doc_id"], r["size"]] += t["words"] * 2 >= r["size"]
     rows = got.withColumn("n", C.word_count(F.col("text"))).collect()
     assert Counter((r["doc_id"], r["n"]) for r in rows) == +plan
+
+
+def test_shards_equal_a_walk_by_hand(spark):
+    """Sizes, CRC-32, the clockwise walk and the slots, each by plain Python."""
+    rows = [(k, "é" * (k % 90) + str(k), "s", "", "", 1) for k in range(500)] + [(9000, None, "s", "", "", 1)]
+    shards, nodes, cells = 5, 7, 40
+    got = R.shard(spark.createDataFrame(rows, SCHEMA), shards, nodes, cells, 0.05).collect()
+    plain = {k: ((t or "").encode(), len((t or "").encode()) + 8) for k, t, *_ in rows}
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in got} == {
+        (k, size, zlib.crc32(data)) for k, (data, size) in plain.items()}
+    points = {r["doc_id"]: r["cell"] for r in R._runs(R.keys(spark.createDataFrame(rows, SCHEMA)), shards * cells).collect()}
+    load = Counter()
+    for k, cell in points.items():
+        load[cell] += plain[k][1]
+    ring = sorted((int.from_bytes(hashlib.blake2b(f"{s}/{v}".encode(), digest_size=8).digest(), "big") * shards * cells >> 64, s)
+                  for s in range(shards) for v in range(nodes))
+    room, held, where = 1.05 * sum(load.values()) / shards, Counter(), {}
+    assert max(load.values()) * shards < sum(load.values())
+    for cell in sorted(load, key=lambda c: (-load[c], c)):
+        clockwise = [s for at, s in ring if at >= cell] + [s for at, s in ring if at < cell]
+        fits = [s for s in clockwise if held[s] + load[cell] <= room]
+        where[cell] = fits[0] if fits else min(dict.fromkeys(clockwise), key=lambda s: held[s])
+        held[where[cell]] += load[cell]
+    assert {r["doc_id"]: r["shard"] for r in got} == {k: where[c] for k, c in points.items()}
+    for shard in range(shards):
+        own = [r["slot"] for r in got if r["shard"] == shard]
+        assert sorted(own) == list(range(len(own)))
+
+
+def test_names_of_the_caller_never_clash(spark):
+    from tripmart.llm import adaptive_quality, dart_minhash, suffix_decontam
+
+    odd = ["a.b", "`q`", "__words", "__part", "__copy", "copies", "words", "matches", "__size"]
+    schema = T.StructType([T.StructField(n, T.StringType() if n != "doc_id" else T.LongType())
+                           for n in ("doc_id", "text", "lang", "source", *odd)])
+    rows = [(k, " ".join(f"x{k}y{j}" for j in range(40)), "en", "s", *[f"{n}{k}" for n in odd]) for k in range(9)]
+    df = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([(1, "nothing of that")], "item_id long, text string")
+    for run in (adaptive_quality.keep_good, dart_minhash.deduplicate, lambda d: suffix_decontam.decontaminate(d, items),
+                C.training_rows):
+        out = run(df)
+        assert out.columns == df.columns and {tuple(r) for r in out.collect()} <= set(rows) and out.count() >= 9

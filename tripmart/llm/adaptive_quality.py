@@ -6,14 +6,16 @@ merge by adding counts, so one aggregation over (language, source, measure, buck
 every level: language and source, language, everything.  A group with fewer than
 ``least_rows`` documents borrows the thresholds of the next level.
 
-A measure is out of bounds if it lies more than ``REACH`` interquartile ranges (at least
-the measure's own ``spread``) beyond the quartiles of its group.  The thresholds, a few
-numbers per language and source, are joined to the documents' measures.
+A measure is out of bounds if it lies more than its ``reach`` of interquartile ranges beyond
+the quartiles of its group; a range below the measure's ``least`` counts as that.  Measures
+that are 0 in most texts (symbols, repeated lines) have no range, so ``least`` decides for
+them; for capitals and word lengths the sketches do.  The thresholds, a few numbers per
+language and source, are joined to the documents' measures.
 
 Only DataFrame functions run here; equality of 5-word windows is that of 64-bit hashes.
 
 Defined results: a NULL text has no words and fails the base rule, as does an empty one.
-NULL languages or sources form groups of their own.  Repeated rows are judged alike, each
+NULL languages or sources form groups of their own.  Texts of any length are measured whole.  Repeated rows are judged alike, each
 by itself.  An empty table gives no rows.
 """
 
@@ -22,21 +24,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WORD, settle
+from tripmart.llm.common import WORD, quoted, settle
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20
 LEAST_ROWS = 100
-REACH = 3
-#: Measure, smallest interquartile range that counts, and whether low values are out too.
+#: Measure, interquartile ranges that it may lie away, smallest range that counts, and whether
+#: low values are out too.
 MEASURES = (
-    ("symbols", 100, False),  # symbols per 1000 words
-    ("loud", 500, False),  # capitals and exclamation marks per 1000 words
-    ("dup_lines", 134, False),  # repeated lines per 1000 lines
-    ("repeated", 67, False),  # words in repeated windows per 1000 words
-    ("word_length", 1000, True),  # characters per 1000 words
+    ("symbols", 3, 100, False),  # symbols per 1000 words
+    ("loud", 24, 25, False),  # capitals and exclamation marks per 1000 words
+    ("dup_lines", 3, 134, False),  # repeated lines per 1000 lines
+    ("word_length", 12, 100, True),  # characters per 1000 words
 )
 
 
@@ -93,10 +94,9 @@ def _measures() -> Column:
     """Map-like array of (measure, value); a text without words has none."""
     per = lambda count, of: F.expr(f"{count} * 1000 div greatest({of}, 1)")
     values = {"symbols": per("n_symbols", "n_words"), "loud": per("n_loud", "n_words"),
-              "dup_lines": per("n_dup_lines", "n_lines"), "repeated": per("n_repeat_words", "n_words"),
-              "word_length": per("word_chars", "n_words")}
+              "dup_lines": per("n_dup_lines", "n_lines"), "word_length": per("word_chars", "n_words")}
     pairs = F.array(*[F.struct(F.lit(name).alias("measure"), values[name].alias("value"))
-                      for name, _, _ in MEASURES])
+                      for name, *_ in MEASURES])
     return F.when(F.col("n_words") > 0, pairs).otherwise(F.slice(pairs, 1, 0))
 
 
@@ -118,10 +118,10 @@ def sketch(counted: DataFrame) -> DataFrame:
 
 def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
     """(lang, source, measure, low, high) for every language and source of the sketches."""
-    spread = {name: (floor, both) for name, floor, both in MEASURES}
-    floor, both = F.lit(None).cast("long"), F.lit(None).cast("boolean")
-    for name, (least, two) in spread.items():
-        floor = F.when(F.col("measure") == name, F.lit(least)).otherwise(floor)
+    reach, least, both = F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("boolean")
+    for name, far, floor, two in MEASURES:
+        reach = F.when(F.col("measure") == name, F.lit(far)).otherwise(reach)
+        least = F.when(F.col("measure") == name, F.lit(floor)).otherwise(least)
         both = F.when(F.col("measure") == name, F.lit(two)).otherwise(both)
 
     def bounds(level: int) -> DataFrame:
@@ -134,7 +134,7 @@ def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
         high = F.min(F.when(F.col("upto") * 4 >= F.col("all") * 3, F.col("bucket")))
         found = ranked.groupBy(*group, "measure").agg(
             low.alias("q1"), high.alias("q3"), F.max("all").alias("all"))
-        width = REACH * F.greatest(F.col("q3") - F.col("q1"), floor)
+        width = reach * F.greatest(F.col("q3") - F.col("q1"), least)
         return found.select(
             *[F.col(g).alias(f"{g}{level}") for g in group], F.col("measure").alias(f"measure{level}"),
             F.when(both, F.col("q1") - width).alias(f"low{level}"),
@@ -174,7 +174,7 @@ def judge(documents: DataFrame, keep: list[Column], least_rows: int = LEAST_ROWS
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that are kept, all columns as they were."""
+    """The rows of ``documents`` that are kept, all columns as they were, whatever their names."""
     columns = documents.columns
-    judged = judge(documents, [F.col(c).alias(f"__col{k}") for k, c in enumerate(columns)])
+    judged = judge(documents, [F.col(quoted(c)).alias(f"__col{k}") for k, c in enumerate(columns)])
     return judged.where("kept").select(*[F.col(f"__col{k}").alias(c) for k, c in enumerate(columns)])

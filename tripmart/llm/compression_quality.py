@@ -123,6 +123,16 @@ def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(weights[1] - slope * middle)
 
 
+def hash_sample(rows: DataFrame, lot: Column, n: int, most: int) -> DataFrame:
+    """The ``most`` of ``n`` rows with the least hash, or a few less.
+
+    All that lie far above are left out first, so that no task sends on more than its share.
+    """
+    share = min(1.0, 1.2 * most / max(1, n))
+    near = rows.where(F.pmod(lot, F.lit(1 << 31)) < int(share * (1 << 31)) + 1)
+    return near.orderBy(F.pmod(lot, F.lit(1 << 31)), *rows.columns).limit(most)
+
+
 def training_texts(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """(text, quality, fits) of at most ``sample`` labelled documents that are not held out.
 
@@ -133,7 +143,7 @@ def training_texts(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     known = known.where(F.col("quality") == F.col("most")).select("doc_id", "quality")
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = hash_sample(known, F.xxhash64("doc_id"), known.count(), sample)
     texts = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # ``sample`` rows at most
     return texts.groupBy("text").agg(F.min("quality").alias("quality")).where("text <> ''").select(
         "text", "quality", (F.pmod(F.xxhash64("text"), F.lit(3)) != 0).alias("fits"))
@@ -146,8 +156,9 @@ def sample_pieces(texts: DataFrame, quality: int, most: int) -> list[bytes]:
             for text in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_pydict({"piece": pa.array(pieces(text), pa.binary())})
 
-    found = texts.where(F.col("quality") == quality).select("text").mapInArrow(cut, "piece binary")
-    chosen = found.orderBy(F.xxhash64("piece"), "piece").limit(most)
+    own = texts.where(F.col("quality") == quality).select("text")
+    n = own.agg(F.sum(F.ceil(F.octet_length("text") / PIECE))).first()[0] or 0
+    chosen = hash_sample(own.mapInArrow(cut, "piece binary"), F.xxhash64("piece"), n, most)
     return [bytes(r[0]) for r in chosen.collect()]  # ``most`` pieces of ``PIECE`` bytes
 
 

@@ -43,8 +43,8 @@ WITH item AS (
         FROM documents)
 ), src AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-    CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
-      WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind,
+    CAST(CASE kind WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight
   FROM item GROUP BY source
 ), filled AS (
   SELECT *, coalesce(sum(2 * source_size) OVER w, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS open,
@@ -54,16 +54,31 @@ WITH item AS (
   SELECT arg_min((CAST(owed AS DOUBLE) - CAST(capped AS DOUBLE)) / open, 2 * source_size / weight) AS level FROM filled
   WHERE 2 * source_size >= weight * ((CAST(owed AS DOUBLE) - CAST(capped AS DOUBLE)) / open)
 ), goal AS (
-  SELECT source, source_size, least(CAST(2 * source_size AS DOUBLE), weight * level) AS target FROM src, level
+  SELECT source, source_size, kind, least(CAST(2 * source_size AS DOUBLE), weight * level) AS target FROM src, level
 ), laid AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY lot, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM item
+), taking AS (
+  SELECT doc_id, size, source_size, target, kind, greatest(CAST(round(target) AS BIGINT), 1) AS whole,
+    greatest(0, least(size, CAST(round(target) AS BIGINT) - start)) AS one,
+    greatest(0, least(size, CAST(round(target) AS BIGINT) - source_size - start)) AS two,
+    (start + one / 2) / whole AS a, (start + source_size + two / 2) / whole AS b
+  FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
+), placed AS (
+  -- The share a of the demand is met at the time t at which the schedule's integral is a.
+  SELECT *, list_transform([a, b], lambda d: CASE
+    WHEN d >= 1 THEN 1.0 WHEN kind = 1 THEN d
+    WHEN kind = 0 AND d < 0.625 THEN 2 * d / (1.5 + sqrt(2.25 - 2 * d))
+    WHEN kind = 0 THEN 0.5 + 2 * (d - 0.625) / (1 + sqrt(1 - 2 * (d - 0.625)))
+    WHEN d < 0.375 THEN 2 * d / (0.5 + sqrt(0.25 + 2 * d))
+    ELSE 0.5 + 2 * (d - 0.375) / (1 + sqrt(1 + 2 * (d - 0.375))) END) AS spots
+  FROM taking
 )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - start))
-    + greatest(0, least(size, CAST(round(target) AS BIGINT) - source_size - start)) AS BIGINT) AS taken
-FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
+SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+  concat_ws(',', CASE WHEN one > 0 THEN CAST(CAST(floor(spots[1] * 1000000) AS BIGINT) AS VARCHAR) END,
+    CASE WHEN two > 0 THEN CAST(CAST(floor(spots[2] * 1000000) AS BIGINT) AS VARCHAR) END) AS positions
+FROM placed
 """
 
 _OP5 = r"""
@@ -86,25 +101,25 @@ WITH doc AS (
     length(t) - length(regexp_replace(t, '[A-Z!]', '', 'g')) AS n_loud
   FROM doc LEFT JOIN again USING (id)
 ), pairs AS (
-  SELECT id, lang, source, m[1] AS measure, m[2] AS value, m[3] AS floor, m[4] AS two FROM (
+  SELECT id, lang, source, m[1] AS measure, m[2] AS value, m[3] AS floor, m[4] AS two, m[5] AS reach FROM (
     SELECT id, lang, source, unnest([
-      [0, n_symbols * 1000 // n_words, 100, 0], [1, n_loud * 1000 // n_words, 500, 0],
-      [2, n_dup_lines * 1000 // greatest(n_lines, 1), 134, 0], [3, n_repeat_words * 1000 // n_words, 67, 0],
-      [4, word_chars * 1000 // n_words, 1000, 1]]) AS m
+      [0, n_symbols * 1000 // n_words, 100, 0, 3], [1, n_loud * 1000 // n_words, 25, 0, 24],
+      [2, n_dup_lines * 1000 // greatest(n_lines, 1), 134, 0, 3],
+      [3, word_chars * 1000 // n_words, 100, 1, 12]]) AS m
     FROM counted WHERE n_words > 0)
 ), hist AS (
-  SELECT lang, source, measure, floor, two, u * (value // u) AS bucket, count(*) AS n,
+  SELECT lang, source, measure, floor, two, reach, u * (value // u) AS bucket, count(*) AS n,
     grouping(source) AS no_source, grouping(lang) AS no_lang
   FROM (SELECT *, CAST(rpad('1', CAST(greatest(length(CAST(value AS VARCHAR)) - 2, 1) AS INTEGER), '0') AS BIGINT) AS u FROM pairs)
-  GROUP BY GROUPING SETS ((lang, source, measure, floor, two, u * (value // u)),
-    (lang, measure, floor, two, u * (value // u)), (measure, floor, two, u * (value // u)))
+  GROUP BY GROUPING SETS ((lang, source, measure, floor, two, reach, u * (value // u)),
+    (lang, measure, floor, two, reach, u * (value // u)), (measure, floor, two, reach, u * (value // u)))
 ), ranked AS (
   SELECT *, sum(n) OVER (g ORDER BY bucket) AS upto, sum(n) OVER g AS total
   FROM hist WINDOW g AS (PARTITION BY no_source, no_lang, lang, source, measure)
 ), bounds AS (
   SELECT no_source, no_lang, lang, source, measure, total, CASE WHEN two = 1 THEN q1 - width END AS low, q3 + width AS high
-  FROM (SELECT *, 3 * greatest(q3 - q1, floor) AS width FROM (
-    SELECT no_source, no_lang, lang, source, measure, floor, two, max(total) AS total,
+  FROM (SELECT *, reach * greatest(q3 - q1, floor) AS width FROM (
+    SELECT no_source, no_lang, lang, source, measure, floor, two, reach, max(total) AS total,
       min(bucket) FILTER (upto * 4 >= total) AS q1, min(bucket) FILTER (upto * 4 >= total * 3) AS q3
     FROM ranked GROUP BY ALL))
 ), outside AS (
@@ -121,7 +136,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
 """
 
-# One block of these for each level of the path tree.
+# One block of these for each level of the path tree.  SQL needs their number: enough for tables
+# in which no path is shared by five pages beyond it; what is deeper is rare and so wildcards.
+_OP3_LEVELS = 12
 _OP3_LEVEL = r"""
 , going{d} AS (
   SELECT *, segments[{d} + 1] AS segment FROM level{d}
@@ -163,17 +180,19 @@ WITH parts AS (
     CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN pages ELSE 0 END AS allowed,
     list_filter(string_split(path, '/'), lambda x: x <> '') AS segments, '' AS template
   FROM ruled
-)""" + "".join(_OP3_LEVEL.format(d=d, next=d + 1) for d in range(8)) + r"""
-, level9 AS (
-  SELECT * REPLACE (template || CASE WHEN len(segments) > 8 THEN '/**' ELSE '' END AS template) FROM level8
+)""" + "".join(_OP3_LEVEL.format(d=d, next=d + 1) for d in range(_OP3_LEVELS)) + rf"""
+, deep AS (
+  SELECT * REPLACE (template || array_to_string(list_transform(segments[{_OP3_LEVELS + 1}:], lambda x: '/' ||
+    CASE WHEN regexp_replace(x, '[0-9]+', '#', 'g') = x THEN '~' ELSE regexp_replace(x, '[0-9]+', '#', 'g') END), '') AS template)
+  FROM level{_OP3_LEVELS}
 ), known AS (
-  SELECT host, template, sum(blocked) / (sum(blocked) + sum(allowed) + 4) >= 0.5 AS rejected FROM level9 GROUP BY ALL
+  SELECT host, template, sum(blocked) / (sum(blocked) + sum(allowed) + 4) >= 0.5 AS rejected FROM deep GROUP BY ALL
 )
-SELECT page_id, host, path, template, rule, CASE
+SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
   WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
-  WHEN rejected THEN 'block' ELSE 'allow' END AS verdict
-FROM page JOIN level9 USING (host, path) JOIN known USING (host, template)
+  WHEN rejected THEN 'block' ELSE 'allow' END AS verdict, template
+FROM page JOIN deep USING (host, path) JOIN known USING (host, template)
 """
 
 _OP10 = r"""

@@ -5,7 +5,9 @@ level.  At a node, segments seen fewer than ``LEAST_SEEN`` times are variable an
 wildcard (``#`` for digits inside them, ``~`` if they have none).  The others are branches;
 those whose shares of blocked and allowed addresses do not differ from their siblings'
 pooled shares by more than ``Z`` standard errors are merged into ``*``, the rest keep their
-name.  Segments behind level ``LEVELS`` become ``**``.
+name.  The tree is as deep as paths are that many pages share: once no node is left with
+``LEAST_SEEN`` pages that go on, no segment can be a branch any more, and all further ones
+become wildcards together.
 
 The fixed rules label the addresses they fit.  A template is rejected if
 blocked / (blocked + allowed + ``SMOOTHING``) reaches ``REJECT``; without labels it stays.
@@ -24,11 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import ascii_lower, settle
+from tripmart.llm.common import ascii_lower, drop, settle
 
 # The rules that come first, and their verdicts.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-LEVELS = 8
 LEAST_SEEN = 5
 Z = 2.58
 SMOOTHING, REJECT = 4.0, 0.5
@@ -82,14 +83,17 @@ def _differs(part: str) -> Column:
     return gap * gap > Z * Z * pooled * (1.0 - pooled) / seen
 
 
-def descend(state: DataFrame, level: int, least_seen: int = LEAST_SEEN) -> DataFrame:
-    """``state`` with one more segment in every template that goes on at ``level``."""
-    if level == LEVELS:
-        rest = F.concat("template", F.lit("/**"))
-        return state.withColumn("template", F.when(F.size("segments") > level, rest).otherwise(F.col("template")))
+def descend(state: DataFrame, level: int, least_seen: int = LEAST_SEEN) -> DataFrame | None:
+    """``state`` with one more segment in every template that goes on at ``level``.
+
+    None if no node has ``least_seen`` pages that go on.
+    """
     going = state.withColumn("segment", F.get("segments", F.lit(level)))
     children = settle(going.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(
         *[F.sum(c).alias(c) for c in ("pages", "blocked", "allowed")]), f"url-children-{level}")
+    if children.groupBy("host", "template").agg(F.sum("pages").alias("n")).where(F.col("n") >= least_seen).isEmpty():
+        drop(children)
+        return None
     branches = children.where(F.col("pages") >= least_seen)
     nodes = settle(branches.groupBy("host", "template").agg(
         *[F.sum(c).alias(f"all_{c}") for c in ("pages", "blocked", "allowed")]), f"url-nodes-{level}")
@@ -107,9 +111,13 @@ def descend(state: DataFrame, level: int, least_seen: int = LEAST_SEEN) -> DataF
 def templates(pages: DataFrame, rules=RULES, least_seen: int = LEAST_SEEN) -> tuple[DataFrame, DataFrame]:
     """(addresses with their templates, templates with counts, purity and ``rejected``)."""
     state = settle(addresses(pages, rules), "url-addresses")
-    depth = state.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(depth, LEVELS + 1)):
-        state = descend(state, level, least_seen)
+    level = 0
+    while (deeper := descend(state, level, least_seen)) is not None:
+        drop(state)  # written anew, one segment further
+        state, level = deeper, level + 1
+    rare = F.slice("segments", F.lit(level + 1), F.greatest(F.size("segments") - level, F.lit(0)))
+    rest = F.array_join(F.transform(rare, lambda s: F.concat(F.lit("/"), _wildcard(s))), "")
+    state = settle(state.withColumn("template", F.concat("template", rest)), "url-paths")
     known = state.groupBy("host", "template").agg(
         *[F.sum(c).alias(c) for c in ("pages", "blocked", "allowed")])
     purity = F.col("blocked") / (F.col("blocked") + F.col("allowed") + F.lit(SMOOTHING))
@@ -118,15 +126,15 @@ def templates(pages: DataFrame, rules=RULES, least_seen: int = LEAST_SEEN) -> tu
 
 
 def judge(pages: DataFrame, rules=RULES, least_seen: int = LEAST_SEEN) -> DataFrame:
-    """(page_id, host, path, template, rule, verdict) for every page."""
+    """(page_id, host, path, rule, verdict, template) for every page."""
     state, known = templates(pages, rules, least_seen)
     judged = state.join(known.select("host", "template", "rejected"), ["host", "template"]).select(
-        "host", "path", "template", "rule",
+        "host", "path", "rule", "template",
         F.coalesce("said", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"))
     judged = settle(judged, "url-verdicts")
     host, path = host_and_path(F.col("url"))
     return (
         pages.select("page_id", host.alias("host"), path.alias("path"))
         .join(judged, ["host", "path"])
-        .select("page_id", "host", "path", "template", "rule", "verdict")
+        .select("page_id", "host", "path", "rule", "verdict", "template")
     )
