@@ -1,4 +1,11 @@
-"""From raw documents to shards: five stages, each a Parquet table that the next one reads."""
+"""From raw documents to shards: five stages, each a Parquet table that the next one reads.
+
+Every stage but the last returns the columns of its documents, whatever their names.  NULLs in
+any column, empty and very long texts, repeated rows and ties are handled as the operators say
+in their docstrings: a NULL text is an empty one (and fails the quality rules), a NULL id or
+source is a value like any other, repeated rows are near duplicates.  An empty table gives
+empty tables.
+"""
 
 from __future__ import annotations
 
@@ -24,15 +31,18 @@ _LEFT: dict[str, list[str]] = {}
 def staged(stage: Stage) -> Stage:
     """A stage that first deletes the intermediate tables of the one before.
 
-    A stage's result is written before the next stage begins, so they are not read again.
+    They stay if ``docs`` still read them, as when stages are chained without being written.
     """
     @wraps(stage)
     def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         application = spark.sparkContext.applicationId
-        remove(spark, _LEFT.pop(application, []))
+        names = [path.rsplit("/", 1)[1] for path in _LEFT.get(application, [])]
+        used = {part for file in docs.inputFiles() for part in file.split("/")}
+        if used.isdisjoint(names):
+            remove(spark, _LEFT.pop(application, []))
         before = len(SETTLED)
         out = stage(spark, docs, sf_dir)
-        _LEFT[application] = SETTLED[before:]
+        _LEFT[application] = _LEFT.get(application, []) + SETTLED[before:]
         return out
 
     return begin
