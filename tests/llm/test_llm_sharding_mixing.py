@@ -1,8 +1,10 @@
 import hashlib
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,51 @@ def test_shards_are_balanced_gapless_and_repeatable(odd):
         ((tuple(r)[:3], r["copies"]) for r in R.keys(odd).collect()), key=repr)
 
 
+def by_hand(rows, shards):
+    """(doc_id, size, crc, shard, slot) by walking the ring node by node; rows differ in id."""
+    cells = shards * R.CELLS_PER_SHARD
+    owner = sorted((int.from_bytes(hashlib.blake2b(b"%d/%d" % (s, k), digest_size=8).digest(), "big") * cells // 2**64, s)
+                   for s in range(shards) for k in range(R.NODES_PER_SHARD))
+    members = defaultdict(list)
+    for doc_id, text in rows:
+        raw = (text or "").encode()
+        key = (doc_id, len(raw) + 8, zlib.crc32(raw), 0, 0)
+        point = 42
+        for value in key:
+            if value is not None:
+                point = xxhash.xxh64_intdigest(struct.pack("<q", value), seed=point)
+        members[point % cells if point < 2**63 else (point - 2**64) % cells].append((point - 2**64 * (point >= 2**63), *key[:3]))
+    loads = {cell: sum(m[2] for m in inside) for cell, inside in members.items()}
+    order = sorted(loads, key=lambda cell: (-loads[cell], cell))
+    rest, left = sum(loads.values()), shards
+    for cell in order:
+        if left > 1 and loads[cell] * left > rest:
+            rest, left = rest - loads[cell], left - 1
+        else:
+            break
+    held, shard_of = [0] * shards, {}
+    for cell in order:
+        clockwise = [s for at, s in owner if at >= cell] + [s for at, s in owner if at < cell]
+        free = [s for s in clockwise if held[s] + loads[cell] <= (1 + R.SLACK) * rest / left]
+        shard_of[cell] = free[0] if free else min(clockwise, key=held.__getitem__)
+        held[shard_of[cell]] += loads[cell]
+    filled, out = [0] * shards, []
+    for cell in sorted(members):
+        for _, doc_id, size, crc in sorted(members[cell]):
+            out.append((doc_id, size, crc, shard_of[cell], filled[shard_of[cell]]))
+            filled[shard_of[cell]] += 1
+    return out
+
+
+def test_shards_equal_a_walk_by_hand(spark, tables):
+    rows = [(d["doc_id"], d["text"]) for d in tables("documents")]
+    rows += [(-1, None), (None, "without id"), (-2, "long " * 40000), (-3, "é\U0001F600")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards in (5, 24):
+        got = [(r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in R.shard(df, shards=shards).collect()]
+        assert sorted(got, key=repr) == sorted(by_hand(rows, shards), key=repr)
+
+
 def test_walk_bounds_loads_and_moves_little():
     loads = {k: 100 + k * 7919 % 60 for k in range(12_000)}
     one, two = (R.walk(loads, n, 64, 12_000, R.SLACK) for n in (24, 25))
