@@ -1,4 +1,8 @@
+import os
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tripmart.llm import adaptive_quality, curriculum, dart_minhash, suffix_decontam
@@ -14,7 +18,7 @@ def totals(spark, store):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    T.open_store(spark, str(tmp_path / "s"))
+    T.open_store(spark, str(tmp_path / "s"), buckets=16)
     return str(tmp_path / "s")
 
 
@@ -47,6 +51,51 @@ def test_attempts_that_died_are_not_seen(spark, store):
     assert totals(spark, store) == [("a", "en", "v1", 1, 11)]
 
 
+def test_two_batches_from_one_base_do_not_both_count(spark, store):
+    put(spark, store, "1", [("insert", 1, "a", "en", "v1", 10)])
+    def rows(n):
+        return spark.createDataFrame([("revise", 1, "a", "en", "v1", n, "own")], CHANGES)
+    one, two = (T.prepare(spark, store, b, rows(n)) for b, n in (("2", 20), ("3", 30)))
+    assert T.publish(spark, store, one) and not T.publish(spark, store, two)
+    assert totals(spark, store) == [("a", "en", "v1", 1, 20)]
+    # Also when both were named before either saw the other: the chain has room for one.
+    late = T.prepare(spark, store, "4", rows(40))
+    assert T.publish(spark, store, T.prepare(spark, store, "5", rows(50)))
+    T._append(spark, store, "batch", late.version, late.base, late.batch, late.attempt)
+    assert totals(spark, store) == [("a", "en", "v1", 1, 50)]
+    assert T.commit(spark, store, "3", rows(30)) and T.commit(spark, store, "4", rows(41))
+    assert totals(spark, store) == [("a", "en", "v1", 1, 41)]
+    assert not any(T.commit(spark, store, b, rows(9)) for b in ("1", "2", "3", "4", "5"))
+
+
+def test_compaction_changes_nothing_and_remembers_batches(spark, store):
+    T.compact(spark, store)
+    put(spark, store, "1", [("insert", k, "a", "en", "v1", k) for k in range(50)] + [("insert", None, None, None, None, 3)])
+    put(spark, store, "2", [("delete", k, None, None, None, None) for k in range(0, 50, 2)])
+    before = totals(spark, store)
+    T.compact(spark, store)
+    at = T.chain(spark, store)
+    assert at.batches == {} and len(at.folders) == 1 and totals(spark, store) == before == sorted(
+        [("a", "en", "v1", 25, 625), (None, None, None, 1, 3)], key=repr)
+    assert not put(spark, store, "2", [("delete", 1, None, None, None, None)])
+    assert put(spark, store, "3", [("delete", 1, None, None, None, None), ("delete", None, None, None, None, None)])
+    T.compact(spark, store)
+    assert not put(spark, store, "1", []) and not put(spark, store, "3", [])
+    assert totals(spark, store) == [("a", "en", "v1", 24, 624)]
+    assert sorted(r["doc_id"] for r in T.state(spark, store).collect()) == list(range(3, 50, 2))
+
+
+def test_a_small_batch_reads_a_small_share_of_the_ledger(spark, store):
+    put(spark, store, "1", [("insert", k, "a", "en", "v1", 1) for k in range(2000)])
+    at = T.chain(spark, store)
+    small = T.checked(spark.createDataFrame([("revise", 7, "a", "en", "v1", 2, ""), ("insert", 5000, "a", "en", "v1", 2, "")], CHANGES))
+    bucket = spark.range(7, 8).select(T.bucket_of(F.col("id"), at.buckets)).first()[0]
+    plan = T.touched(spark, store, small, at)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = {bucket}\)\]", plan), plan
+    assert len([f for f in os.listdir(f"{store}/ledger/{at.folders[0]}") if f.startswith("bucket=")]) == 16
+    assert T.touched(spark, store, small.where("op = 'insert'"), at).inputFiles() == []
+
+
 def test_unknown_changes_are_an_error(spark, store):
     with pytest.raises(Exception, match="unknown change"):
         put(spark, store, "1", [("drop", 1, "a", "en", "v1", 1)])

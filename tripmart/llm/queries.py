@@ -23,7 +23,7 @@ from tripmart.llm import (
     toxic_segments,
     url_templates,
 )
-from tripmart.llm.common import read, settle, shared_folder
+from tripmart.llm.common import drop, read, remove, settle, shared_folder
 
 
 def op1_pii_semicrf(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +87,10 @@ def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
                "recount": change("revise", counted.where("lang <> 'en'"), "words-2"), "withdraw": poor}
     for batch in (*batches, "recount", "load"):  # the last two are repeated and must change nothing
         token_rollup.commit(spark, store, batch, batches[batch])
-    return token_rollup.totals(spark, store)
+    totals = settle(token_rollup.totals(spark, store), "rollup-totals")
+    remove(spark, [store])
+    drop(counted)
+    return totals
 
 
 def op11_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
