@@ -1,5 +1,6 @@
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -10,10 +11,20 @@ from tripmart.llm.components import components
 SCHEMA = "doc_id long, text string, source string"
 
 
+def counted(text):
+    """How often every shingle of a text occurs."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return Counter(" ".join(found[k:k + 5]) for k in range(max(1, len(found) - 4))) if found else Counter()
+
+
+def weighted(x, y):
+    return (x & y).total() / max((x | y).total(), 1)
+
+
 def brute_classes(rows):
     """Least id of every row's class, by comparing all pairs that share a shingle."""
     texts = sorted({t or "" for _, t in rows})
-    sets = [D.shingles(t) for t in texts]
+    sets = [counted(t) for t in texts]
     where = defaultdict(list)
     for k, s in enumerate(sets):
         for x in s:
@@ -27,8 +38,7 @@ def brute_classes(rows):
 
     for k, s in enumerate(sets):
         for j in {j for x in s for j in where[x] if j > k}:
-            both = len(s & sets[j])
-            if both / (len(s) + len(sets[j]) - both) >= 0.8:
+            if weighted(s, sets[j]) >= 0.8:
                 parent[root(j)] = root(k)
     at = {t: root(k) for k, t in enumerate(texts)}
     least = {}
@@ -99,14 +109,34 @@ def test_large_buckets_of_loose_copies_equal_brute_force(spark, monkeypatch):
 
 def test_block_links_equal_pairs():
     rng = random.Random(2)
-    texts = family(rng, words(rng, 120), 40, 2) + ["", "one", "one two", " ".join(words(rng, 50))]
+    texts = family(rng, words(rng, 120), 40, 2) + ["", "one", "one two", " ".join(words(rng, 50)), *(" ".join(["a b c"] * n) for n in (40, 44, 45, 60, 70))]
     first = np.arange(len(texts)) % 2 == 0
-    sets = [D.shingles(t) for t in texts]
+    sets = [counted(t) for t in texts]
     want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
-            if first[i] != first[j] and D.jaccard(sets[i], sets[j]) >= 0.8}
+            if first[i] != first[j] and weighted(sets[i], sets[j]) >= 0.8}
     assert {tuple(p) for p in D.links_between(texts, first, ~first, 0.8).tolist()} == want and want
 
 
+def test_repeats_weigh_in_signatures_and_in_comparisons(spark):
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = [" ".join([passage] * n) for n in (1, 2, 3, 10, 11, 12, 40)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    assert brute_classes([r[:2] for r in rows]) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (6, 6)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == brute_classes([r[:2] for r in rows])
+
+
+def test_numbered_shingles_have_the_weighted_similarity():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(40))) for _ in range(60)]
+    document, element = D.occurrences(*D.shingle_sets(texts))
+    sets = [set(element[document == k].tolist()) for k in range(len(texts))]
+    for k, x in enumerate(texts):
+        for j, y in enumerate(texts[:k]):
+            want = weighted(counted(x), counted(y))
+            assert D.jaccard(D.shingles(x), D.shingles(y)) == pytest.approx(want)
+            assert D.jaccard(frozenset(sets[k]), frozenset(sets[j])) == pytest.approx(want)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert D.classes(df).count() == 0 and D.deduplicate(df).columns == df.columns

@@ -1,7 +1,7 @@
 """Near-duplicate classes by DartMinHash signatures, banding, and exact verification.
 
-A document is a weighted set of shingles of five words.  Every element owns a strip of the
-plane, as wide as its weight; hashed darts fall into the cells of the plane (one per unit
+A document is a weighted set of shingles of five words: a shingle weighs as often as it
+occurs.  Every element owns a strip of the plane, as wide as its weight; hashed darts fall into the cells of the plane (one per unit
 of area on average, the same ones for every document that has the element).  The darts in
 a document's region below a height that leaves some k ln k + 2k of them are thrown at k
 coordinates, and each coordinate keeps its earliest dart.  Two documents agree in a
@@ -14,7 +14,8 @@ class already needs no comparison.  After ``ROUNDS`` rounds whatever one bucket
 in different classes is compared, so no link inside a bucket is lost: in a bucket of up to
 ``SMALL`` items as pairs, in a larger one block against block, where a task multiplies the
 shingle tables of two blocks of bounded size and returns the links only.  Every link is
-verified on whole texts: Jaccard similarity of the shingle sets, ``SIMILAR`` or more.
+verified on whole texts: weighted Jaccard similarity (the lesser counts of all shingles
+against the greater ones), ``SIMILAR`` or more.
 Classes are the connected components.
 
 Defined results: fewer than five words are one shingle; texts without words (NULL too) have
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,8 +66,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def shingle_sets(texts: list[str | None], counted: bool = False):
-    """(document, element, weight) of all texts' distinct shingles; weights 1 or counts."""
+def shingle_sets(texts: list[str | None]):
+    """(document, element, weight) of all texts' distinct shingles; a weight counts occurrences."""
     found = [WORD.findall(t) if t else [] for t in texts]
     sizes = np.array([len(w) for w in found], dtype=np.int64)
     flat = np.array([w for ws in found for w in ws], dtype=object)
@@ -86,8 +88,18 @@ def shingle_sets(texts: list[str | None], counted: bool = False):
     document, element = document[order], element[order]
     first = np.append(True, (document[1:] != document[:-1]) | (element[1:] != element[:-1]))
     begin = np.flatnonzero(first)
-    weight = np.diff(np.append(begin, len(element))) if counted else np.ones(len(begin), dtype=np.int64)
-    return document[begin], element[begin], weight
+    return document[begin], element[begin], np.diff(np.append(begin, len(element)))
+
+
+def occurrences(document, element, weight):
+    """(document, element) with an element of its own for each occurrence of a shingle.
+
+    The Jaccard similarity of these sets is the weighted one of the shingles.
+    """
+    at = np.repeat(np.arange(len(element)), weight)
+    number = np.arange(len(at)) - np.repeat(np.cumsum(weight) - weight, weight)
+    own = mix(element[at] + number.astype(np.uint64) * _MULTIPLIERS[0])
+    return document[at], np.where(number > 0, own, element[at])
 
 
 def throw(document, element, weight, height: np.ndarray):
@@ -149,15 +161,15 @@ def item_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def sketch(documents: DataFrame, bands: int = BANDS, rows: int = ROWS, counted: bool = False) -> DataFrame:
-    """(doc_id, item, n, keys): number of distinct shingles and the band keys of every row."""
+def sketch(documents: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, item, n, keys): number of shingles and the band keys of every row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in slices(batch, 2, SLICE_BYTES):
                 texts = run.column(2).to_pylist()
-                sets = shingle_sets(texts, counted)
+                sets = shingle_sets(texts)
                 keys = band_keys(signatures(*sets, len(texts), bands * rows), bands, rows)
-                n = np.bincount(sets[0], minlength=len(texts))
+                n = np.bincount(sets[0], weights=sets[2], minlength=len(texts)).astype(np.int64)
                 some = n > 0
                 flat = pa.array(keys[some].reshape(-1), pa.int64())
                 offsets = pa.array(np.append(0, np.cumsum(some * bands)), pa.int32())
@@ -171,10 +183,15 @@ def sketch(documents: DataFrame, bands: int = BANDS, rows: int = ROWS, counted:
 
 
 def shingles(text: str) -> frozenset:
+    """The shingles of a text; the second and later ones of a kind are numbered."""
     words = WORD.findall(text)
     if len(words) < SHINGLE:
         return frozenset([tuple(words)]) if words else frozenset()
-    return frozenset(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
+    found = Counter(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
+    once = frozenset(found)
+    if len(once) == len(words) - SHINGLE + 1:
+        return once
+    return once | {(s, k) for s, n in found.items() for k in range(1, n)}
 
 
 def jaccard(x: frozenset, y: frozenset) -> float:
@@ -210,10 +227,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
 def links_between(texts: list[str], first: np.ndarray, second: np.ndarray, similar: float) -> np.ndarray:
     """Index pairs (one ``first``, one ``second``) of similar texts, each pair once.
 
-    The table of texts and shingles has a column only for shingles of two texts or more;
+    The table of texts and shingles has a column only for those of two texts or more;
     it is multiplied with itself a few columns at a time.
     """
-    document, element, _ = shingle_sets(texts)
+    document, element = occurrences(*shingle_sets(texts))
     n = np.bincount(document, minlength=len(texts)).astype(np.float32)
     _, column, seen = np.unique(element, return_inverse=True, return_counts=True)
     keep = seen[column] > 1
@@ -315,10 +332,9 @@ def near_links(rows: DataFrame, documents: DataFrame, similar: float = SIMILAR,
     return roots
 
 
-def classes(documents: DataFrame, bands: int = BANDS, rows: int = ROWS, similar: float = SIMILAR,
-            counted: bool = False) -> DataFrame:
+def classes(documents: DataFrame, bands: int = BANDS, rows: int = ROWS, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, item, root, class_id, class_rows) for every row of ``documents``; ``root`` is never NULL."""
-    drawn = settle(sketch(documents, bands, rows, counted), "near-rows")
+    drawn = settle(sketch(documents, bands, rows), "near-rows")
     roots = near_links(drawn, documents, similar)
     named = drawn.select("doc_id", "item").join(
         roots.withColumnRenamed("node", "item"), "item", "left").withColumn("root", F.coalesce("root", "item"))
