@@ -38,8 +38,8 @@ KEYS = ("source", "lang", "tokenizer")
 LEDGER = "doc_id long, source string, lang string, tokenizer string, documents long, tokens long"
 DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
 COMMITS = "kind string, version long, base string, batch string, attempt string, buckets int, at timestamp"
-#: Buckets of a new store's ledger; many, where batches are small beside the ledger.
-BUCKETS = 64
+#: Buckets of a new store's ledger (up to 32 folders are listed without a job); more, where batches are small beside it.
+BUCKETS = 32
 
 # Two versions of a tokenizer; the second one parts ASCII punctuation off.
 TOKENIZERS = {
