@@ -84,3 +84,24 @@ def test_hot_zone_is_split(shuffled):
     counts, plan = executed(in_eligible_zones(trips, zones).select("id", "pickup_zone_id"))
     assert "skew=true" in plan and "Broadcast" not in plan
     assert sum(counts.values()) == ROWS and counts[7] >= ROWS // 3
+
+
+def test_few_cells_and_hours_of_many_rows_shuffle_no_trip(shuffled):
+    """The rows of the lookups are beyond the bounds, what is joined is not."""
+    start = F.lit(datetime(2019, 1, 1)).cast("timestamp_ntz")
+    hour = start + F.make_dt_interval(F.lit(0), (F.col("id") % 30).cast("int"))
+    grid = shuffled.range(5000).select(
+        (F.col("id") % 20 - 74000).alias("grid_lon_idx"), F.lit(40700).cast("long").alias("grid_lat_idx"),
+        (F.col("id") + 1).cast("int").alias("LocationID"))
+    weather = shuffled.range(5000).select(hour.alias("datetime_local"), (F.col("id") % 30).cast("double").alias("rain"))
+    trips = shuffled.range(0, 1000, 1, 8).select(
+        "id", hour.alias("pickup_hour_ts"), F.lit(None).cast("int").alias("pu_location_id"),
+        F.lit(0).alias("do_location_id"), (-74.0 + F.col("id") % 40 * 0.001).alias("pickup_longitude"),
+        F.lit(40.7).alias("pickup_latitude"), F.lit(None).cast("double").alias("dropoff_longitude"),
+        F.lit(None).cast("double").alias("dropoff_latitude"))
+    cells = zone_cells(grid, row_bound=100, at_most=5000)
+    out = join_weather(resolve_zones(trips, cells), weather, ["rain"], row_bound=100, at_most=5000)
+    got = out.select("id", "pickup_zone_id", "rain").collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert sorted(map(tuple, got)) == [(k, k % 40 + 1 if k % 40 < 20 else None, k % 30) for k in range(1000)]

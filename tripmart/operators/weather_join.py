@@ -33,15 +33,15 @@ def join_weather(
 ) -> DataFrame:
     """Left join on the wall-clock hour; every trip stays exactly once.
 
-    ``at_most`` is a number of hours that ``weather`` cannot exceed, if known.  ``counts``
-    observes ``rows_out`` and ``hours_matched`` while the result is computed.
+    ``at_most`` is a number of hours that ``weather`` cannot exceed, if known; beyond the bound
+    its distinct hours are counted.  ``counts`` observes ``rows_out`` and ``hours_matched`` while the result is computed.
     """
     hours = one_row_per_hour(weather, variables).withColumnRenamed(
         "datetime_local", "pickup_hour_ts"
     )
     if counts is not None:
         hours = hours.withColumn("__hour", F.lit(True))
-    side = broadcast_within(hours, row_bound, at_most)
+    side = broadcast_within(hours, row_bound, at_most, recount=True)
     joined = trips.join(side, "pickup_hour_ts", "left")
     if counts is None:
         return joined

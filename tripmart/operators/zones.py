@@ -40,8 +40,11 @@ def locate(
 def zone_cells(
     grid: DataFrame, row_bound: int | None = GRID_ROW_BOUND, at_most: int | None = None
 ) -> DataFrame:
-    """The grid made ready for joining: unique cells, broadcast when within bound."""
-    return broadcast_within(one_zone_per_cell(grid), row_bound, at_most)
+    """The grid made ready for joining: unique cells, broadcast when within bound.
+
+    The cells are counted if the rows of the grid are unknown or beyond the bound.
+    """
+    return broadcast_within(one_zone_per_cell(grid), row_bound, at_most, recount=True)
 
 
 def resolve_zones(

@@ -71,7 +71,8 @@ def silver_trips(
 
     Zones are resolved before the union, so only eras that have coordinates pay for
     the two grid lookups.  No step adds or drops a trip.  With bounds on the rows of ``grid``
-    and ``weather`` no job runs while the query is built.
+    and ``weather`` no job runs while the query is built, unless they are too many to broadcast
+    unseen: then the distinct cells or hours are counted, so that no trip is shuffled for few.
     """
     gps = [has_coordinates(frame, vehicle_type) for vehicle_type, frame in sources]
     cells = zone_cells(grid, at_most=cells_at_most) if any(gps) else None
