@@ -181,3 +181,28 @@ def test_names_of_the_caller_never_clash(spark):
                 C.training_rows):
         out = run(df)
         assert out.columns == df.columns and {tuple(r) for r in out.collect()} <= set(rows) and out.count() >= 9
+
+
+def test_sequence_is_the_mix_in_training_order(odd):
+    mixed = C.mix(odd)
+    ordered = C.sequence(mixed)
+    got = sorted(ordered.collect(), key=lambda r: r["place"])
+    taken = [r for r in got if r["take"]]
+    assert [r["place"] for r in got] == list(range(len(got))) and not any(r["take"] for r in got[len(taken):])
+    at = [r["take"]["position"] for r in taken]
+    assert at == sorted(at) and len(at) == sum(len(r["takes"]) for r in mixed.collect())
+    rows = lambda df: sorted(map(tuple, C.digest(df).collect()), key=repr)
+    assert rows(C.gathered(ordered)) == rows(mixed)
+
+
+def test_query_goes_through_the_training_order(spark, tmp_path, monkeypatch):
+    from tripmart.llm import queries as Q
+
+    df = spark.createDataFrame([(k, "w " * (k % 7), f"s{k % 3}") for k in range(60)], "doc_id long, text string, source string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    seen, real = [], C.sequence
+    monkeypatch.setattr(C, "sequence", lambda mixed: seen.append(real(mixed)) or seen[-1])
+    out = Q.op9_curriculum(spark, str(tmp_path))
+    assert out.count() == 60 and len(seen) == 1
+    words = seen[0].agg(F.sum("take.words")).first()[0]
+    assert words == out.agg(F.sum("taken")).first()[0] > 0

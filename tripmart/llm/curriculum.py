@@ -6,7 +6,8 @@ take is shared again by weight.  Each source also has a schedule: its weight ove
 time as a broken line.  The integral of the schedule is the source's cumulative demand;
 documents, in a fixed random order within their source, meet that demand word by word, so
 inverting it gives each one its training position between 0 and 1.  A second pass over a
-source starts where the first ended.  The mix is range-sorted by position.
+source starts where the first ended.  ``sequence`` is the mix itself: a row for each take,
+range-sorted by position and numbered.
 
 Cumulative words come from sums per (source, cell of the random order) and a ranking
 inside a cell, so a source with a third of all rows is spread like any other.
@@ -156,11 +157,30 @@ def mix(documents: DataFrame) -> DataFrame:
     copy = F.explode(F.expr("sequence(0L, copies - 1)"))
     return (
         plan(sized).select("*", copy.alias("copy"))
-        .select("doc_id", "source", "size", "source_size", "target",
+        .select("doc_id", "source", "size", "copy", "source_size", "target",
                 takes(F.col("start") + F.col("copy") * F.col("size")).alias("takes"))
     )
 
 
+def sequence(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix`` as they are trained on: one for each take, at its ``place`` from 0.
+
+    They are range-sorted by training position; takes at one position, as two sources may have,
+    lie in the order of ids.  Documents without a take come last, with a NULL take.
+    """
+    taken = mixed.select(*[c for c in mixed.columns if c != "takes"], F.explode_outer("takes").alias("take"))
+    return numbered(taken, "place", F.asc_nulls_last("take.position"), F.asc_nulls_last("doc_id"),
+                    F.asc_nulls_last("source"), F.asc("size"), F.asc("copy"), F.asc("take.pass"))
+
+
+def gathered(ordered: DataFrame) -> DataFrame:
+    """One row per document from ``sequence``, its takes in the order of their places."""
+    document = ("doc_id", "source", "size", "copy", "source_size", "target")
+    placed = F.sort_array(F.collect_list(F.when(F.col("take").isNotNull(), F.struct("place", "take"))))
+    return ordered.groupBy(*document).agg(placed.alias("placed")).select(  # ``MOST`` takes at most
+        *document, F.transform("placed", lambda p: p["take"]).alias("takes"))
+
+
 def training_rows(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` as the mix takes them, range-sorted by training position.
 
