@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripmart.llm import dart_minhash as D
@@ -158,3 +159,20 @@ def test_components_of_paths_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)} | {200: 200, 201: 200, 202: 200}
+
+
+def test_comparisons_hold_little_memory(monkeypatch):
+    """Long texts are taken from a batch a few at a time, and few of their shingles are kept."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = [" ".join(words(rng, 5000)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b"a%d" % k for k in range(60)]), pa.array([b"b%d" % k for k in range(60)]), pa.array(texts),
+         pa.array([t + " end" if k % 2 else "other" for k, t in enumerate(texts)])], names=["a", "b", "text_a", "text_b"])
+    tracemalloc.start()
+    kept = [x.as_py() for out in D.similar_pairs(iter([batch]), 0.8) for x in out.column(0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == [b"a%d" % k for k in range(1, 60, 2)]
+    assert peak < 20e6  # all 90 texts' shingles take over 30 MB

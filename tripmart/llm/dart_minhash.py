@@ -48,7 +48,9 @@ ROUNDS = 2
 SMALL = 16
 BLOCK_ITEMS, BLOCK_SHINGLES = 1024, 200_000
 TABLE_COLUMNS = 2048
-SLICE_BYTES = 2 << 20
+#: What a Python worker works on at once: bytes of text, and shingles of the texts compared before.
+SLICE_BYTES = 256 << 10
+KNOWN_SHINGLES = 50_000
 #: Distribution function of a Poisson variable of mean 1.
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -199,23 +201,39 @@ def jaccard(x: frozenset, y: frozenset) -> float:
     return both / (len(x) + len(y) - both) if x or y else 0.0
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) of items whose texts are similar."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset] = {}  # hubs come again and again
+def similar_pairs(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the rows (a, b, text_a, text_b) whose texts are similar.
 
-        def of(text: str) -> frozenset:
-            if text not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[text] = shingles(text)
-            return known[text]
+    Texts leave a batch in slices, and the shingles that are remembered are bounded by their
+    number, so memory does not grow with the lengths of the texts.
+    """
+    known: dict[str, frozenset] = {}  # hubs come again and again
+    held = 0
 
-        for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    def of(text: str) -> frozenset:
+        nonlocal held
+        if text in known:
+            return known[text]
+        found = shingles(text)
+        if held + len(found) > KNOWN_SHINGLES:
+            known.clear()
+            held = 0
+        known[text] = found
+        held += len(found)
+        return found
+
+    for batch in batches:
+        for run in slices(batch, 2, SLICE_BYTES):
+            left, right = run.column(2).to_pylist(), run.column(3).to_pylist()
             keep = [jaccard(of(x), of(y)) >= similar for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+                [run.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of items whose texts are similar."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return similar_pairs(batches, similar)
 
     one = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
